@@ -1,0 +1,207 @@
+"""Spark data source ``zip_csv``: delimited text inside zip archives.
+
+    spark.dataSource.register(ZipCsvDataSource)
+    spark.read.format("zip_csv").option("delimiter", ";").schema(...).load("s3://b/Part*.zip")
+
+One partition per archive, or several for an archive beyond ``slice_bytes``. A task streams its
+archive and hands over Arrow batches, so neither an archive nor its text is ever held whole.
+"""
+
+from __future__ import annotations
+
+import csv
+import fnmatch
+import io
+import posixpath
+import sys
+import urllib.request
+import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from dataclasses import dataclass
+from itertools import islice
+
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import cloudpickle
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.types import StringType, StructField, StructType
+
+# Executors need not have this package installed: the reader travels with the plan.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BATCH_ROWS = 8192
+SLICE_BYTES = 4 << 30
+HTTP_TIMEOUT_SECONDS = 120
+
+
+class HttpFile(io.RawIOBase):
+    """Seekable read-only view of an HTTP resource, fetched by byte ranges."""
+
+    def __init__(self, uri: str):
+        self._uri = uri
+        self._position = 0
+        request = urllib.request.Request(uri, method="HEAD")
+        with urllib.request.urlopen(request, timeout=HTTP_TIMEOUT_SECONDS) as response:
+            self._size = int(response.headers["Content-Length"])
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self._position
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        start = {io.SEEK_SET: 0, io.SEEK_CUR: self._position, io.SEEK_END: self._size}[whence]
+        self._position = start + offset
+        return self._position
+
+    def readinto(self, buffer) -> int:
+        end = min(self._position + len(buffer), self._size) - 1
+        if end < self._position:
+            return 0
+        request = urllib.request.Request(
+            self._uri, headers={"Range": f"bytes={self._position}-{end}"}
+        )
+        with urllib.request.urlopen(request, timeout=HTTP_TIMEOUT_SECONDS) as response:
+            if response.status != 206:
+                raise OSError(f"{self._uri} does not serve byte ranges")
+            data = response.read()
+        buffer[: len(data)] = data
+        self._position += len(data)
+        return len(data)
+
+
+@contextmanager
+def open_archive(uri: str) -> Iterator[zipfile.ZipFile]:
+    if uri.startswith(("http://", "https://")):
+        stream = io.BufferedReader(HttpFile(uri), 8 << 20)
+    else:
+        filesystem, path = fs.FileSystem.from_uri(uri)
+        stream = filesystem.open_input_file(path)
+    with stream, zipfile.ZipFile(stream) as archive:
+        yield archive
+
+
+def matching_archives(pattern: str) -> list[str]:
+    """Archives under a path or a glob on the last path part, in name order."""
+    if not any(c in pattern for c in "*?["):
+        return [pattern]
+    folder, name = posixpath.split(pattern)
+    filesystem, path = fs.FileSystem.from_uri(folder)
+    prefix = folder[: len(folder) - len(path)] if folder.endswith(path) else ""
+    files = filesystem.get_file_info(fs.FileSelector(path))
+    found = sorted(
+        prefix + f.path
+        for f in files
+        if f.type == fs.FileType.File and fnmatch.fnmatchcase(f.base_name, name)
+    )
+    if not found:
+        raise FileNotFoundError(f"No archive matches {pattern}")
+    return found
+
+
+def choose_member(archive: zipfile.ZipFile) -> zipfile.ZipInfo:
+    """The first ``.csv`` member, else the first member that is a file."""
+    files = [m for m in archive.infolist() if not m.is_dir()]
+    tables = [m for m in files if m.filename.lower().endswith(".csv")]
+    if not files:
+        raise FileNotFoundError(f"No file inside {archive.filename}")
+    return (tables or files)[0]
+
+
+@dataclass(frozen=True)
+class TextFormat:
+    delimiter: str
+    encoding: str
+    has_header: bool
+    row_limit: int | None
+
+    @classmethod
+    def of(cls, options) -> TextFormat:
+        limit = options.get("row_limit")
+        if limit is not None and int(limit) <= 0:
+            raise ValueError(f"row_limit must be positive, got {limit}")
+        return cls(
+            delimiter=options.get("delimiter", ","),
+            encoding=options.get("encoding", "utf-8"),
+            has_header=str(options.get("has_header", "true")).lower() == "true",
+            row_limit=None if limit is None else int(limit),
+        )
+
+    @contextmanager
+    def records(self, uri: str) -> Iterator[Iterator[list[str]]]:
+        """All records of an archive's table, header included."""
+        csv.field_size_limit(sys.maxsize)
+        with open_archive(uri) as archive, archive.open(choose_member(archive)) as member:
+            text = io.TextIOWrapper(member, encoding=self.encoding)
+            yield csv.reader(text, delimiter=self.delimiter)
+
+
+@dataclass
+class ArchiveSlice(InputPartition):
+    """Every ``of``-th batch of an archive, starting with batch ``index``."""
+
+    uri: str
+    index: int = 0
+    of: int = 1
+
+
+class ZipCsvReader(DataSourceReader):
+    def __init__(self, schema: StructType, options, text: TextFormat):
+        self._names = schema.fieldNames()
+        self._text = text
+        self._path = options["path"]
+        self._slice_bytes = int(options.get("slice_bytes", SLICE_BYTES))
+
+    def partitions(self) -> list[ArchiveSlice]:
+        parts = []
+        for uri in matching_archives(self._path):
+            slices = 1
+            if self._text.row_limit is None:
+                with open_archive(uri) as archive:
+                    slices = -(-choose_member(archive).file_size // self._slice_bytes) or 1
+            parts += [ArchiveSlice(uri, i, slices) for i in range(slices)]
+        return parts
+
+    def read(self, partition: ArchiveSlice) -> Iterator[pa.RecordBatch]:
+        width = len(self._names)
+        schema = pa.schema([(name, pa.string()) for name in self._names])
+        padding = [None] * width
+        with self._text.records(partition.uri) as records:
+            if self._text.has_header:
+                next(records, None)
+            rows = islice(records, self._text.row_limit)
+            turn = 0
+            while batch := list(islice(rows, BATCH_ROWS)):
+                if turn % partition.of == partition.index:
+                    columns = zip(*((row + padding)[:width] for row in batch))
+                    arrays = [pa.array(c, pa.string()) for c in columns]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+                turn += 1
+
+
+class ZipCsvDataSource(DataSource):
+    """Options: ``delimiter``, ``encoding``, ``has_header``, ``row_limit`` (per archive, in file
+    order), ``slice_bytes``. With a header the first archive names the columns; without one a
+    schema is required. Short rows are filled with NULL, long rows cut."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "zip_csv"
+
+    def schema(self) -> StructType:
+        text = TextFormat.of(self.options)
+        if not text.has_header:
+            raise ValueError("zip_csv needs a schema when has_header is false")
+        with text.records(matching_archives(self.options["path"])[0]) as records:
+            columns = next(records, [])
+        if not columns:
+            raise ValueError("zip_csv found no header line")
+        return StructType([StructField(name, StringType()) for name in columns])
+
+    def reader(self, schema: StructType) -> ZipCsvReader:
+        return ZipCsvReader(schema, self.options, TextFormat.of(self.options))
