@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rollbook.operators.history import VERSION_COLUMNS, first_versions, is_open, next_versions
 from rollbook.operators.layout import REFERENCE_DATE, RUN_ID, clustered
+from rollbook.session import tune
 
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 _RUN_ID = re.compile(r"[A-Za-z0-9_]+")
@@ -52,6 +53,7 @@ class Warehouse:
 
     def __post_init__(self) -> None:
         checked_identifier(self.database)
+        tune(self.spark)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
 
     def full_name(self, name: str) -> str:
@@ -102,12 +104,7 @@ class Warehouse:
         if not self.exists(name):
             df.write.format("parquet").partitionBy(REFERENCE_DATE, RUN_ID).saveAsTable(table)
         else:
-            (
-                df.select(*self.read(name).columns)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .insertInto(table)
-            )
+            self._insert(name, df)
         return self.read(name)
 
     def advance_history(
@@ -141,11 +138,7 @@ class Warehouse:
                 writer = writer.bucketBy(self.buckets, key).sortBy(key)
             writer.saveAsTable(self.full_name(store))
         else:
-            (
-                moved.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .insertInto(self.full_name(store))
-            )
+            self._insert(store, moved)
         runs.append(run_id)
         committed = ", ".join(f"'{checked_run_id(r)}'" for r in runs)
         columns = ", ".join((*source.columns, *VERSION_COLUMNS))
@@ -158,6 +151,13 @@ class Warehouse:
         )
         return self.read(name)
 
+    def _insert(self, name: str, df: DataFrame) -> None:
+        """Write the partitions ``df`` holds and leave all others as they are."""
+        # A setting, because insertInto ignores the writer option of the same meaning.
+        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        table = self.full_name(name)
+        df.select(*self.spark.table(table).columns).write.insertInto(table, overwrite=True)
+
     def _point(self, name: str, select: str, *runs: str) -> None:
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.full_name(name)} "

@@ -1,0 +1,144 @@
+"""The archive reader, on archives built in a temporary folder."""
+
+from __future__ import annotations
+
+import io
+import zipfile
+
+import pytest
+
+from rollbook.sources import zip_csv
+from rollbook.sources.formats import read_source
+
+REGISTER = {"delimiter": ";", "encoding": "latin1", "has_header": False, "columns": ["a", "b", "c"]}
+
+
+def make_zip(path, members, encoding="latin1"):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+        for name, content in members.items():
+            if name.endswith("/"):
+                archive.mkdir(name)
+            else:
+                archive.writestr(name, content.encode(encoding))
+    return str(path)
+
+
+def read(spark, uri, options=REGISTER, limit=None):
+    return [tuple(r) for r in read_source(spark, "zip_csv", uri, options, limit).collect()]
+
+
+def test_limit_and_header(spark, tmp_path):
+    uri = make_zip(tmp_path / "a.zip", {"sample.csv": "code;description\n001;First\n002;Second\n"})
+    options = {"delimiter": ";"}
+    frame = read_source(spark, "http_zip_csv", uri, options, 1)
+    assert frame.columns == ["code", "description"]
+    assert [tuple(r) for r in frame.collect()] == [("001", "First")]
+
+
+def test_rows_get_the_declared_width(spark, tmp_path):
+    uri = make_zip(tmp_path / "a.zip", {"DATA.CSV": "1;2;3;4\n1\n\n;;\n"})
+    assert read(spark, uri) == [
+        ("1", "2", "3"), ("1", None, None), (None, None, None), ("", "", ""),
+    ]
+
+
+def test_quotes_and_accents(spark, tmp_path):
+    text = '"a""b";"back\\";"two\nlines"\r\nção;x"y;' + chr(0xA0) + "\r\n"
+    uri = make_zip(tmp_path / "a.zip", {"x.csv": text})
+    assert read(spark, uri) == [('a"b', "back\\", "two\nlines"), ("ção", 'x"y', chr(0xA0))]
+
+
+@pytest.mark.parametrize(
+    ("members", "expected"),
+    [
+        ({"dir/": "", "K3241.EMPRECSV": "1;2;3\n"}, "1"),
+        ({"readme.txt": "no;no;no\n", "second.csv": "2;2;3\n"}, "2"),
+        ({"first.txt": "1;2;3\n", "other.txt": "2;2;3\n"}, "1"),
+    ],
+    ids=["no suffix", "csv wins", "first file"],
+)
+def test_member_choice(spark, tmp_path, members, expected):
+    assert read(spark, make_zip(tmp_path / "a.zip", members))[0][0] == expected
+
+
+def test_empty_archive_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="No file inside"):
+        read(spark, make_zip(tmp_path / "a.zip", {"dir/": ""}))
+
+
+def test_empty_member_gives_no_rows(spark, tmp_path):
+    uri = make_zip(tmp_path / "a.zip", {"x.csv": ""})
+    assert read(spark, uri) == []
+
+
+def test_glob_reads_all_archives_in_parallel(spark, tmp_path):
+    for i in range(3):
+        make_zip(tmp_path / f"Part{i}.zip", {"x.csv": f"{i};x;y\n" * 5})
+    make_zip(tmp_path / "Other.zip", {"x.csv": "9;x;y\n"})
+    frame = read_source(spark, "zip_csv", f"{tmp_path}/Part*.zip", REGISTER)
+    assert frame.rdd.getNumPartitions() == 3
+    assert sorted(r.a for r in frame.collect()) == ["0"] * 5 + ["1"] * 5 + ["2"] * 5
+    limited = read_source(spark, "zip_csv", f"{tmp_path}/Part*.zip", REGISTER, 2)
+    assert limited.count() == 6
+
+
+def test_no_match_is_an_error(spark, tmp_path):
+    with pytest.raises(Exception, match="No archive matches"):
+        read(spark, f"{tmp_path}/None*.zip")
+
+
+def test_a_large_archive_is_read_in_slices(spark, tmp_path):
+    count = 3 * zip_csv.BATCH_ROWS + 17
+    uri = make_zip(tmp_path / "a.zip", {"x.csv": "".join(f"{i};x;y\n" for i in range(count))})
+    size = len("".join(f"{i};x;y\n" for i in range(count)))
+    options = {**REGISTER, "slice_bytes": size // 4}
+    frame = read_source(spark, "zip_csv", uri, options)
+    assert frame.rdd.getNumPartitions() >= 4
+    assert sorted(int(r.a) for r in frame.collect()) == list(range(count))
+
+
+def test_declarations_are_checked(spark, tmp_path):
+    uri = make_zip(tmp_path / "a.zip", {"x.csv": "1;2;3\n"})
+    with pytest.raises(ValueError, match="columns"):
+        read(spark, uri, {"has_header": False})
+    with pytest.raises(ValueError, match="positive"):
+        read(spark, uri, limit=0)
+    with pytest.raises(ValueError, match="Unsupported source format"):
+        read_source(spark, "ftp", uri, REGISTER)
+
+
+class FakeResponse(io.BytesIO):
+    def __init__(self, body, status, headers):
+        super().__init__(body)
+        self.status, self.headers = status, headers
+
+
+def test_http_archives_are_read_by_ranges(tmp_path, monkeypatch):
+    path = make_zip(tmp_path / "a.zip", {"x.csv": "1;2;3\n" * 1000})
+    body = open(path, "rb").read()
+    asked = []
+
+    def urlopen(request, timeout):
+        if request.get_method() == "HEAD":
+            return FakeResponse(b"", 200, {"Content-Length": str(len(body))})
+        first, last = request.headers["Range"].removeprefix("bytes=").split("-")
+        asked.append((int(first), int(last)))
+        return FakeResponse(body[int(first) : int(last) + 1], 206, {})
+
+    monkeypatch.setattr(zip_csv.urllib.request, "urlopen", urlopen)
+    with zip_csv.open_archive("https://example.org/a.zip") as archive:
+        assert archive.read("x.csv") == b"1;2;3\n" * 1000
+    assert asked and all(0 <= a <= b < len(body) for a, b in asked)
+
+
+def test_plain_csv_and_json(spark, tmp_path):
+    (tmp_path / "a.csv").write_bytes('1;"x ""y""";ção\n2;b\n'.encode("latin1"))
+    rows = read_source(spark, "csv", str(tmp_path / "a.csv"), REGISTER).collect()
+    assert [tuple(r) for r in rows] == [("1", 'x "y"', "ção"), ("2", "b", None)]
+    (tmp_path / "b.csv").write_text("x,y\n1,2\n3,4\n")
+    frame = read_source(spark, "csv", str(tmp_path / "b.csv"), {}, 1)
+    assert frame.columns == ["x", "y"] and frame.count() == 1
+    (tmp_path / "a.json").write_text('{"data": [{"a": "1", "b": 2}, {"a": "3"}]}')
+    options = {"columns": ["a", "b"], "records_path": "data", "multi_line": True}
+    rows = read_source(spark, "json", str(tmp_path / "a.json"), options).collect()
+    assert [tuple(r) for r in rows] == [("1", "2"), ("3", None)]
