@@ -16,6 +16,7 @@ from rollbook.operators import history, layout, quality
 from rollbook.operators.upsert import current_state, upsert
 from rollbook.plans import intermediate, marts, rules, serving
 from rollbook.plans.schemas import FULL, RAW_COLUMNS, ROOT
+from rollbook.plans.staging import STAGING
 from rollbook.session import scratch_path, written
 from rollbook.sources.formats import read_source
 
@@ -45,11 +46,10 @@ for _source in RAW_COLUMNS:
 
 @query
 def expr_clean_text(r: Register) -> DataFrame:
-    padded = F.concat(F.chr(F.lit(160)), "text", F.lit("  "))
     return r.given("documents").select(
         "doc_id",
         std.clean_text("text").alias("text"),
-        std.clean_text(padded).alias("padded_text"),
+        std.clean_text("concat(chr(160), text, '  ')").alias("padded_text"),
         std.clean_text("lang").alias("lang"),
         std.clean_text("n_chars").alias("n_chars"),
     )
@@ -80,20 +80,21 @@ def expr_standardize_code(r: Register) -> DataFrame:
 
 @query
 def expr_parse_date(r: Register) -> DataFrame:
-    day = F.col("registration_status_date")
+    day = "registration_status_date"
+    dashed = f"concat_ws('-', substr({day}, 1, 4), substr({day}, 5, 2), substr({day}, 7, 2))"
+    texts = {
+        "eight_digits": day,
+        "no_such_day": "activity_start_date",
+        "filler": "special_status_date",
+        "seven_digits": f"substr({day}, 1, 7)",
+        "six_digits": f"substr({day}, 1, 6)",
+        "nine_digits": f"{day} || '1'",
+        "tab_before": f"chr(9) || {day} || ' '",
+        "dashed": dashed,
+        "words": "trade_name",
+    }
     return r.raw("establishments").select(
-        "postal_code",
-        std.parse_compact_date(day).alias("eight_digits"),
-        std.parse_compact_date("activity_start_date").alias("no_such_day"),
-        std.parse_compact_date("special_status_date").alias("filler"),
-        std.parse_compact_date(F.substring(day, 1, 7)).alias("seven_digits"),
-        std.parse_compact_date(F.substring(day, 1, 6)).alias("six_digits"),
-        std.parse_compact_date(F.concat(day, F.lit("1"))).alias("nine_digits"),
-        std.parse_compact_date(F.concat(F.chr(F.lit(9)), day, F.lit(" "))).alias("tab_before"),
-        std.parse_compact_date(
-            F.concat_ws("-", F.substring(day, 1, 4), F.substring(day, 5, 2), F.substring(day, 7, 2))
-        ).alias("dashed"),
-        std.parse_compact_date("trade_name").alias("words"),
+        "postal_code", *(std.parse_compact_date(text).alias(name) for name, text in texts.items())
     )
 
 
@@ -104,28 +105,29 @@ def expr_yes_no(r: Register) -> DataFrame:
         "simples_option_date",
         std.yes_no_to_boolean("simples_option").alias("is_simples"),
         std.yes_no_to_boolean("mei_option").alias("is_mei"),
-        std.yes_no_to_boolean(F.lower("mei_option")).alias("is_mei_lower"),
-        std.yes_no_to_boolean(F.nullif("simples_option", F.lit("N"))).alias("is_simples_null"),
+        std.yes_no_to_boolean("lower(mei_option)").alias("is_mei_lower"),
+        std.yes_no_to_boolean("nullif(simples_option, 'N')").alias("is_simples_null"),
     )
 
 
 @query
 def expr_decimal_comma(r: Register) -> DataFrame:
-    text = F.col("share_capital")
+    texts = {
+        "amount": "share_capital",
+        "negative_rounded": "' -' || share_capital || '5 '",
+        "thousands_dot": "'1.' || share_capital",
+        "exponent": "share_capital || 'e3'",
+        "too_large": "'99999999999999' || share_capital",
+        "words": "legal_name",
+    }
     return r.raw("companies").select(
-        ROOT,
-        std.parse_amount(text).alias("amount"),
-        std.parse_amount(F.concat(F.lit(" -"), text, F.lit("5 "))).alias("negative_rounded"),
-        std.parse_amount(F.concat(F.lit("1."), text)).alias("thousands_dot"),
-        std.parse_amount(F.concat(text, F.lit("e3"))).alias("exponent"),
-        std.parse_amount(F.concat(F.lit("99999999999999"), text)).alias("too_large"),
-        std.parse_amount("legal_name").alias("words"),
+        ROOT, *(std.parse_amount(text).alias(name) for name, text in texts.items())
     )
 
 
 @query
 def expr_concat_key(r: Register) -> DataFrame:
-    order = F.nullif("branch_order", F.lit("0"))
+    order = "nullif(branch_order, '0')"
     return r.raw("establishments").select(
         "postal_code", std.establishment_key(ROOT, order, "check_digits").alias(FULL)
     )
@@ -213,9 +215,7 @@ def expr_defaults_and_constants(r: Register) -> DataFrame:
 def filter_null_keys(r: Register) -> DataFrame:
     """Only rows whose standardized key is known survive staging."""
     raw = r.raw("simples").withColumn(ROOT, F.nullif("simples_option", F.lit("N")))
-    from rollbook.plans.staging import stg_simples
-
-    return stg_simples(raw)
+    return STAGING["simples"](raw)
 
 
 @query
@@ -623,9 +623,7 @@ def ingest_csv(r: Register) -> DataFrame:
     r.raw("partners").write.options(sep=";", encoding="ISO-8859-1", escape='"').csv(path)
     options = {**_DELIMITED, "columns": RAW_COLUMNS["partners"]}
     raw = read_source(r.spark, "csv", path, options)
-    from rollbook.plans.staging import stg_partners
-
-    return stg_partners(raw)
+    return STAGING["partners"](raw)
 
 
 @query

@@ -1,4 +1,9 @@
-"""Standardization of all-string register columns; every function maps Column to Column."""
+"""Standardization of all-string register columns.
+
+Every function takes a column name, or any SQL expression of a text, and returns a Column. The
+rules are written as SQL text because a staging model has some sixty of them: one text is one
+call to the JVM, where the same rule built from Column methods is a dozen.
+"""
 
 from __future__ import annotations
 
@@ -16,59 +21,55 @@ _COMPACT_DATE = (
     rf"[\t\n\x0B\f\r ]*[{SPACES}]*\z|\A[\s\S]*\z"
 )
 
-ColumnOrName = Column | str
-
 
-def _column(value: ColumnOrName) -> Column:
-    return F.col(value) if isinstance(value, str) else value
+def _clean(value: str) -> str:
+    """All padding but the plain space is outside ASCII, so ASCII text, which has as many bytes
+    as characters, takes the much faster plain trim."""
+    text = f"CAST({value} AS STRING)"
+    return (
+        f"nullif(CASE WHEN octet_length({text}) = char_length({text}) THEN trim({text}) "
+        f"ELSE trim(BOTH '{SPACES}' FROM {text}) END, '')"
+    )
 
 
-def clean_text(value: ColumnOrName) -> Column:
-    """Text without outer padding; empty text is NULL.
-
-    All padding but the plain space is outside ASCII, so ASCII text, which has as many bytes as
-    characters, takes the much faster plain trim.
-    """
-    text = _column(value).cast("string")
-    is_ascii = F.octet_length(text) == F.char_length(text)
-    trimmed = F.when(is_ascii, F.trim(text)).otherwise(F.trim(text, F.lit(SPACES)))
-    return F.nullif(trimmed, F.lit(""))
+def clean_text(value: str) -> Column:
+    """Text without outer padding; empty text is NULL."""
+    return F.expr(_clean(value))
 
 
-def clean_upper(value: ColumnOrName) -> Column:
-    return F.upper(clean_text(value))
+def clean_upper(value: str) -> Column:
+    return F.expr(f"upper({_clean(value)})")
 
 
-def clean_lower(value: ColumnOrName) -> Column:
-    return F.lower(clean_text(value))
+def clean_lower(value: str) -> Column:
+    return F.expr(f"lower({_clean(value)})")
 
 
-def standardize_code(value: ColumnOrName, width: int) -> Column:
+def standardize_code(value: str, width: int) -> Column:
     """Code of exactly ``width`` characters: short codes get leading zeros, long ones are cut."""
-    return F.lpad(clean_text(value), width, "0")
+    return F.expr(f"lpad({_clean(value)}, {width}, '0')")
 
 
-def parse_compact_date(value: ColumnOrName) -> Column:
+def parse_compact_date(value: str) -> Column:
     """Date from year, month and day digits; the day may have one digit. Anything else is NULL.
 
     The pattern settles all but the length of the month, so filler values (``0``, ``00000000``)
     never reach the date parser, whose failure path is slow.
     """
-    text = _column(value).cast("string")
-    dashed = F.regexp_replace(text, _COMPACT_DATE, "$1-$2-$3")
-    return F.when(F.length(text) >= 7, dashed.try_cast("date"))
+    dashed = f"regexp_replace({value}, r'{_COMPACT_DATE}', '$1-$2-$3')"
+    return F.expr(f"CASE WHEN length({value}) >= 7 THEN try_cast({dashed} AS DATE) END")
 
 
-def yes_no_to_boolean(value: ColumnOrName) -> Column:
+def yes_no_to_boolean(value: str) -> Column:
     """True for ``S`` in either case; all else, NULL included, is false."""
-    return F.coalesce(clean_upper(value) == "S", F.lit(False))
+    return F.expr(f"coalesce(upper({_clean(value)}) = 'S', false)")
 
 
-def parse_amount(value: ColumnOrName) -> Column:
+def parse_amount(value: str) -> Column:
     """decimal(18,2) from text with a decimal comma; NULL when it is not a number that fits."""
-    return F.replace(clean_text(value), F.lit(","), F.lit(".")).try_cast("decimal(18,2)")
+    return F.expr(f"try_cast(replace({_clean(value)}, ',', '.') AS DECIMAL(18,2))")
 
 
-def establishment_key(root: ColumnOrName, order: ColumnOrName, digits: ColumnOrName) -> Column:
+def establishment_key(root: str, order: str, digits: str) -> Column:
     """Full establishment number; NULL when any part is NULL."""
-    return F.concat(_column(root), _column(order), _column(digits))
+    return F.expr(f"concat({root}, {order}, {digits})")

@@ -17,9 +17,9 @@ from rollbook.functions import standardize as std
 NBSP, EM_SPACE = chr(0xA0), chr(0x2003)
 
 
-def apply(spark, expression, values, kind="string"):
+def apply(spark, expression, values, kind="string", argument="v"):
     frame = spark.createDataFrame([(i, v) for i, v in enumerate(values)], f"i int, v {kind}")
-    found = frame.select("i", expression(F.col("v")).alias("out")).collect()
+    found = frame.select("i", expression(argument).alias("out")).collect()
     return [r.out for r in sorted(found, key=lambda r: r.i)]
 
 
@@ -131,7 +131,7 @@ def test_random_texts_agree_with_duckdb(spark, expression, sql, alphabet):
 
 def test_capital_range(spark):
     values = [Decimal(v) for v in ("-5", "0", "9999.99", "10000", "99999.99", "100000", "1000000")]
-    found = apply(spark, labels.capital_range, [*values, None], "decimal(18,2)")
+    found = apply(spark, labels.capital_range, [*values, None], "decimal(18,2)", F.col("v"))
     assert found == [
         "up_to_10k", "up_to_10k", "up_to_10k", "10k_to_100k", "10k_to_100k", "100k_to_1m",
         "over_1m", "over_1m",
@@ -142,11 +142,14 @@ def test_labels(spark):
     def status(c):
         return labels.label_of(c, labels.REGISTRATION_STATUS_LABELS)
 
-    found = apply(spark, status, ["01", "02", "08", "09", None])
+    found = apply(spark, status, ["01", "02", "08", "09", None], argument=F.col("v"))
     assert found == ["null", "active", "closed", "unknown", "unknown"]
 
 
 def test_flags_are_never_null(spark):
-    assert apply(spark, lambda c: labels.equals_flag(c, "1"), ["1", "2", None]) == [True, False, False]
-    assert apply(spark, lambda c: labels.present_flag(c), ["", None]) == [True, False]
-    assert apply(spark, labels.false_last, [True, False, None], "boolean") == [0, 1, 1]
+    def flags(function, values, kind="string"):
+        return apply(spark, function, values, kind, F.col("v"))
+
+    assert flags(lambda c: labels.equals_flag(c, "1"), ["1", "2", None]) == [True, False, False]
+    assert flags(labels.present_flag, ["", None]) == [True, False]
+    assert flags(labels.false_last, [True, False, None], "boolean") == [0, 1, 1]
