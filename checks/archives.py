@@ -15,8 +15,13 @@ from pyspark.sql import DataFrame
 from rollbook.session import scratch_path
 
 
-def archived(df: DataFrame, archives: int, delimiter: str = ";", encoding: str = "latin1") -> str:
-    """Write ``df`` into ``archives`` zip files, one per task; returns their folder."""
+def archived(
+    df: DataFrame, archives: int | None = None, delimiter: str = ";", encoding: str = "latin1"
+) -> str:
+    """Write ``df`` into zip files, one per partition and at least ``archives``; returns their
+    folder."""
+    if archives is not None:
+        df = df.repartition(max(archives, df.rdd.getNumPartitions()))
     folder = scratch_path(df.sparkSession, "archives")
     filesystem, path = fs.FileSystem.from_uri(folder)
     filesystem.create_dir(path)
@@ -37,5 +42,5 @@ def archived(df: DataFrame, archives: int, delimiter: str = ";", encoding: str =
                 rows += batch.num_rows
         yield pa.RecordBatch.from_pydict({"rows": [rows]})
 
-    df.repartition(archives).mapInArrow(write, "rows long").agg({"rows": "sum"}).collect()
+    df.mapInArrow(write, "rows long").agg({"rows": "sum"}).collect()
     return folder

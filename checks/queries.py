@@ -15,9 +15,10 @@ from rollbook.functions import standardize as std
 from rollbook.operators import history, layout, quality
 from rollbook.operators.upsert import current_state, upsert
 from rollbook.plans import intermediate, marts, rules, serving
+from rollbook.plans.pipeline import SNAPSHOT_COLUMNS
 from rollbook.plans.schemas import FULL, RAW_COLUMNS, ROOT
 from rollbook.plans.staging import STAGING
-from rollbook.session import scratch_path, written
+from rollbook.session import all_written, scratch_path, written
 from rollbook.sources.formats import read_source
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -234,11 +235,11 @@ def join_left_rollup(r: Register) -> DataFrame:
 
 @query
 def join_left_chain(r: Register) -> DataFrame:
-    profile = r.profile.select(ROOT, "legal_name", "is_simples")
+    profile, partners = r.company_tables
     return (
         r.activity.select(FULL, ROOT, "state")
-        .join(profile, ROOT, "left")
-        .join(r.partners, ROOT, "left")
+        .join(profile.select(ROOT, "legal_name", "is_simples"), ROOT, "left")
+        .join(partners, ROOT, "left")
     )
 
 
@@ -457,28 +458,27 @@ def dq_business_rule(r: Register) -> DataFrame:
 @query
 def dq_suite(r: Register) -> DataFrame:
     """Every declared rule over every table; tables are written once and then checked."""
-    tables = {f"stg_{source}": written(r.stg(source), source) for source in RAW_COLUMNS}
-    profile = written(
-        intermediate.company_profile(tables["stg_companies"], tables["stg_simples"]), "profile"
-    )
-    activity = written(
-        intermediate.establishment_activity(tables["stg_establishments"]), "activity"
+    tables = all_written({f"stg_{source}": r.stg(source) for source in RAW_COLUMNS})
+    activity = intermediate.establishment_activity(tables["stg_establishments"])
+    cnaes = marts.dim_cnaes(tables["stg_cnaes"])
+    profile = intermediate.company_profile(tables["stg_companies"], tables["stg_simples"])
+    tables |= all_written(
+        {
+            "company_profile": profile,
+            "partner_metrics": intermediate.partner_metrics(tables["stg_partners"]),
+            "dim_establishments": marts.dim_establishments(activity, cnaes),
+        }
     )
-    partners = written(intermediate.partner_metrics(tables["stg_partners"]), "partners")
+    profile, partners = tables["company_profile"], tables["partner_metrics"]
     base = written(intermediate.active_company_base(activity, profile, partners), "base")
-    cnaes = written(marts.dim_cnaes(tables["stg_cnaes"]), "dim_cnaes")
+    capital = profile.select(*SNAPSHOT_COLUMNS)
     tables |= {
-        "company_profile": profile,
         "establishment_activity": activity,
-        "partner_metrics": partners,
         "active_company_base": base,
         "dim_cnaes": cnaes,
         "dim_companies": marts.dim_companies(profile),
-        "dim_establishments": written(marts.dim_establishments(activity, cnaes), "dim_est"),
         "fct_active_companies": written(marts.fct_active_companies(base), "fact"),
-        "share_capital_snapshot": history.first_versions(
-            profile.select(*r.capital_source(0).columns), ROOT, run_time(0)
-        ),
+        "share_capital_snapshot": history.first_versions(capital, ROOT, run_time(0)),
     }
     return rules.run_checks(tables)
 
@@ -593,7 +593,9 @@ def invalid_and_late_records(r: Register) -> DataFrame:
 _DELIMITED = {"delimiter": ";", "encoding": "latin1", "has_header": False}
 
 
-def _read_archives(r: Register, source: str, archives: int, row_limit: int | None = None):
+def _read_archives(
+    r: Register, source: str, archives: int | None = None, row_limit: int | None = None
+) -> DataFrame:
     path = archived(r.raw(source), archives)
     options = {**_DELIMITED, "columns": RAW_COLUMNS[source]}
     return read_source(r.spark, "zip_csv", f"{path}/*.zip", options, row_limit)
@@ -601,19 +603,19 @@ def _read_archives(r: Register, source: str, archives: int, row_limit: int | Non
 
 @query
 def ingest_zip_csv(r: Register) -> DataFrame:
-    """All activity codes through one archive."""
-    return _read_archives(r, "cnaes", 1)
+    """All activity codes through archives, one per task that writes them."""
+    return _read_archives(r, "cnaes")
 
 
 @query
 def ingest_multi_archive(r: Register) -> DataFrame:
-    """All establishments through eight archives."""
+    """All establishments through eight archives or more."""
     return _read_archives(r, "establishments", 8)
 
 
 @query
 def ingest_row_limit(r: Register) -> DataFrame:
-    """The declared sample: at most 100 rows from each of four archives."""
+    """The declared sample: the first rows of each archive, here 100."""
     return _read_archives(r, "companies", 4, 100).agg(F.count(F.lit(1)).alias("row_count"))
 
 

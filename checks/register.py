@@ -23,7 +23,7 @@ from rollbook.operators.layout import with_run_metadata
 from rollbook.plans import intermediate, marts
 from rollbook.plans.pipeline import SNAPSHOT_COLUMNS
 from rollbook.plans.staging import STAGING
-from rollbook.session import tune
+from rollbook.session import all_written, tune
 
 
 class Register:
@@ -53,9 +53,15 @@ class Register:
     def partners(self) -> DataFrame:
         return intermediate.partner_metrics(self.stg("partners"))
 
+    @cached_property
+    def company_tables(self) -> tuple[DataFrame, DataFrame]:
+        """Profile and partner metrics, written as the job writes them."""
+        tables = all_written({"profile": self.profile, "partner_metrics": self.partners})
+        return tables["profile"], tables["partner_metrics"]
+
     @cached_property
     def base(self) -> DataFrame:
-        return intermediate.active_company_base(self.activity, self.profile, self.partners)
+        return intermediate.active_company_base(self.activity, *self.company_tables)
 
     @cached_property
     def cnaes(self) -> DataFrame:

@@ -81,7 +81,9 @@ def active_company_base(
     """Active establishments with their company's profile and partner metrics.
 
     Only active rows and only the columns of the result enter the joins; both joins use the
-    company key, so the establishments are shuffled once.
+    company key, so the establishments are shuffled once. ``profile`` and ``partners`` should be
+    written tables: adaptive execution splits a hot company only where both sides of a join
+    come straight from a shuffle, not where the right side is still a join or an aggregation.
     """
     active = activity.filter("is_active")
     profile_columns = [c for c in profile.columns if c != ROOT]

@@ -22,6 +22,7 @@ from rollbook.plans.rules import run_checks
 from rollbook.plans.schemas import ROOT, intermediate_table, snapshot_table, staging_table
 from rollbook.plans.staging import STAGING
 from rollbook.plans.warehouse import Warehouse
+from rollbook.session import concurrently
 
 SNAPSHOT_SUBJECT = "share_capital"
 SNAPSHOT_COLUMNS = (
@@ -35,14 +36,16 @@ def stage(
     warehouse: Warehouse, raw: Mapping[str, DataFrame], run: Run, materialize: bool = False
 ) -> dict[str, DataFrame]:
     """The staging models by source: views, or written tables for large sources."""
-    staged = {}
-    for source, model in STAGING.items():
-        name, rows = staging_table(source), model(raw[source])
-        if materialize:
-            rows = warehouse.publish(name, rows, run.run_id)
-        else:
-            rows.createOrReplaceTempView(name)
-        staged[source] = rows
+    staged = {source: model(raw[source]) for source, model in STAGING.items()}
+    if materialize:
+        return concurrently(
+            {
+                source: lambda s=source, d=df: warehouse.publish(staging_table(s), d, run.run_id)
+                for source, df in staged.items()
+            }
+        )
+    for source, df in staged.items():
+        df.createOrReplaceTempView(staging_table(source))
     return staged
 
 
@@ -61,21 +64,35 @@ def build(
         return publish(name, df, cluster_by=CLUSTERING[name], **layout)
 
     stg = stage(warehouse, raw, run, materialize_staging)
-    profile = publish_intermediate(
-        "company_profile", company_profile(stg["companies"], stg["simples"])
+    tables = concurrently(
+        {
+            "company_profile": lambda: publish_intermediate(
+                "company_profile", company_profile(stg["companies"], stg["simples"])
+            ),
+            "establishment_activity": lambda: publish_intermediate(
+                "establishment_activity", establishment_activity(stg["establishments"])
+            ),
+            "partner_metrics": lambda: publish_intermediate(
+                "partner_metrics", partner_metrics(stg["partners"])
+            ),
+            "dim_cnaes": lambda: publish_mart("dim_cnaes", dim_cnaes(stg["cnaes"])),
+        }
     )
-    activity = publish_intermediate(
-        "establishment_activity", establishment_activity(stg["establishments"])
+    profile, activity = tables["company_profile"], tables["establishment_activity"]
+    tables |= concurrently(
+        {
+            "active_company_base": lambda: publish_intermediate(
+                "active_company_base",
+                active_company_base(activity, profile, tables["partner_metrics"]),
+            ),
+            "dim_companies": lambda: publish_mart("dim_companies", dim_companies(profile)),
+            "dim_establishments": lambda: publish_mart(
+                "dim_establishments", dim_establishments(activity, tables["dim_cnaes"])
+            ),
+        }
     )
-    partners = publish_intermediate("partner_metrics", partner_metrics(stg["partners"]))
-    base = publish_intermediate(
-        "active_company_base", active_company_base(activity, profile, partners)
-    )
-    cnaes = publish_mart("dim_cnaes", dim_cnaes(stg["cnaes"]))
-    companies = publish_mart("dim_companies", dim_companies(profile))
-    establishments = publish_mart("dim_establishments", dim_establishments(activity, cnaes))
 
-    batch = fct_active_companies(base)
+    batch = fct_active_companies(tables["active_company_base"])
     kept = warehouse.version_before("fct_active_companies", run.run_id)
     if kept is not None:
         # The batch is read for its keys and for its rows: write it once.
@@ -84,13 +101,7 @@ def build(
 
     return {
         **{f"stg_{source}": df for source, df in stg.items()},
-        "company_profile": profile,
-        "establishment_activity": activity,
-        "partner_metrics": partners,
-        "active_company_base": base,
-        "dim_cnaes": cnaes,
-        "dim_companies": companies,
-        "dim_establishments": establishments,
+        **tables,
         "fct_active_companies": fact,
     }
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,3 +73,15 @@ def written(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def concurrently[T](jobs: Mapping[str, Callable[[], T]]) -> dict[str, T]:
+    """Run independent jobs side by side, so that small ones do not leave the cluster idle."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        started = {name: pool.submit(job) for name, job in jobs.items()}
+        return {name: job.result() for name, job in started.items()}
+
+
+def all_written(frames: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """Write independent frames side by side; see ``written``."""
+    return concurrently({name: lambda n=name, d=df: written(d, n) for name, df in frames.items()})
