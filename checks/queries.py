@@ -370,17 +370,23 @@ def incremental_first_batch(r: Register) -> DataFrame:
     return upsert(None, r.fact, [ROOT])
 
 
+def _two_facts(r: Register) -> tuple[DataFrame, DataFrame]:
+    """Target and batch as the job has them: written, because an upsert reads its batch twice."""
+    facts = all_written({"fact": r.fact, "fact_batch": r.second_fact})
+    return facts["fact"], facts["fact_batch"]
+
+
 @query
 def incremental_second_batch(r: Register) -> DataFrame:
-    return upsert(r.fact, r.second_fact, [ROOT])
+    return upsert(*_two_facts(r), [ROOT])
 
 
 @query
 def incremental_schema_sync(r: Register) -> DataFrame:
-    batch = r.second_fact.drop("municipality_code").withColumn(
-        "source_reference_date", F.lit(RELEASES[1]).cast("date")
-    )
-    return upsert(r.fact, batch, [ROOT])
+    target, batch = _two_facts(r)
+    reference_date = F.lit(RELEASES[1]).cast("date")
+    batch = batch.drop("municipality_code").withColumn("source_reference_date", reference_date)
+    return upsert(target, batch, [ROOT])
 
 
 # History.
@@ -389,9 +395,11 @@ CAPITAL = (ROOT, ("share_capital",))
 
 
 def _versions(r: Register, releases: int) -> DataFrame:
+    """The history after some releases; each is written before the next one reads it."""
     versions = history.first_versions(r.capital_source(0), ROOT, run_time(0))
     for release in range(1, releases):
-        versions = history.advance(versions, r.capital_source(release), *CAPITAL, run_time(release))
+        stored = written(versions, "versions")
+        versions = history.advance(stored, r.capital_source(release), *CAPITAL, run_time(release))
     return versions
 
 

@@ -75,9 +75,13 @@ class HttpFile(io.RawIOBase):
         return len(data)
 
 
+def _is_http(uri: str) -> bool:
+    return uri.startswith(("http://", "https://"))
+
+
 @contextmanager
 def open_archive(uri: str) -> Iterator[zipfile.ZipFile]:
-    if uri.startswith(("http://", "https://")):
+    if _is_http(uri):
         stream = io.BufferedReader(HttpFile(uri), 8 << 20)
     else:
         filesystem, path = fs.FileSystem.from_uri(uri)
@@ -86,9 +90,13 @@ def open_archive(uri: str) -> Iterator[zipfile.ZipFile]:
         yield archive
 
 
-def matching_archives(pattern: str) -> list[str]:
-    """Archives under a path or a glob on the last path part, in name order."""
-    if not any(c in pattern for c in "*?["):
+def matching_archives(address: str) -> list[str]:
+    """Archives of an address: a path, a glob on its last part, or several after commas."""
+    return [uri for part in address.split(",") for uri in _matches(part.strip())]
+
+
+def _matches(pattern: str) -> list[str]:
+    if _is_http(pattern) or not any(c in pattern for c in "*?["):
         return [pattern]
     folder, name = posixpath.split(pattern)
     filesystem, path = fs.FileSystem.from_uri(folder)

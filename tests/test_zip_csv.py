@@ -82,6 +82,17 @@ def test_glob_reads_all_archives_in_parallel(spark, tmp_path):
     assert limited.count() == 6
 
 
+def test_addresses(tmp_path):
+    for name in ("P1.zip", "P2.zip", "Q.zip"):
+        make_zip(tmp_path / name, {"x.csv": ""})
+    address = f"{tmp_path}/Q.zip, {tmp_path}/P*.zip"
+    found = zip_csv.matching_archives(address)
+    assert [f.removeprefix(f"{tmp_path}/") for f in found] == ["Q.zip", "P1.zip", "P2.zip"]
+    assert zip_csv.matching_archives(f"file://{tmp_path}/P*.zip")[0] == f"file://{tmp_path}/P1.zip"
+    one = "https://example.org/a.zip?token=1"
+    assert zip_csv.matching_archives(one) == [one]
+
+
 def test_no_match_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="No archive matches"):
         read(spark, f"{tmp_path}/None*.zip")
