@@ -7,6 +7,8 @@ from conftest import SMALL
 
 import __spark_entry__ as entry_points
 from checks.compare import difference, duckdb_over
+from checks.oracle import ORACLE
+from checks.queries import QUERIES
 
 ROWS_ONLY = {"layout_bytes_by_release", "ingest_row_limit"}
 
@@ -17,19 +19,21 @@ def connection():
 
 
 def test_every_query_has_sql_but_the_known_ones():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == ROWS_ONLY
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
+    assert set(ORACLE) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_its_sql(spark, connection, name):
-    result = entry_points.queries()[name](spark, SMALL)
-    assert difference(result, connection, entry_points.oracle_sql()[name]) == ""
+    result = QUERIES[name](spark, SMALL)
+    assert difference(result, connection, ORACLE[name]) == ""
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_query_without_sql_has_rows(spark, name):
-    assert entry_points.queries()[name](spark, SMALL).count() > 0
+    assert QUERIES[name](spark, SMALL).count() > 0
 
 
 def test_entry_returns_the_fact(spark):
