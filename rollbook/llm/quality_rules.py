@@ -45,6 +45,7 @@ def default_rules() -> tuple[Rule, ...]:
     return (
         Rule("symbol_rate", F.col("n_symbols") / words, 0.15),
         Rule("shout_rate", F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1)), 0.3),
+        Rule("stutter_rate", F.col("n_stutters") / words, 0.3),
         Rule("word_length", F.col("word_chars") / words, 15.0),
         Rule("repeat_rate", F.col("n_repeat_words") / words, 0.3),
         Rule("dup_line_rate", F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 0.5),
@@ -109,10 +110,11 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         covered.alias("n_repeat_words"),
         F.size("_lines").cast("long").alias("n_lines"),
         F.length(F.regexp_replace("_whole", r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
+        F.size(F.filter("_hashes", lambda h, i: h == F.get("_hashes", i - 1))).cast("long").alias("n_stutters"),
     )
 
 
-_OWN = (*MEASURES, "n_lines", "n_upper", "base_failed", "kept", "_whole", "_words", "_lines", "_hashes", "_sorted", "_places")
+_OWN = (*MEASURES, "n_lines", "n_upper", "n_stutters", "base_failed", "kept", "_whole", "_words", "_lines", "_hashes", "_sorted", "_places")
 
 
 def base_failed(least_words: int = 20, repeat_percent: int = 30) -> Column:
