@@ -4,13 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import table
 from rollbook.llm.line_dedup import line_dedup
+from rollbook.llm.packing import best_fit_packing
 from rollbook.llm.quality_rules import MEASURES, quality_rules
 from rollbook.llm.simhash import simhash_near_dedup
+from rollbook.llm.token_files import narrowest, read_token_files, write_token_files
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the public tokenizer files lie, on the driver and on every executor alike."""
+    return public_tokenizers.path(name)
+
+
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer_path("word_bpe_49k.json")
+    return best_fit_packing(table(spark, folder, "documents"), path, capacity=2048)
 
 
 def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -19,6 +32,13 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = tokenizer_path("byte_bpe_50k.json")
+    width = narrowest(50_257)
+    files = write_token_files(table(spark, folder, "documents"), path, end_id=2, width=width)
+    return read_token_files(files, width)
+
+
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return simhash_near_dedup(table(spark, folder, "documents"), shingle=3, distance=3)
 
@@ -29,7 +49,9 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op8_token_files": op8_token_files,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
 }

@@ -27,6 +27,7 @@ from itertools import combinations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,13 +64,14 @@ def fingerprint(text: bytes, shingle: int) -> int:
 def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     """``doc_id`` and ``fp``, the fingerprint's 64 bits as a signed long."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = np.array([fingerprint(t, shingle) for t in batch["text"]], dtype=np.uint64)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": bits.view(np.int64)})
+            bits = [fingerprint(t.as_py(), shingle) for t in batch.column("text")]
+            fp = pa.array(np.array(bits, dtype=np.uint64).view(np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fp], ["doc_id", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", utf8().alias("text")).mapInPandas(run, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", utf8().alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
 
 
 def _budgets(distance: int) -> list[int]:
