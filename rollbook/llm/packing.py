@@ -45,8 +45,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> D
         step = 4 * capacity
         for batch in batches:
             rows = []
-            for number, text in enumerate(batch.column("text")):
-                ids = encode([text.as_py()])[0] + end
+            for number, ids in enumerate(encode(batch.column("text").to_pylist())):
+                ids += end
                 for k, at in enumerate(range(0, len(ids), step)):
                     part = ids[at : at + step]
                     rows.append((number, k, at // 4, len(part) // 4, zlib.crc32(part)))

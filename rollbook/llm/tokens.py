@@ -2,69 +2,134 @@
 
 The tokenizers here split a text into units before they look anything up, so a text may be cut
 where a unit is sure to begin and its parts encoded alone. Words repeat, so each part's ids are
-kept in a table that is emptied when it holds ``limit`` entries: memory is bounded and every text
-is encoded whole. ``tests/llm`` compares the ids with those of the whole text.
+kept in a table of two generations: when the younger holds ``limit`` entries it becomes the older
+and the older goes, so memory is bounded, frequent parts stay, and every text is encoded whole.
+``tests/llm`` compares the ids with those of the whole text.
 """
 
 from __future__ import annotations
 
+import array
 import functools
-from collections.abc import Callable
+import os
 
-import numpy as np
 from tokenizers import Tokenizer
 
-#: A space before something that is not white space begins a unit of a byte-level tokenizer.
+#: A space before something that is not white space begins a unit of a byte-level tokenizer, and a
+#: line break between two such characters is a unit.
 BYTE_LEVEL = "byte"
-#: Where white space is dropped, any space or line break may be cut away.
+#: Where white space is dropped, spaces and line breaks may be cut away.
 SPACE_DROPPED = "dropped"
+#: A run of these after a letter is a unit.
+STOPS = ".,;:!?"
+
+
+class _Parts(dict):
+    """The ids of parts as bytes of little-endian unsigned 32-bit numbers."""
+
+    def __init__(self, tokenizer: Tokenizer, prefix: str, limit: int, folds: bool, stops: _Parts | None):
+        super().__init__()
+        self.tokenizer, self.prefix, self.limit, self.folds = tokenizer, prefix, limit, folds
+        self.stops = self if stops is None else stops
+        self.old: dict[str, bytes] = {}
+
+    def _word(self, part: str) -> str:
+        """The part whose ids this one's begin with: itself, or without stops, or in lower case."""
+        word = part.rstrip(STOPS)
+        if not word or not word[-1].isalpha():
+            word = part
+        return word.lower() if self.folds and word.isascii() else word
+
+    def learn(self, parts: set[str]) -> None:
+        """Encode in one call what a batch of texts brings anew."""
+        if len(self) >= self.limit:
+            self.old = dict(self)
+            self.clear()
+        words = {self._word(p) for p in parts if p not in self and p not in self.old}
+        words = [w for w in words if w not in self and w not in self.old]
+        if words:
+            coded = self.tokenizer.encode_batch_fast([self.prefix + w for w in words], add_special_tokens=False)
+            for word, code in zip(words, coded, strict=True):
+                self[word] = array.array("I", code.ids).tobytes()
+
+    def __missing__(self, part: str) -> bytes:
+        ids = self.old.get(part)
+        if ids is None:
+            word = self._word(part)
+            if word == part:
+                self.learn({part})
+                return self[part]
+            rest = part[len(word) :]
+            ids = self[word] + self.stops[rest] if rest else self[word]
+        self[part] = ids
+        return ids
 
 
-def _cut_byte_level(text: str) -> list[str]:
-    parts = text.split(" ")
-    out = parts[:1]
-    spaced = ""
-    for part in parts[1:]:
-        if not part or part[0].isspace():
-            # The run of white space stays with what is before it.
-            out[-1] += spaced + " " + part
-        else:
-            out.append(" " + part)
-    return out
+class Encoder:
+    """``encode(texts)`` gives each text's ids as bytes of little-endian unsigned 32-bit numbers."""
 
+    def __init__(self, path: str, kind: str, limit: int = 300_000):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
+        tokenizer = Tokenizer.from_file(path)
+        self.dropped = kind == SPACE_DROPPED
+        self.bare = _Parts(tokenizer, "", limit, self.dropped, None)
+        self.spaced = _Parts(tokenizer, " ", limit, False, self.bare)
 
-def _cut_dropped(text: str) -> list[str]:
-    return [p for p in text.replace("\n", " ").split(" ") if p]
+    def encode(self, texts: list[str], at_once: int = 200) -> list[bytes]:
+        out = []
+        for at in range(0, len(texts), at_once):
+            out += (self._dropped if self.dropped else self._byte_level)(texts[at : at + at_once])
+        return out
 
+    def _dropped(self, texts: list[str]) -> list[bytes]:
+        cut = [[p for p in t.replace("\n", " ").split(" ") if p] for t in texts]
+        known = self.bare
+        known.learn(set().union(*cut))
+        return [b"".join([known[p] for p in parts]) for parts in cut]
 
-_CUTS: dict[str, Callable[[str], list[str]]] = {BYTE_LEVEL: _cut_byte_level, SPACE_DROPPED: _cut_dropped}
+    def _byte_level(self, texts: list[str]) -> list[bytes]:
+        cut = [[line.split(" ") for line in t.split("\n")] for t in texts]
+        self.spaced.learn(set().union(*[line[1:] for lines in cut for line in lines if len(line) > 1]))
+        return [self._regular(t, lines) for t, lines in zip(texts, cut, strict=True)]
 
+    def _regular(self, text: str, lines: list[list[str]]) -> bytes:
+        """For single spaces and breaks only; other white space is left to the tokenizer."""
+        out = []
+        bare, spaced = self.bare, self.spaced
+        if not text.isascii() and _odd(text) or not text.translate(_PLAIN).isprintable():
+            return self._irregular(text)
+        for parts in lines:
+            if not all(parts):
+                return self._irregular(text)
+            if out:
+                out.append(bare["\n"])
+            out.append(bare[parts[0]])
+            if len(parts) > 1:
+                out += [spaced[p] for p in parts[1:]]
+        return b"".join(out)
+
+    def _irregular(self, text: str) -> bytes:
+        """Cut only before a space that something other than white space follows."""
+        parts = text.split(" ")
+        held = parts[0]
+        out = []
+        first = True
+        for part in parts[1:]:
+            if not part or part[0].isspace():
+                held += " " + part
+            else:
+                out.append((self.bare if first else self.spaced)[held])
+                held, first = part, False
+        out.append((self.bare if first else self.spaced)[held])
+        return b"".join(out) if text else b""
 
-class Encoder:
-    """``encode(texts)`` gives each text's ids as bytes of little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str, kind: str, limit: int = 200_000):
-        self.tokenizer = Tokenizer.from_file(path)
-        self.cut, self.limit = _CUTS[kind], limit
-        self.known: dict[str, bytes] = {}
+_PLAIN = {10: 32}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            parts = self.cut(text)
-            known = self.known
-            try:
-                out.append(b"".join([known[p] for p in parts]))
-                continue
-            except KeyError:
-                pass
-            new = list({p for p in parts if p not in known})
-            for part, code in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[part] = np.array(code.ids, dtype="<u4").tobytes()
-            out.append(b"".join([known[p] for p in parts]))
-            if len(known) > self.limit:
-                self.known = {}
-        return out
+
+def _odd(text: str) -> bool:
+    """White space other than spaces and line breaks."""
+    return len(text.split()) != len(text.replace("\n", " ").split(" "))
 
 
 @functools.lru_cache(maxsize=4)
