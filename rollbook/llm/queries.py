@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rollbook.llm.common import table
 from rollbook.llm.line_dedup import line_dedup
 from rollbook.llm.packing import best_fit_packing
+from rollbook.llm.pitman_yor import pitman_yor_scores
 from rollbook.llm.quality_rules import MEASURES, quality_rules
 from rollbook.llm.simhash import simhash_near_dedup
 from rollbook.llm.token_files import narrowest, read_token_files, write_token_files
@@ -32,6 +33,10 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def op7_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
+    return pitman_yor_scores(table(spark, folder, "documents"), modulus=7, remainder=2)
+
+
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
     width = narrowest(50_257)
@@ -51,6 +56,7 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op7_pitman_yor": op7_pitman_yor,
     "op8_token_files": op8_token_files,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,

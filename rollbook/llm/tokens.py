@@ -68,7 +68,7 @@ class _Parts(dict):
 class Encoder:
     """``encode(texts)`` gives each text's ids as bytes of little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, path: str, kind: str, limit: int = 300_000):
+    def __init__(self, path: str, kind: str, limit: int = 700_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         tokenizer = Tokenizer.from_file(path)
         self.dropped = kind == SPACE_DROPPED
