@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollbook.llm.ann import nearest
 from rollbook.llm.common import table
+from rollbook.llm.kneser_ney import quality_classifier
 from rollbook.llm.line_dedup import line_dedup
 from rollbook.llm.packing import best_fit_packing
 from rollbook.llm.pitman_yor import pitman_yor_scores
@@ -33,6 +35,15 @@ def op3_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", digest)
 
 
+def op4_nearest_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    asks = F.col("vec_id") % 100 == 0
+    return nearest(table(spark, folder, "embeddings"), asks, k=10)
+
+
+def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op7_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     return pitman_yor_scores(table(spark, folder, "documents"), modulus=7, remainder=2)
 
@@ -56,6 +67,8 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
+    "op5_quality_classifier": op5_quality_classifier,
     "op7_pitman_yor": op7_pitman_yor,
     "op8_token_files": op8_token_files,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,

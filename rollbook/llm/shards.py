@@ -80,7 +80,7 @@ class _Builder:
         }
 
 
-def _ids_out(ids: pa.Array) -> bytes:
+def ids_out(ids: pa.Array) -> bytes:
     sink = pa.BufferOutputStream()
     batch = pa.record_batch([ids], ["id"])
     with pa.ipc.new_stream(sink, batch.schema) as writer:
@@ -118,7 +118,7 @@ def write_blocks(
 
     def _batch(builder: _Builder) -> pa.RecordBatch:
         row = builder.row()
-        row["doc_ids"] = _ids_out(row["doc_ids"])
+        row["doc_ids"] = ids_out(row["doc_ids"])
         kinds = {"block": pa.int64()}
         return pa.RecordBatch.from_arrays(
             [pa.array([v], kinds.get(k, pa.binary())) for k, v in row.items()], list(row)
