@@ -13,10 +13,12 @@ from rollbook.llm.common import table
 from rollbook.llm.kneser_ney import quality_classifier
 from rollbook.llm.line_dedup import line_dedup
 from rollbook.llm.packing import best_fit_packing
+from rollbook.llm.pieces import piece_digests
 from rollbook.llm.pitman_yor import pitman_yor_scores
 from rollbook.llm.quality_rules import MEASURES, quality_rules
 from rollbook.llm.simhash import simhash_near_dedup
 from rollbook.llm.token_files import narrowest, read_token_files, write_token_files
+from rollbook.llm.toxicity import toxicity
 
 
 def tokenizer_path(name: str) -> str:
@@ -24,6 +26,10 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), modulus=5, remainder=0)
+
+
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path("word_bpe_49k.json")
     return best_fit_packing(table(spark, folder, "documents"), path, capacity=2048)
@@ -44,6 +50,10 @@ def op5_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op6_sentence_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return piece_digests(table(spark, folder, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op7_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
     return pitman_yor_scores(table(spark, folder, "documents"), modulus=7, remainder=2)
 
@@ -65,10 +75,12 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op3_line_dedup": op3_line_dedup,
     "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_quality_classifier": op5_quality_classifier,
+    "op6_sentence_pieces": op6_sentence_pieces,
     "op7_pitman_yor": op7_pitman_yor,
     "op8_token_files": op8_token_files,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
