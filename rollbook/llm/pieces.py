@@ -97,7 +97,8 @@ class Model:
         usable = {p: i for i, (p, _) in enumerate(pieces) if p and not bytes_from <= i < bytes_from + 256}
         self.trie = Trie(usable)
         self.scores = np.array([s for _, s in pieces])
-        self.penalty = min(s for p, s in pieces if usable.get(p) is not None) - unknown
+        # Scores of -1e9 mark pieces that are never to be chosen.
+        self.penalty = min(s for p, s in pieces if usable.get(p) is not None and s > -1e8) - unknown
         self.longest = max(map(len, usable))
         mark = MARK.encode()
         self.parts_apart = not any(mark in p.lstrip(mark) for p in usable if p.strip(mark))
