@@ -53,8 +53,12 @@ def pack_uint(values: np.ndarray) -> bytes:
     """Unsigned integers in the narrowest width that holds them; the first byte is the width."""
     top = int(values.max()) if len(values) else 0
     width = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return bytes([width]) + pack(values.astype(f"<u{width}"))
+    # Byte by byte: the high ones are mostly zero and take hardly any room together.
+    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + pack(planes)
 
 
 def unpack_uint(data: bytes) -> np.ndarray:
-    return unpack(data[1:], f"<u{data[0]}").astype(np.int64)
+    width = data[0]
+    planes = unpack(data[1:], "u1").reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.int64)

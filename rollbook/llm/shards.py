@@ -1,7 +1,7 @@
 """Sharded n-gram counts: blocks of documents ask shards of hashed keys for sums over the corpus.
 
-A *block* is some hundred thousand words of whole documents, stored as numbers: the sorted hashes of
-its distinct words, and for each document the places of its words among them. A block sends each
+A *block* is some million words of whole documents, stored as numbers: the hashes of its distinct
+words, and for each document the places of its words among them. A block sends each
 shard the keys it holds with numbers to add up, packed into one row per shard; a shard (keys with
 the same leading bits of their hash) adds equal keys and answers every block with the sums, in
 the order of its keys, so answers need no keys. This is a shuffled aggregate and a join back, on
@@ -16,6 +16,7 @@ collide, at any input size, because the number of shards grows with the input.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -27,7 +28,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import pack, pack_uint, unpack, unpack_uint, utf8
-from rollbook.session import written
 
 BLOCK = "block long, doc_ids binary, flags binary, lengths binary, places binary, hashes binary"
 #: The hash of what stands before a document's first word, and of its end: no word is empty.
@@ -46,11 +46,6 @@ class Block:
     hashes: np.ndarray
     carried: dict[str, bytes] = field(default_factory=dict)
 
-    @property
-    def documents(self) -> np.ndarray:
-        """The document of each word."""
-        return np.repeat(np.arange(len(self.lengths)), self.lengths)
-
 
 class _Builder:
     def __init__(self, number: int):
@@ -66,10 +61,11 @@ class _Builder:
 
     def row(self) -> dict[str, object]:
         hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in self.known), np.uint64, len(self.known))
-        order = np.argsort(hashes)
+        places = np.concatenate(self.places) if self.places else np.zeros(0, dtype=np.int64)
+        # Frequent words get small numbers, which take less room.
+        order = np.argsort(-np.bincount(places, minlength=len(hashes)), kind="stable")
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
-        places = np.concatenate(self.places) if self.places else np.zeros(0, dtype=np.int64)
         return {
             "block": self.number,
             "doc_ids": pa.array(self.doc_ids, pa.int64()),
@@ -125,7 +121,22 @@ def write_blocks(
         )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"), flag.cast("int").alias("flag"))
-    return written(source.mapInArrow(run, BLOCK), "ngram-blocks")
+    return keep(source.mapInArrow(run, BLOCK), "ngram_blocks")
+
+
+def keep(blocks: DataFrame, label: str) -> DataFrame:
+    """A table bucketed by block, so that answers come to the blocks and the blocks stay in place."""
+    spark = blocks.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    blocks.write.bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
+    return spark.table(name)
+
+
+def drop(blocks: DataFrame) -> None:
+    """Give up a kept table that a newer one replaces."""
+    for name in {f.rstrip("/").split("/")[-2] for f in blocks.inputFiles()}:
+        blocks.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
 
 
 def block_of(row: object, *carried: str) -> Block:
