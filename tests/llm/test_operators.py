@@ -1,0 +1,394 @@
+"""The training-data operators against brute force, on whole small tables and on edge cases."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+import xxhash
+from conftest import SMALL
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from checks.compare import difference, duckdb_over
+from rollbook.llm import ann, packing, pieces, pitman_yor, simhash, tokens, toxicity
+from rollbook.llm.kneser_ney import quality_classifier
+from rollbook.llm.line_dedup import line_dedup
+from rollbook.llm.quality_rules import quality_rules
+from rollbook.llm.queries import ORACLE, QUERIES
+from rollbook.llm.token_files import export, map_file, read_token_files, write_token_files
+
+SPACES = " \t\n\x0b\f\r"
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, _hashes string, n_lines int"
+EDGES = [
+    (1, None, "en", "a", None, "x", None, 1),
+    (2, "", None, None, 0, None, "y", 2),
+    (3, "same words here", "en", "a", 5, None, None, None),
+    (3, "same words here", "en", "a", 5, None, None, None),
+    (None, "no id at all", "de", "b", 5, None, None, None),
+    (4, " \n\t ", "en", "a", 5, None, None, None),
+    (5, "long " * 30_000, "en", "a", 5, None, None, None),
+    (6, "a  b\n\n漢字 😀 é<|endoftext|>\x1c\xa0x", "en", "a", 5, None, None, None),
+]
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    return {r[0]: r[1] or "" for r in rows}
+
+
+@pytest.fixture(scope="module")
+def edges(spark):
+    return spark.createDataFrame(EDGES, DOCS)
+
+
+@pytest.fixture(scope="module")
+def labels(spark):
+    return spark.createDataFrame([(1, 1, 0), (3, 0, 1), (None, 1, 1)], "doc_id long, quality int, toxic int")
+
+
+def words_of(text):
+    return text.encode().lower().split()
+
+
+def test_line_dedup_equals_its_sql(spark):
+    result = QUERIES["op3_line_dedup"](spark, SMALL)
+    assert difference(result, duckdb_over(SMALL), ORACLE["op3_line_dedup"]) == ""
+
+
+def test_line_dedup_brute_force_with_many_batches(spark):
+    made = [(i, f"own {i}\n Shared X \n" + ("rare\n" if i < 3 else "") + "\n".join(f"k{j}" for j in range(100))) for i in range(12)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    out = {r.doc_id: r for r in line_dedup(docs, min_docs=10, batches=7, fanout=2).collect()}
+    for i, text in made:
+        kept = [x for x in text.split("\n") if x.startswith(("own", "rare"))]
+        assert out[i].text == "\n".join(kept)
+        assert out[i].n_dropped == len(text.split("\n")) - len(kept)
+
+
+def base(text):
+    found = [w for w in text.translate({ord(c): 32 for c in SPACES}).split(" ") if w]
+    windows = defaultdict(list)
+    for i in range(len(found) - 7):
+        windows[tuple(found[i : i + 8])].append(i)
+    covered = {p + k for at in windows.values() if len(at) > 1 for p in at for k in range(8)}
+    lines = [x for x in text.split("\n") if x.strip(SPACES)]
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    return len(found), sum(map(len, found)), symbols, len(lines) - len(set(lines)), len(covered)
+
+
+def test_quality_rules_measures(spark, texts):
+    made = dict(texts) | {-1: "a b c d e f g h " * 5 + "x\nx\nx"}
+    docs = spark.createDataFrame([(i, t, "en", "s") for i, t in made.items()], "doc_id long, text string, lang string, source string")
+    for row in quality_rules(docs).collect():
+        n, chars, symbols, dups, repeats = base(made[row.doc_id])
+        assert (row.n_words, row.word_chars, row.n_symbols, row.n_dup_lines, row.n_repeat_words) == (n, chars, symbols, dups, repeats)
+        assert row.base_failed == (n < 20 or 100 * repeats > 30 * n)
+        assert not (row.base_failed and row.kept)
+
+
+def test_quality_rules_keep_good_and_drop_junk(spark):
+    found = QUERIES["op10_quality_rules"](spark, SMALL).where("NOT base_failed")
+    labelled = found.join(spark.read.parquet(f"{SMALL}/labels.parquet"), "doc_id")
+    rates = {r.quality: r.k for r in labelled.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    assert rates[1] == 1.0 and rates.get(0, 0) < 0.2
+
+
+def slow_print(text):
+    words = words_of(text)
+    if not words:
+        return 0
+    shingles = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [b" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(s, 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def slow_components(prints, distance):
+    ids = sorted(prints)
+    root = {i: i for i in ids}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a in ids:
+        for b in ids:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= distance:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {i: find(i) for i in ids}
+
+
+def test_simhash_equals_brute_force(spark, texts):
+    prints = {i: slow_print(t) for i, t in texts.items()}
+    roots = slow_components(prints, 3)
+    for row in QUERIES["op9_simhash_near_dedup"](spark, SMALL).collect():
+        assert row.fingerprint == f"{prints[row.doc_id]:016x}"
+        assert row.component_id == roots[row.doc_id]
+
+
+@pytest.mark.parametrize("distance", [1, 3, 5])
+@pytest.mark.parametrize("block", [4, 2048])
+def test_simhash_links_lose_nothing(spark, monkeypatch, distance, block):
+    random = np.random.default_rng(distance)
+    centres = [int(x) for x in random.integers(0, 1 << 63, 6)]
+    prints = {}
+    for i in range(150):
+        x = centres[i % 6]
+        for b in random.choice(64, random.integers(0, 7), replace=False):
+            x ^= 1 << int(b)
+        prints[i] = x
+    masks = simhash.key_masks(distance)
+    for a in prints.values():
+        for b in prints.values():
+            if (a ^ b).bit_count() <= distance:
+                assert any(a & m == b & m for m in masks)
+                assert simhash.chained(np.array([a ^ b], dtype=np.uint64), distance)[0]
+    for mask in masks[:2]:
+        run = np.unique(np.array([x & ~mask & (1 << 64) - 1 for x in prints.values()], dtype=np.uint64))
+        monkeypatch.setattr(simhash, "BLOCK", block)
+        links = {(int(a), int(b)) for x, y in simhash._links(run, mask, distance) for a, b in zip(x, y, strict=True)}
+        near = {(i, j) for i in range(len(run)) for j in range(i + 1, len(run)) if int(run[i] ^ run[j]).bit_count() <= distance}
+        assert {tuple(sorted(p)) for p in links} == near
+
+
+def test_encoders_equal_the_whole_text(texts):
+    odd = ["", " ", "\n", "  a  b", "a\n\nb", "a \n b", "\ta b", "a\xa0b \xa0c", "it's. a...b 12,3!", "x<|endoftext|> b", "İ ΑΣ ﬁ", "$$$ a%%%.", "I'LL", ".. a", "\x1ca b"]
+    for name, kind in (("byte_bpe_50k.json", tokens.BYTE_LEVEL), ("word_bpe_49k.json", tokens.SPACE_DROPPED)):
+        path = public_tokenizers.path(name)
+        whole = Tokenizer.from_file(path)
+        many = [*odd, *list(texts.values())[:60]]
+        for limit in (5, 10_000):
+            for text, ids in zip(many, tokens.Encoder(path, kind, limit).encode(many, at_once=7), strict=True):
+                assert np.frombuffer(ids, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids, text[:50]
+
+
+def test_token_files_round_trip(spark, texts, tmp_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    files = write_token_files(docs, path, end_id=2, shard_ids=20_000, width=2)
+    whole, start = Tokenizer.from_file(path), 0
+    expected = {}
+    for i in sorted(texts):
+        ids = [*whole.encode(texts[i], add_special_tokens=False).ids, 2]
+        expected[i] = (start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
+        start += len(ids)
+    assert {r.doc_id: tuple(r)[1:] for r in read_token_files(files, 2).collect()} == expected
+    export(files, str(tmp_path))
+    total = 0
+    for name in sorted(p.name[4:-4] for p in tmp_path.glob("ids-*")):
+        offsets, ids, numbers = map_file(str(tmp_path), name, 2)
+        total += len(numbers)
+        for k, i in enumerate(ids.tolist()):
+            part = numbers[offsets[k] - offsets[0] : offsets[k + 1] - offsets[0]]
+            assert (offsets[k], zlib.crc32(part.astype("<u4").tobytes())) == (expected[i][0], expected[i][2])
+    assert total == start
+
+
+def test_packing_is_whole_gapless_and_near_the_bound(spark, texts):
+    whole = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = QUERIES["op2_best_fit_packing"](spark, SMALL).toPandas()
+    ids = {i: [*whole.encode(t, add_special_tokens=False).ids, 0] for i, t in texts.items()}
+    for r in rows.itertuples():
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert len(part) == r.length and r.start == r.piece * 2048
+        assert zlib.crc32(np.array(part, dtype="<u4").tobytes()) == r.ids_crc32
+    assert rows.groupby("doc_id").length.sum().to_dict() == {i: len(x) for i, x in ids.items()}
+    placed = rows.sort_values(["sequence_id", "offset"])
+    assert (placed.groupby("sequence_id").length.cumsum() - placed.length == placed.offset).all()
+    assert rows.groupby("sequence_id").length.sum().max() <= 2048
+    bound = packing.lower_bound(rows.length.to_numpy(), 2048)
+    assert rows.sequence_id.nunique() <= 1.03 * bound
+
+
+def test_packing_exchange_and_bounds(spark):
+    random = np.random.default_rng(3)
+    for _ in range(40):
+        lengths = random.integers(1, 13, 7)
+        best = min_bins(sorted(lengths.tolist(), reverse=True), 12)
+        assert packing.lower_bound(lengths, 12) <= best <= packing.best_fit_decreasing(lengths, 12).max() + 1
+    docs = spark.createDataFrame([(i, "word " * int(n)) for i, n in enumerate(random.integers(1, 40, 400))], "doc_id long, text string")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    split = packing.best_fit_packing(docs, path, capacity=64, partition_rows=40).toPandas()
+    alone = packing.best_fit_packing(docs, path, capacity=64, partition_rows=40, rounds=0).toPandas()
+    assert len(split) == len(alone) and split.sequence_id.nunique() <= alone.sequence_id.nunique()
+    assert split.groupby("sequence_id").length.sum().max() <= 64
+
+
+def min_bins(lengths, capacity):
+    best = len(lengths)
+
+    def place(k, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if k == len(lengths):
+            best = len(bins)
+            return
+        for i, b in enumerate(bins):
+            if b + lengths[k] <= capacity:
+                place(k + 1, [*bins[:i], b + lengths[k], *bins[i + 1 :]])
+        place(k + 1, [*bins, lengths[k]])
+
+    place(0, [])
+    return best
+
+
+def test_nearest_neighbours_recall(spark):
+    rows = spark.read.parquet(f"{SMALL}/embeddings.parquet").select("vec_id", "embedding").collect()
+    ids = np.array([r[0] for r in rows])
+    matrix = np.array([r[1] for r in rows], dtype=np.float64)
+    found = defaultdict(list)
+    for r in QUERIES["op4_nearest_neighbours"](spark, SMALL).orderBy("query_id", "rank").collect():
+        found[r.query_id].append((r.vec_id, r.score))
+    hits = total = 0
+    for q in ids[ids % 100 == 0]:
+        far = np.sqrt(((matrix - matrix[ids == q][0]) ** 2).sum(axis=1))
+        far[ids == q] = np.inf
+        truth = ids[np.lexsort((ids, far))[:10]]
+        hits += len(set(truth) & {v for v, _ in found[q]})
+        total += len(truth)
+        for v, s in found[q]:
+            assert s == far[ids == v][0]
+    assert hits >= 0.9 * total
+
+
+def test_nearest_neighbours_edges(spark):
+    nan = float("nan")
+    rows = [(0, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [1.0, 0.0]), (100, None), (200, [0.0, 0.0]), (300, [nan, 1.0]), (400, [None, 1.0]), (5, [3.0]), (None, [1.0, 1.0])]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    out = ann.nearest(docs, F.col("vec_id") % 100 == 0, k=10).orderBy("rank").collect()
+    assert [tuple(r) for r in out] == [(0, 1, 1, 0.0), (0, 2, 2, 0.0)]
+    assert ann.nearest(docs.where("false"), F.lit(True)).collect() == []
+
+
+def test_pieces_equal_brute_force_and_come_back(spark, texts):
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    table = {p: model.scores[i] for i, (p, _) in enumerate(model.pieces) if p and not model.bytes_from <= i < model.bytes_from + 256}
+    coder = pieces.Codec(model)
+    some = ["", "a", "  two  spaces ", "漢字 😀\n\ttab", "naïve Straße", *[t[:300] for t in list(texts.values())[:25]]]
+    for text, ids in zip(some, coder.encode([t.encode() for t in some]), strict=True):
+        assert coder.decode(ids).decode() == text
+        marked = "▁" + text.replace(" ", "▁") if text else ""
+        best = [0.0] + [-math.inf] * len(marked)
+        for end in range(1, len(marked) + 1):
+            for start in range(max(0, end - 20), end):
+                score = table.get(marked[start:end].encode())
+                if score is None and end - start == 1:
+                    score = model.penalty
+                if score is not None:
+                    best[end] = max(best[end], best[start] + score)
+        numbers = np.frombuffer(ids, "<u4").astype(int)
+        byte = (numbers >= model.bytes_from) & (numbers < model.bytes_from + 256)
+        leads = byte & ((numbers - model.bytes_from) & 0xC0 != 0x80)
+        assert math.isclose(model.scores[numbers[~byte]].sum() + model.penalty * leads.sum(), best[-1])
+    assert QUERIES["op6_sentence_pieces"](spark, SMALL).where("NOT round_trip").count() == 0
+
+
+def test_pitman_yor_base_counts_and_gain(spark, texts):
+    rows = {r.doc_id: r for r in QUERIES["op7_pitman_yor"](spark, SMALL).collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    tokens_of = {i: [*words_of(t), 0] for i, t in texts.items()}
+    counts = Counter(w for i, t in tokens_of.items() if not held[i] for w in t)
+    n, v = sum(counts.values()), len(counts)
+    gain = 0.0
+    for i, t in tokens_of.items():
+        r = rows[i]
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[i], len(t), sum(counts[w] > 0 for w in t), n)
+        assert math.isclose(r.base_score, sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in t))
+        assert r.score < 0
+        gain += (r.score - r.base_score) * held[i]
+    assert gain > 0
+
+
+def test_pitman_yor_seating_follows_the_restaurant():
+    """The sampled tables of one pair have the distribution of exhaustive seating."""
+    discount, weight, customers = 0.6, 0.7, 6
+    exact = defaultdict(float)
+
+    def seat(sizes, chance):
+        if sum(sizes) == customers:
+            exact[len(sizes)] += chance
+            return
+        for k, s in enumerate(sizes):
+            seat([*sizes[:k], s + 1, *sizes[k + 1 :]], chance * (s - discount))
+        seat([*sizes, 1], chance * weight)
+
+    seat([1], 1.0)
+    total = sum(exact.values())
+    many = 20_000
+    keys = np.arange(1, many + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    now = None
+    for k in range(12):
+        now = pitman_yor.sweep(keys, np.full(many, customers), np.full(many, weight), discount, 50 + k, now)
+    for t, p in exact.items():
+        assert abs((now[0] == t).mean() - p / total) < 0.015
+
+
+def test_decoding_restores_obfuscated_words():
+    plain = [b"you are an idiot and a loser", b"such a stupid moron", b"the idiot is a loser"] * 30
+    model = toxicity.character_model(toxicity.trigram_counts(plain))
+    for written, meant in (("1d10t", "idiot"), ("l0s3r", "loser"), ("idiooot", "idiot"), ("i.d.i.o.t", "idiot"), ("$tup1d", "stupid"), ("m-o-r-0-n!", "moron")):
+        assert toxicity.decode(written, model) == meant
+    reader = toxicity.Reader(model)
+    assert {"idiot", "you"} <= reader.words(b"you i d 1 o t here")
+    assert reader.words(b"plain words, stay. 12 45.2") >= {"plain", "words", "stay"}
+
+
+def test_toxicity_on_held_out(spark):
+    folder = SMALL.replace("0.001", "0.01")
+    found = QUERIES["op1_toxicity"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
+    right = found.where("held_out").agg(F.avg((F.col("predicted") == F.col("toxic")).cast("int"))).first()[0]
+    assert right > 0.94
+    assert found.where("score < 0 OR score > 1 OR score IS NULL").count() == 0
+
+
+def test_quality_classifier_keeps_trusted_text(spark):
+    folder = SMALL.replace("0.001", "0.01")
+    found = QUERIES["op5_quality_classifier"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
+    rates = {r.quality: r.k for r in found.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("k")).collect()}
+    assert rates[1] > 0.99 and rates[0] < 0.3
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_edge_cases(spark, edges, labels, empty):
+    docs = edges.where("false") if empty else edges
+    n = 0 if empty else len(EDGES)
+    byte, word = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+    piece = public_tokenizers.path("piece_bpe_32k.model")
+    results = {
+        "toxicity": toxicity.toxicity(docs, labels),
+        "lines": line_dedup(docs, min_docs=2),
+        "classifier": quality_classifier(docs, labels),
+        "pieces": pieces.piece_digests(docs, piece),
+        "pitman_yor": pitman_yor.pitman_yor_scores(docs, block_words=1000),
+        "files": read_token_files(write_token_files(docs, byte, end_id=2)),
+        "simhash": simhash.simhash_near_dedup(docs),
+        "rules": quality_rules(docs),
+    }
+    for name, df in results.items():
+        assert len(df.collect()) == n, name
+    packed = packing.best_fit_packing(docs, word).collect()
+    assert len({(r.doc_id, r.piece) for r in packed}) == (0 if empty else len({(e[0], 0) for e in EDGES}) + 14)
+    kept = simhash.keep_one(docs).collect()
+    assert len(kept) == (0 if empty else 5)
+    if not empty:
+        prints = {r.doc_id: r for r in results["simhash"].collect()}
+        assert prints[1].component_id == prints[2].component_id == prints[4].component_id == 1
+        assert prints[1].fingerprint == "0" * 16
+        lines = {r.doc_id: r for r in results["lines"].collect()}
+        assert (lines[1].n_lines, lines[1].text, lines[1].n_dropped) == (1, "", 0)
+        assert set(results["lines"].columns) == set(docs.columns) | {"n_lines", "n_dropped"}
+
+
+def test_sha_of_kept_text(spark, texts):
+    rows = QUERIES["op3_line_dedup"](spark, SMALL).where("n_dropped = 0").collect()
+    for r in rows:
+        assert r.kept_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
