@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import csv
 import io
-import uuid
 import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from rollbook.session import scratch_path
@@ -28,7 +28,8 @@ def archived(
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         target, root = fs.FileSystem.from_uri(folder)
-        name = f"{root}/part-{uuid.uuid4().hex}.zip"
+        # By partition, so that a task that runs again replaces its own archive.
+        name = f"{root}/part-{TaskContext.get().partitionId():05d}.zip"
         rows = 0
         with (
             target.open_output_stream(name) as stream,

@@ -20,6 +20,7 @@ from checks.inputs import (
     SECOND_STATUS,
     THIRD_COMPANIES,
 )
+from rollbook.plans.schemas import raw_table
 
 
 def text(x: str) -> str:
@@ -705,6 +706,29 @@ RESULTS: dict[str, str] = {
     "ingest_multi_archive": "from raw_establishments",
     "ingest_csv": "from stg_partners",
     "ingest_json": "from raw_simples",
+    "ingest_row_limit": "select least(100, count(*)) as row_count from raw_companies",
+    "layout_bytes_by_release": """
+        select distinct _source_reference_date, true as has_files, true as has_bytes from stored
+    """,
+    "history_repeated_run": "from history_2",
+    "history_repeated_older_run": "from history_3",
+    "publish_failed_repeat": "from raw_companies",
+    "append_empty_repeat": stamped("raw_companies", 0),
+    "ingest_overwrite": "from raw_companies_2",
+    "ingest_append": "select * exclude (_loaded_at) from stored",
+    "ingest_upsert": """
+        from raw_companies_2 union all
+        from raw_companies
+        where company_root_cnpj not in (select company_root_cnpj from raw_companies_2)
+    """,
+    "current_state_two_releases": "from raw_companies_2",
+    "ingest_job": " union all ".join(
+        f"select '{s}' as source_name, '{raw_table(s)}' as target_table, "
+        f"'overwrite' as load_strategy, count(*) as row_count from raw_{s}"
+        for s in RAW
+    ),
+    "pipeline_fact": "from fct_active_companies",
+    "pipeline_snapshot_two_releases": "from history_2",
 }
 
 _NAME = re.compile(r"\b[a-z_0-9]+\b")

@@ -2,22 +2,26 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks.archives import archived
-from checks.inputs import AS_OF, RELEASES
+from checks.inputs import AS_OF, RELEASES, RUN_IDS
 from checks.register import Register, run_time
 from rollbook.functions import labels
 from rollbook.functions import standardize as std
 from rollbook.operators import history, layout, quality
 from rollbook.operators.upsert import current_state, upsert
 from rollbook.plans import intermediate, marts, rules, serving
-from rollbook.plans.pipeline import SNAPSHOT_COLUMNS
-from rollbook.plans.schemas import FULL, RAW_COLUMNS, ROOT
+from rollbook.plans.ingest import Run, current_raw, ingest, ingest_all, register_source
+from rollbook.plans.pipeline import SNAPSHOT_COLUMNS, run_pipeline
+from rollbook.plans.schemas import FULL, RAW_COLUMNS, ROOT, raw_table
 from rollbook.plans.staging import STAGING
+from rollbook.plans.warehouse import OutOfOrderError, Warehouse
 from rollbook.session import all_written, scratch_path, written
 from rollbook.sources.formats import read_source
 
@@ -573,7 +577,13 @@ def layout_clustered(r: Register) -> DataFrame:
 
 @query
 def layout_bytes_by_release(r: Register) -> DataFrame:
-    return layout.bytes_by_partition(r.spark, _releases(r))
+    # How many files and bytes depends on the tasks that wrote them; that there are some does not.
+    measured = layout.bytes_by_partition(r.spark, _releases(r))
+    return measured.select(
+        layout.REFERENCE_DATE,
+        (F.col("files") > 0).alias("has_files"),
+        (F.col("bytes") > 0).alias("has_bytes"),
+    )
 
 
 def _stored(r: Register) -> DataFrame:
@@ -623,7 +633,7 @@ def ingest_multi_archive(r: Register) -> DataFrame:
 
 @query
 def ingest_row_limit(r: Register) -> DataFrame:
-    """The declared sample: the first rows of each archive, here 100."""
+    """The declared sample: a hundred rows of all archives together."""
     return _read_archives(r, "companies", 4, 100).agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -641,3 +651,129 @@ def ingest_json(r: Register) -> DataFrame:
     path = scratch_path(r.spark, "simples-json")
     r.raw("simples").write.json(path)
     return read_source(r.spark, "json", path, {"columns": RAW_COLUMNS["simples"]})
+
+
+# The job and its writes, through published tables.
+
+
+def _warehouse(r: Register, **settings) -> Warehouse:
+    """A database of its own in the shared folder."""
+    name = f"checks_{uuid.uuid4().hex}"
+    r.spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(r.spark, name)}'")
+    return Warehouse(r.spark, name, **settings)
+
+
+def _advanced(r: Register, warehouse: Warehouse, release: int, source: int | None = None) -> DataFrame:
+    """The stored history after a release, computed from its own file or from that of another."""
+    rows = r.capital_source(release if source is None else source)
+    return warehouse.advance_history("capital", rows, *CAPITAL, RUN_IDS[release], run_time(release))
+
+
+@query
+def history_repeated_run(r: Register) -> DataFrame:
+    """The second release is loaded from a wrong file and then again from its own."""
+    warehouse = _warehouse(r)
+    _advanced(r, warehouse, 0)
+    _advanced(r, warehouse, 1, source=2)
+    return _advanced(r, warehouse, 1)
+
+
+@query
+def history_repeated_older_run(r: Register) -> DataFrame:
+    """The second release is refused once the third is there."""
+    warehouse = _warehouse(r)
+    for release in range(3):
+        _advanced(r, warehouse, release)
+    try:
+        _advanced(r, warehouse, 1)
+    except OutOfOrderError:
+        return warehouse.read("capital")
+    raise AssertionError("an older run was repeated")
+
+
+@query
+def publish_failed_repeat(r: Register) -> DataFrame:
+    """A repeat that fails while it writes leaves the table."""
+    warehouse = _warehouse(r)
+    warehouse.publish("companies", r.raw_companies(0), RUN_IDS[0])
+    stops = F.when(F.col(ROOT).isNotNull(), F.raise_error(F.lit("stop")).cast("string"))
+    try:
+        warehouse.publish("companies", r.raw_companies(1).withColumn(ROOT, stops), RUN_IDS[0])
+    except PySparkException:
+        return warehouse.read("companies")
+    raise AssertionError("the repeat did not fail")
+
+
+@query
+def append_empty_repeat(r: Register) -> DataFrame:
+    """The second release is loaded and then repeated from a file without rows."""
+    warehouse = _warehouse(r)
+    for release, rows in (
+        (0, r.stamped_companies(0)),
+        (1, r.stamped_companies(1)),
+        (1, r.stamped_companies(1).filter("false")),
+    ):
+        warehouse.append("companies", rows, RUN_IDS[release], run_time(release), RELEASES[release])
+    return warehouse.read("companies")
+
+
+def _run(release: int) -> Run:
+    return Run(RUN_IDS[release], run_time(release), RELEASES[release])
+
+
+def _ingested(r: Register, strategy: str, warehouse: Warehouse) -> list[DataFrame]:
+    """Two releases of the companies through archives; the raw table and its current rows."""
+    for release in range(2):
+        path = archived(r.raw_companies(release), 4)
+        source = register_source("companies", f"{path}/*.zip", strategy)
+        ingest(warehouse, source, _run(release))
+    return [warehouse.read(raw_table("companies")), current_raw(warehouse, source)]
+
+
+@query
+def ingest_overwrite(r: Register) -> DataFrame:
+    return _ingested(r, "overwrite", _warehouse(r))[0]
+
+
+@query
+def ingest_append(r: Register) -> DataFrame:
+    return _ingested(r, "append_only", _warehouse(r))[0].drop(layout.LOADED_AT)
+
+
+@query
+def ingest_upsert(r: Register) -> DataFrame:
+    return _ingested(r, "upsert", _warehouse(r))[0]
+
+
+@query
+def current_state_two_releases(r: Register) -> DataFrame:
+    """Of an appended table the newest release counts: what is gone from it is gone."""
+    return _ingested(r, "append_only", _warehouse(r))[1]
+
+
+def _sources(r: Register, release: int = 0) -> list:
+    raw = {s: r.raw_companies(release) if s == "companies" else r.raw(s) for s in RAW_COLUMNS}
+    return [register_source(s, f"{archived(df, 2)}/*.zip") for s, df in raw.items()]
+
+
+@query
+def ingest_job(r: Register) -> DataFrame:
+    """The result rows of a run that ingests every source."""
+    results = ingest_all(_warehouse(r), _sources(r), _run(0))
+    columns = "source_name string, target_table string, load_strategy string, row_count long"
+    return r.spark.createDataFrame([tuple(x.values()) for x in results], columns)
+
+
+@query
+def pipeline_fact(r: Register) -> DataFrame:
+    warehouse = _warehouse(r)
+    run_pipeline(warehouse, _sources(r), _run(0), raise_on_failure=False)
+    return warehouse.read("fct_active_companies")
+
+
+@query
+def pipeline_snapshot_two_releases(r: Register) -> DataFrame:
+    warehouse = _warehouse(r)
+    for release in range(2):
+        run_pipeline(warehouse, _sources(r, release), _run(release), raise_on_failure=False)
+    return warehouse.read("snap_company_registry__share_capital")

@@ -28,7 +28,7 @@ def _moment(run_time: datetime) -> Column:
 
 def _version_columns(key: Column, run_time: datetime) -> list[Column]:
     now = _moment(run_time)
-    text = run_time.isoformat(" ", timespec="seconds")
+    text = run_time.isoformat(" ")
     return [
         F.md5(F.concat_ws("|", key, F.lit(text))).alias(VERSION_ID),
         now.alias(UPDATED_AT),

@@ -40,7 +40,9 @@ def stage(
     if materialize:
         return concurrently(
             {
-                source: lambda s=source, d=df: warehouse.publish(staging_table(s), d, run.run_id)
+                source: lambda s=source, d=df: warehouse.publish(
+                    staging_table(s), d, run.run_id, moment=run.run_time
+                )
                 for source, df in staged.items()
             }
         )
@@ -55,7 +57,7 @@ def build(
     """Build and publish every model from the raw tables; returns them by short name."""
 
     def publish(name: str, df: DataFrame, **layout) -> DataFrame:
-        return warehouse.publish(name, df, run.run_id, **layout)
+        return warehouse.publish(name, df, run.run_id, moment=run.run_time, **layout)
 
     def publish_intermediate(name: str, df: DataFrame) -> DataFrame:
         return publish(intermediate_table(name), df)
@@ -93,7 +95,7 @@ def build(
     )
 
     batch = fct_active_companies(tables["active_company_base"])
-    kept = warehouse.version_before("fct_active_companies", run.run_id)
+    kept = warehouse.version_before("fct_active_companies", run.run_id, run.run_time)
     if kept is not None:
         # The batch is read for its keys and for its rows: write it once.
         batch = publish("fct_active_companies__batch", batch, bucket_by=ROOT)
@@ -134,7 +136,9 @@ def run_pipeline(
     raw = {source.name: current_raw(warehouse, source) for source in sources}
     tables = build(warehouse, raw, run, materialize_staging)
     tables["share_capital_snapshot"] = snapshot(warehouse, tables["company_profile"], run)
-    checks = warehouse.publish("data_quality_checks", run_checks(tables).coalesce(1), run.run_id)
+    checks = warehouse.publish(
+        "data_quality_checks", run_checks(tables).coalesce(1), run.run_id, moment=run.run_time
+    )
     if raise_on_failure:
         require_clean(checks)
     return {"ingestion": ingested, "tables": tables, "checks": checks}

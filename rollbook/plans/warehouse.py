@@ -1,40 +1,67 @@
-"""Published tables: every write makes a new version, a view of the plain name points to it.
+"""Published tables: every write attempt makes a new version, a view of the plain name shows it.
 
-Spark cannot overwrite a table it reads, and Parquet tables take no MERGE. A new version is
-written beside the old one and the view is replaced, which is the one step that makes a run
-visible: readers keep what they started with, and a run that fails leaves the old version in
-place. A run that is repeated writes the same version again.
+Spark cannot overwrite a table it reads, and Parquet tables take no MERGE. So each attempt writes
+a table or partition that no other attempt uses, and replacing the view is the one step that both
+shows and records it. A failed attempt leaves the view and all it shows as they were. A repeated
+run replaces what its earlier attempt wrote, also by nothing.
+
+A run builds on the runs before it, so versions and histories move forward only: the last run may
+be repeated, an older one or one with an earlier time is refused, because what came after it was
+computed from it. Appended rows stand alone, so any of their runs may be repeated.
+
+A table has one writer at a time. What dead attempts left behind goes with the next write.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.operators.history import VERSION_COLUMNS, first_versions, is_open, next_versions
 from rollbook.operators.layout import REFERENCE_DATE, RUN_ID, clustered
 from rollbook.session import tune
 
-_IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
-_RUN_ID = re.compile(r"[A-Za-z0-9_]+")
+COMMITS = "rollbook.commits"
+ATTEMPT = "_attempt"
+
 
-COMMITTED = "rollbook.runs"
+class OutOfOrderError(ValueError):
+    """A run that would be computed from the results of later ones."""
 
 
 def checked_identifier(name: str) -> str:
-    if not _IDENTIFIER.fullmatch(name):
-        raise ValueError(f"Invalid SQL identifier: {name}")
+    # Fixed value: the pattern of names that need no quoting.
+    if re.fullmatch(r"[A-Za-z_][A-Za-z0-9_]*", name) is None:
+        raise ValueError(f"{name!r} cannot be the name of a table or column: letters, digits and _ only")
     return name
 
 
-def checked_run_id(run_id: str) -> str:
-    if not _RUN_ID.fullmatch(run_id):
-        raise ValueError(f"Invalid run id: {run_id}")
-    return run_id
+class Commit(NamedTuple):
+    """What the view's property records of a run: its attempt, its time, the release it loaded."""
+
+    run_id: str
+    attempt: str
+    moment: str = ""
+    release: str = ""
+
+    @classmethod
+    def new(cls, run_id: str, moment: datetime | None = None, release: str = "") -> Commit:
+        for text in (run_id, release):
+            if not re.fullmatch(r"[A-Za-z0-9_-]*", text):
+                raise ValueError(f"{text!r} cannot be a run id or release: letters, digits, _ and - only")
+        return cls(run_id, uuid.uuid4().hex[:12], moment.isoformat() if moment else "", release)
+
+    def is_after(self, other: Commit) -> bool:
+        if not (self.moment and other.moment):
+            return True
+        return datetime.fromisoformat(self.moment) > datetime.fromisoformat(other.moment)
 
 
 @dataclass
@@ -42,22 +69,30 @@ class Warehouse:
     """The tables of one database.
 
     ``buckets`` stores the fact and the history bucketed by company, so that the next run's
-    upsert and history join need not shuffle them. They hold one live row per company. Tables
-    with many rows per company, and those joined to them, are not bucketed: a hot company
-    would fill one bucket, and adaptive execution splits only what it shuffled itself.
+    upsert and history join need not shuffle their stored side. They hold one live row per
+    company. Tables with many rows per company, and those joined to them, are not bucketed: a hot
+    company would fill one bucket, and adaptive execution splits only what it shuffled itself.
 
     Marts are sorted by their clustering columns inside each file, which costs no shuffle and
     lets readers skip row groups. ``cluster`` also range-partitions them, one more shuffle per
     mart, so that readers skip whole files.
+
+    ``keep`` is the number of earlier runs whose versions stay readable, at least one; the attempt
+    that a repeat replaces also stays until the next write. ``sample`` declares a database of
+    samples, the only kind that takes runs with a row limit.
     """
 
     spark: SparkSession
     database: str
     buckets: int | None = None
     cluster: bool = False
+    keep: int = 1
+    sample: bool = False
 
     def __post_init__(self) -> None:
         checked_identifier(self.database)
+        if self.keep < 1:
+            raise ValueError("the version before the last is needed to repeat a run: keep at least 1")
         tune(self.spark)
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {self.database}")
 
@@ -77,12 +112,11 @@ class Warehouse:
         run_id: str,
         cluster_by: Sequence[str] = (),
         bucket_by: str | None = None,
+        moment: datetime | None = None,
     ) -> DataFrame:
-        """Write ``df`` as the version of ``run_id`` and point ``name`` to it.
-
-        The version before stays for readers that still use it; older ones are dropped.
-        """
-        version = self._version(name, run_id)
+        """Write ``df`` as the version of ``run_id`` and point ``name`` to it."""
+        commit = Commit.new(run_id, moment)
+        before, shown = self._before(name, commit), self._commits(name)[-1:]
         if bucket_by and self.buckets:
             writer = (
                 df.repartition(self.buckets, bucket_by)
@@ -93,92 +127,142 @@ class Warehouse:
             writer = clustered(df, cluster_by).write
         else:
             writer = (df.sortWithinPartitions(*cluster_by) if cluster_by else df).write
-        writer.mode("overwrite").format("parquet").saveAsTable(version)
-        before = self._runs_before(name, run_id)
-        self._point(name, f"SELECT * FROM {version}", *before[-1:], run_id)
-        for run in before[:-1]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {self._version(name, run)}")
+        version = self._version(name, commit)
+        try:
+            writer.format("parquet").saveAsTable(version)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {version}")
+            raise
+        kept = [*before[-self.keep :], commit]
+        self._point(name, f"SELECT * FROM {version}", kept)
+        stay = {self._version(name, c).split(".")[1] for c in (*kept, *shown)}
+        for row in self.spark.sql(f"SHOW TABLES IN {self.database} LIKE '{name}__v_*'").collect():
+            if row.tableName not in stay:
+                self.spark.sql(f"DROP TABLE IF EXISTS {self.full_name(row.tableName)}")
         return self.read(name)
 
-    def version_before(self, name: str, run_id: str) -> DataFrame | None:
+    def version_before(
+        self, name: str, run_id: str, moment: datetime | None = None
+    ) -> DataFrame | None:
         """The version published by the run before ``run_id``, if there is one."""
-        before = self._runs_before(name, run_id)
+        before = self._before(name, Commit.new(run_id, moment))
         return self.spark.table(self._version(name, before[-1])) if before else None
 
-    def append(self, name: str, df: DataFrame) -> DataFrame:
+    def append(
+        self, name: str, df: DataFrame, run_id: str, moment: datetime, release: str
+    ) -> DataFrame:
         """Add a run's rows under its release and run id; the same run replaces its own rows."""
-        table = self.full_name(name)
-        if not self.exists(name):
-            df.write.format("parquet").partitionBy(REFERENCE_DATE, RUN_ID).saveAsTable(table)
-        else:
-            self._insert(name, df)
+        commit = Commit.new(run_id, moment, release)
+        commits = self._commits(name)
+        now = [*(c for c in commits if c.run_id != run_id), commit]
+        store = f"{name}__rows"
+        self._add(store, df, commit, (REFERENCE_DATE, RUN_ID, ATTEMPT))
+        self._point(name, self._shown(store, df.columns, _is_one_of(now)), now)
+        self._sweep(store, [*commits, *now])
         return self.read(name)
 
+    def last_appended(self, name: str) -> Commit:
+        """The last run of the newest release in an appended table."""
+        return max(self._commits(name), key=lambda c: (c.release, datetime.fromisoformat(c.moment)))
+
     def advance_history(
         self, name: str, source: DataFrame, key: str, compared: Sequence[str], run_id: str, run_time
     ) -> DataFrame:
         """Move a type 2 history on by one run.
 
-        A run writes its open versions and the ones it closed as two partitions of its own, in
-        one job, and reads nothing but the open partition of the run before. The view shows
-        the open versions of the last committed run and the closed ones of every committed
-        run, so closed history is never rewritten and an unfinished run is never seen.
+        An attempt writes its open versions and the ones it closed as two partitions of its own,
+        in one job, and reads nothing but the open partition of the run before. The view shows
+        the open versions of the last run and the closed ones of every run, so closed history is
+        never rewritten and an unfinished attempt is never seen.
         """
+        commit = Commit.new(run_id, run_time)
+        before, commits = self._before(name, commit), self._commits(name)
         store = f"{name}__versions"
-        runs = self._runs_before(name, run_id)
-        if runs:
-            before = self.read(store).filter(
-                (F.col("run_id") == runs[-1]) & (F.col("state") == "open")
+        if before:
+            was = self.read(store).filter(
+                (F.col(ATTEMPT) == before[-1].attempt) & (F.col("state") == "open")
             )
-            moved = next_versions(before.drop("run_id", "state"), source, key, compared, run_time)
+            moved = next_versions(was.drop(ATTEMPT, "state"), source, key, compared, run_time)
         else:
             moved = first_versions(source, key, run_time)
-        moved = moved.select(
-            *source.columns,
-            *VERSION_COLUMNS,
-            F.lit(run_id).alias("run_id"),
-            F.when(is_open(), "open").otherwise("closed").alias("state"),
-        )
-        if not self.exists(store):
-            writer = moved.write.format("parquet").partitionBy("run_id", "state")
-            if self.buckets:
-                writer = writer.bucketBy(self.buckets, key).sortBy(key)
-            writer.saveAsTable(self.full_name(store))
-        else:
-            self._insert(store, moved)
-        runs.append(run_id)
-        committed = ", ".join(f"'{checked_run_id(r)}'" for r in runs)
-        columns = ", ".join((*source.columns, *VERSION_COLUMNS))
-        self._point(
-            name,
-            f"SELECT {columns} FROM {self.full_name(store)} "
-            f"WHERE (state = 'open' AND run_id = '{run_id}') "
-            f"OR (state = 'closed' AND run_id IN ({committed}))",
-            *runs,
+        columns = (*source.columns, *VERSION_COLUMNS)
+        state = F.when(is_open(), "open").otherwise("closed").alias("state")
+        self._add(store, moved.select(*columns, state), commit, (ATTEMPT, "state"), key)
+        now = [*before, commit]
+        shown = (
+            f"(state = 'open' AND {_is_one_of([commit])}) OR (state = 'closed' AND {_is_one_of(now)})"
         )
+        self._point(name, self._shown(store, columns, shown), now)
+        self._sweep(store, [*commits, *now])
         return self.read(name)
 
-    def _insert(self, name: str, df: DataFrame) -> None:
-        """Write the partitions ``df`` holds and leave all others as they are."""
-        # A setting, because insertInto ignores the writer option of the same meaning.
-        self.spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        table = self.full_name(name)
-        df.select(*self.spark.table(table).columns).write.insertInto(table, overwrite=True)
+    def _add(
+        self, store: str, df: DataFrame, commit: Commit, partitions: Sequence[str], key: str = ""
+    ) -> None:
+        """Add the attempt's partitions to a table of partitions."""
+        df = df.withColumn(ATTEMPT, F.lit(commit.attempt))
+        table = self.full_name(store)
+        if self.exists(store):
+            df.select(*self.spark.table(table).columns).write.insertInto(table)
+            return
+        writer: DataFrameWriter = df.write.format("parquet").partitionBy(*partitions)
+        if key and self.buckets:
+            writer = writer.bucketBy(self.buckets, key).sortBy(key)
+        try:
+            writer.saveAsTable(table)
+        except Exception:
+            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            raise
+
+    def _shown(self, store: str, columns: Sequence[str], condition: str) -> str:
+        names = ", ".join(f"`{c}`" for c in columns)
+        return f"SELECT {names} FROM {self.full_name(store)} WHERE {condition}"
+
+    def _sweep(self, store: str, commits: Sequence[Commit]) -> None:
+        """Drop the partitions of attempts that neither are shown nor were until now."""
+        stay = {c.attempt for c in commits}
+        table = self.full_name(store)
+        for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect():
+            values = dict(part.split("=", 1) for part in row.partition.split("/"))
+            if values[ATTEMPT] not in stay:
+                spec = ", ".join(f"`{k}` = '{v}'" for k, v in values.items())
+                self.spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
 
-    def _point(self, name: str, select: str, *runs: str) -> None:
+    def _point(self, name: str, select: str, commits: Sequence[Commit]) -> None:
+        recorded = ",".join("/".join(c) for c in commits)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.full_name(name)} "
-            f"TBLPROPERTIES ('{COMMITTED}' = '{','.join(runs)}') AS {select}"
+            f"TBLPROPERTIES ('{COMMITS}' = '{recorded}') AS {select}"
         )
         self.spark.catalog.refreshTable(self.full_name(name))
 
-    def _version(self, name: str, run_id: str) -> str:
-        return self.full_name(f"{name}__v_{checked_run_id(run_id)}")
+    def _version(self, name: str, commit: Commit) -> str:
+        run = commit.run_id.replace("-", "_").lower()
+        return self.full_name(f"{name}__v_{run}_{commit.attempt}")
 
-    def _runs_before(self, name: str, run_id: str) -> list[str]:
-        """The committed runs a table keeps, oldest first, without ``run_id``."""
+    def _commits(self, name: str) -> list[Commit]:
+        """The runs a view shows or keeps, oldest first."""
         if not self.exists(name):
             return []
         rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(name)}").collect()
-        runs = next((r.value.split(",") for r in rows if r.key == COMMITTED), [])
-        return [r for r in runs if r != run_id]
+        recorded = next((r.value for r in rows if r.key == COMMITS), "")
+        return [Commit(*c.split("/")) for c in recorded.split(",") if c]
+
+    def _before(self, name: str, commit: Commit) -> list[Commit]:
+        """The runs that come before that of ``commit``, which must be the last or a new one."""
+        commits = self._commits(name)
+        before = [c for c in commits if c.run_id != commit.run_id]
+        if len(before) < len(commits) and commits[-1].run_id != commit.run_id:
+            raise OutOfOrderError(
+                f"{name}: {commits[-1].run_id} was built on {commit.run_id}, which can no longer be repeated"
+            )
+        if before and not commit.is_after(before[-1]):
+            raise OutOfOrderError(
+                f"{name}: {commit.run_id} at {commit.moment} is not after "
+                f"{before[-1].run_id} at {before[-1].moment}"
+            )
+        return before
+
+
+def _is_one_of(commits: Sequence[Commit]) -> str:
+    return f"{ATTEMPT} IN ({', '.join(repr(c.attempt) for c in commits)})"

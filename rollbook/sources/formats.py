@@ -39,6 +39,7 @@ def read_zip_csv(
             reader = reader.option(name, options[name])
     reader = reader.option("has_header", not columns)
     if row_limit is not None:
+        # No archive gives more than the limit; the limit on all of them follows.
         reader = reader.option("row_limit", row_limit)
     return (reader.schema(text_schema(columns)) if columns else reader).load(uri)
 
@@ -62,8 +63,7 @@ def read_csv(
         mode="PERMISSIVE",
         inferSchema=False,
     )
-    rows = (reader.schema(text_schema(columns)) if columns else reader).csv(uri)
-    return rows if row_limit is None else rows.limit(row_limit)
+    return (reader.schema(text_schema(columns)) if columns else reader).csv(uri)
 
 
 def read_json(
@@ -82,7 +82,7 @@ def read_json(
     rows = spark.read.schema(schema).option("multiLine", options.get("multi_line", False)).json(uri)
     if records_path:
         rows = rows.select(F.inline(records_path))
-    return rows if row_limit is None else rows.limit(row_limit)
+    return rows
 
 
 FORMATS: dict[str, Reader] = {
@@ -100,8 +100,10 @@ def read_source(
     options: Options,
     row_limit: int | None = None,
 ) -> DataFrame:
+    """Read a source; ``row_limit`` is the number of rows in all, whatever the format and files."""
     if source_format not in FORMATS:
         raise ValueError(f"Unsupported source format: {source_format}")
     if row_limit is not None and row_limit <= 0:
         raise ValueError(f"row_limit must be positive, got {row_limit}")
-    return FORMATS[source_format](spark, uri, options, row_limit)
+    rows = FORMATS[source_format](spark, uri, options, row_limit)
+    return rows if row_limit is None else rows.limit(row_limit)
