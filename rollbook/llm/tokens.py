@@ -12,6 +12,8 @@ from __future__ import annotations
 import array
 import functools
 import os
+from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 from tokenizers import Tokenizer
 
@@ -40,13 +42,16 @@ class _Parts(dict):
             word = part
         return word.lower() if self.folds and word.isascii() else word
 
+    def _unknown(self, parts: Iterable[str]) -> Iterator[str]:
+        return filterfalse(self.old.__contains__, filterfalse(self.__contains__, parts))
+
     def learn(self, parts: set[str]) -> None:
         """Encode in one call what a batch of texts brings anew."""
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
-        words = {self._word(p) for p in parts if p not in self and p not in self.old}
-        words = [w for w in words if w not in self and w not in self.old]
+        words = {self._word(p) for p in self._unknown(parts)}
+        words = list(self._unknown(words))
         if words:
             coded = self.tokenizer.encode_batch_fast([self.prefix + w for w in words], add_special_tokens=False)
             for word, code in zip(words, coded, strict=True):
@@ -89,6 +94,7 @@ class Encoder:
 
     def _byte_level(self, texts: list[str]) -> list[bytes]:
         cut = [[line.split(" ") for line in t.split("\n")] for t in texts]
+        self.bare.learn({line[0] for lines in cut for line in lines})
         self.spaced.learn(set().union(*[line[1:] for lines in cut for line in lines if len(line) > 1]))
         return [self._regular(t, lines) for t, lines in zip(texts, cut, strict=True)]
 
@@ -96,7 +102,7 @@ class Encoder:
         """For single spaces and breaks only; other white space is left to the tokenizer."""
         out = []
         bare, spaced = self.bare, self.spaced
-        if not text.isascii() and _odd(text) or not text.translate(_PLAIN).isprintable():
+        if not text.isascii() and _odd(text) or not text.replace("\n", " ").isprintable():
             return self._irregular(text)
         for parts in lines:
             if not all(parts):
@@ -105,7 +111,7 @@ class Encoder:
                 out.append(bare["\n"])
             out.append(bare[parts[0]])
             if len(parts) > 1:
-                out += [spaced[p] for p in parts[1:]]
+                out += map(spaced.__getitem__, parts[1:])
         return b"".join(out)
 
     def _irregular(self, text: str) -> bytes:
@@ -124,9 +130,6 @@ class Encoder:
         return b"".join(out) if text else b""
 
 
-_PLAIN = {10: 32}
-
-
 def _odd(text: str) -> bool:
     """White space other than spaces and line breaks."""
     return len(text.split()) != len(text.replace("\n", " ").split(" "))
