@@ -60,30 +60,35 @@ class Trie:
                 # No child can match: its base points behind all states.
                 self.base[state] = size - 256
                 continue
-            own = np.array(sorted(children[node]))
+            own = sorted(children[node])
             while self.check[first_free] >= 0:
                 first_free += 1
             # Branching nodes leave crowded stretches behind; single children fill their holes.
-            at, width = (first_free if len(own) == 1 else max(search_from, first_free)), 64
-            while True:
-                # The bases that put the first child on a free slot, all tried together.
-                bases = at + np.flatnonzero(self.check[at : at + width] < 0) - own[0]
-                bases = bases[bases > 0]
-                fits = (self.check[np.minimum(bases[:, None] + own, size - 1)] < 0).all(axis=1)
-                if fits.any():
-                    base = int(bases[fits.argmax()])
-                    break
-                at, width = at + width, 2 * width
-            if len(own) > 1 and at > search_from + 256:
-                search_from = at
-            slots = base + own
-            if slots[-1] >= size - 256:
+            if len(own) == 1 and first_free > own[0]:
+                base = first_free - own[0]
+            else:
+                at = max(search_from, first_free)
+                base = self._room(np.array(own), at)
+                if base + own[0] > at + 256:
+                    search_from = base + own[0] - 256
+            if base + own[-1] >= size - 256:
                 raise ValueError("the trie's array is too short")
             self.base[state] = base
-            self.check[slots] = state
             for byte, child in children[node].items():
+                self.check[base + byte] = state
                 todo.append((child, base + byte))
 
+    def _room(self, own: np.ndarray, at: int) -> int:
+        """A base that puts all of a node's children on free slots, the first one from ``at`` on."""
+        width = 64
+        while True:
+            bases = at + np.flatnonzero(self.check[at : at + width] < 0) - own[0]
+            bases = bases[bases > 0]
+            fits = (self.check[np.minimum(bases[:, None] + own, len(self.check) - 1)] < 0).all(axis=1)
+            if fits.any():
+                return int(bases[fits.argmax()])
+            at, width = at + width, 2 * width
+
     def step(self, states: np.ndarray, symbols: np.ndarray) -> np.ndarray:
         """The next states; -1 where there is none."""
         to = self.base[states] + symbols
@@ -103,9 +108,9 @@ class Model:
         mark = MARK.encode()
         self.parts_apart = not any(mark in p.lstrip(mark) for p in usable if p.strip(mark))
 
-    def segment(self, parts: list[bytes]) -> list[list[int]]:
-        """The best path of each part."""
-        out: list[list[int]] = [[] for _ in parts]
+    def segment(self, parts: list[bytes]) -> list[bytes]:
+        """The best path of each part, as little-endian unsigned 32-bit ids."""
+        out = [b""] * len(parts)
         by_length: dict[int, list[int]] = {}
         for i, part in enumerate(parts):
             by_length.setdefault(len(part), []).append(i)
@@ -117,7 +122,7 @@ class Model:
                     out[i] = ids
         return out
 
-    def _paths(self, parts: list[bytes], length: int) -> list[list[int]]:
+    def _paths(self, parts: list[bytes], length: int) -> list[bytes]:
         n = len(parts)
         text = np.frombuffer(b"".join(parts), dtype=np.uint8).reshape(n, length).astype(np.int64)
         # Bytes of a character: how many follow the one at each place; 0 inside a character.
@@ -156,19 +161,30 @@ class Model:
             better = value > best[rows[fallback], end]
             target, end = rows[fallback[better]], end[better]
             best[target, end], last[target, end], came[target, end] = value[better], -2, start
-        out = []
-        for row in range(n):
-            ids, end = [], length
-            pieces, starts = last[row], came[row]
-            while end:
-                start = int(starts[end])
-                if pieces[end] == -2:
-                    ids += [self.bytes_from + b for b in reversed(parts[row][start:end])]
-                else:
-                    ids.append(int(pieces[end]))
-                end = start
-            out.append(ids[::-1])
-        return out
+        return self._backwards(parts, last, came)
+
+    def _backwards(self, parts: list[bytes], last: np.ndarray, came: np.ndarray) -> list[bytes]:
+        """The ids on the paths, walked from the ends for all parts together."""
+        n, length = len(parts), last.shape[1] - 1
+        # A path has at most one id a byte; it is filled from the right.
+        ids = np.zeros((n, length), dtype="<u4")
+        begins = np.full(n, length)
+        ends = np.full(n, length)
+        live = np.arange(n)
+        while len(live):
+            end = ends[live]
+            piece, start = last[live, end], came[live, end]
+            one = piece >= 0
+            rows = live[one]
+            begins[rows] -= 1
+            ids[rows, begins[rows]] = piece[one]
+            for row, a, b in zip(live[~one].tolist(), start[~one].tolist(), end[~one].tolist(), strict=True):
+                begins[row] -= b - a
+                ids[row, begins[row] : begins[row] + b - a] = [self.bytes_from + x for x in parts[row][a:b]]
+            ends[live] = start
+            live = live[start > 0]
+        data, width = ids.tobytes(), 4 * length
+        return [data[r * width + 4 * b : (r + 1) * width] for r, b in enumerate(begins.tolist())]
 
 
 class Codec:
@@ -176,12 +192,21 @@ class Codec:
 
     def __init__(self, model: Model, limit: int = 500_000):
         self.model, self.limit = model, limit
+        #: Ids by part; a part without a marker stands for a word with one before it.
         self.known: dict[bytes, bytes] = {}
+        mark, first = MARK.encode(), model.bytes_from
+        self.spelled = [
+            bytes([i - first]) if first <= i < first + 256 else piece.replace(mark, b" ")
+            for i, (piece, _) in enumerate(model.pieces)
+        ]
 
     def parts(self, text: bytes) -> list[bytes]:
         if not text:
             return []
         mark = MARK.encode()
+        words = text.split(b" ")
+        if self.model.parts_apart and all(words) and mark not in text:
+            return words
         marked = mark + text.replace(b" ", mark)
         if not self.model.parts_apart:
             return [marked]
@@ -200,20 +225,13 @@ class Codec:
         cut = [self.parts(t) for t in texts]
         if len(self.known) >= self.limit:
             self.known = {}
-        new = list({p for parts in cut for p in parts if p not in self.known})
-        for part, ids in zip(new, self.model.segment(new), strict=True):
-            self.known[part] = np.array(ids, dtype="<u4").tobytes()
-        known = self.known
-        return [b"".join([known[p] for p in parts]) for parts in cut]
+        known, mark = self.known, MARK.encode()
+        new = [p for p in set().union(*cut) if p not in known]
+        known.update(zip(new, self.model.segment([p if mark in p else mark + p for p in new]), strict=True))
+        return [b"".join(map(known.__getitem__, parts)) for parts in cut]
 
     def decode(self, ids: bytes) -> bytes:
-        first = self.model.bytes_from
-        pieces = self.model.pieces
-        out = b"".join([
-            bytes([i - first]) if first <= i < first + 256 else pieces[i][0]
-            for i in np.frombuffer(ids, dtype="<u4").tolist()
-        ])
-        return out.replace(MARK.encode(), b" ")[1:]
+        return b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))[1:]
 
 
 def read_model(path: str) -> Model:
