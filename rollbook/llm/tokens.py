@@ -24,14 +24,37 @@ BYTE_LEVEL = "byte"
 SPACE_DROPPED = "dropped"
 #: A run of these after a letter is a unit.
 STOPS = ".,;:!?"
+#: Letters below this one are letters to every version of the tables of characters.
+SETTLED = "\u0530"
+
+
+def byte_letters() -> str:
+    """The character a byte-level tokenizer writes for each byte: its own where that can be seen,
+    the others by number from U+0100 on."""
+    seen = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = iter(range(0x100, 0x200))
+    return "".join([chr(b if b in seen else next(others)) for b in range(256)])
+
+
+def units_are_plain(tokenizer: Tokenizer) -> bool:
+    """Letters, with or without a space before them, reach the model as one unit of byte letters."""
+    return (
+        tokenizer.normalizer is None
+        and tokenizer.post_processor is None
+        and type(tokenizer.pre_tokenizer).__name__ == "ByteLevel"
+        and not tokenizer.pre_tokenizer.add_prefix_space
+        and tokenizer.pre_tokenizer.use_regex
+        and not any(t.content.strip().isalpha() for t in tokenizer.get_added_tokens_decoder().values())
+    )
 
 
 class _Parts(dict):
     """The ids of parts as bytes of little-endian unsigned 32-bit numbers."""
 
-    def __init__(self, tokenizer: Tokenizer, prefix: str, limit: int, folds: bool, stops: _Parts | None):
+    def __init__(self, tokenizer: Tokenizer, prefix: str, limit: int, folds: bool, stops: _Parts | None, plain: bool):
         super().__init__()
         self.tokenizer, self.prefix, self.limit, self.folds = tokenizer, prefix, limit, folds
+        self.plain, self.model, self.letters = plain, tokenizer.model, byte_letters()
         self.stops = self if stops is None else stops
         self.old: dict[str, bytes] = {}
 
@@ -45,27 +68,44 @@ class _Parts(dict):
     def _unknown(self, parts: Iterable[str]) -> Iterator[str]:
         return filterfalse(self.old.__contains__, filterfalse(self.__contains__, parts))
 
-    def learn(self, parts: set[str]) -> None:
-        """Encode in one call what a batch of texts brings anew."""
+    def turn(self) -> None:
+        """Begin a new generation when the younger one is full."""
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
+
+    def learn(self, parts: set[str]) -> None:
+        """Encode in one call what a batch of texts brings anew."""
+        self.turn()
         words = {self._word(p) for p in self._unknown(parts)}
         words = list(self._unknown(words))
         if words:
-            coded = self.tokenizer.encode_batch_fast([self.prefix + w for w in words], add_special_tokens=False)
-            for word, code in zip(words, coded, strict=True):
-                self[word] = array.array("I", code.ids).tobytes()
+            for word, ids in zip(words, self._by_tokenizer(words), strict=True):
+                self[word] = ids
+
+    def _by_tokenizer(self, words: list[str]) -> list[bytes]:
+        coded = self.tokenizer.encode_batch_fast([self.prefix + w for w in words], add_special_tokens=False)
+        return [array.array("I", code.ids).tobytes() for code in coded]
+
+    def _by_model(self, word: str) -> bytes:
+        """A word of letters is a unit, so only the tokenizer's model is left to apply."""
+        if word.isascii():
+            unit = self.letters[ord(self.prefix)] + word if self.prefix else word
+        else:
+            unit = (self.prefix + word).encode().decode("latin-1").translate(self.letters)
+        return array.array("I", [t.id for t in self.model.tokenize(unit)]).tobytes()
 
     def __missing__(self, part: str) -> bytes:
         ids = self.old.get(part)
         if ids is None:
             word = self._word(part)
-            if word == part:
-                self.learn({part})
-                return self[part]
-            rest = part[len(word) :]
-            ids = self[word] + self.stops[rest] if rest else self[word]
+            if word != part:
+                rest = part[len(word) :]
+                ids = self[word] + self.stops[rest] if rest else self[word]
+            elif self.plain and word.isalpha() and max(word) < SETTLED:
+                ids = self._by_model(word)
+            else:
+                ids = self._by_tokenizer([word])[0]
         self[part] = ids
         return ids
 
@@ -77,8 +117,9 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         tokenizer = Tokenizer.from_file(path)
         self.dropped = kind == SPACE_DROPPED
-        self.bare = _Parts(tokenizer, "", limit, self.dropped, None)
-        self.spaced = _Parts(tokenizer, " ", limit, False, self.bare)
+        plain = kind == BYTE_LEVEL and units_are_plain(tokenizer)
+        self.bare = _Parts(tokenizer, "", limit, self.dropped, None, plain)
+        self.spaced = _Parts(tokenizer, " ", limit, False, self.bare, plain)
 
     def encode(self, texts: list[str], at_once: int = 200) -> list[bytes]:
         out = []
@@ -93,18 +134,18 @@ class Encoder:
         return [b"".join([known[p] for p in parts]) for parts in cut]
 
     def _byte_level(self, texts: list[str]) -> list[bytes]:
-        cut = [[line.split(" ") for line in t.split("\n")] for t in texts]
-        self.bare.learn({line[0] for lines in cut for line in lines})
-        self.spaced.learn(set().union(*[line[1:] for lines in cut for line in lines if len(line) > 1]))
-        return [self._regular(t, lines) for t, lines in zip(texts, cut, strict=True)]
+        self.bare.turn()
+        self.spaced.turn()
+        return [self._regular(t) for t in texts]
 
-    def _regular(self, text: str, lines: list[list[str]]) -> bytes:
+    def _regular(self, text: str) -> bytes:
         """For single spaces and breaks only; other white space is left to the tokenizer."""
         out = []
         bare, spaced = self.bare, self.spaced
         if not text.isascii() and _odd(text) or not text.replace("\n", " ").isprintable():
             return self._irregular(text)
-        for parts in lines:
+        for line in text.split("\n"):
+            parts = line.split(" ")
             if not all(parts):
                 return self._irregular(text)
             if out:
