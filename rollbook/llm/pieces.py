@@ -18,6 +18,7 @@ ids are encoded each; other columns are not read; an empty table gives an empty
 
 from __future__ import annotations
 
+import functools
 import zlib
 from collections.abc import Iterator
 
@@ -234,7 +235,9 @@ class Codec:
         return b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))[1:]
 
 
+@functools.lru_cache(maxsize=2)
 def read_model(path: str) -> Model:
+    """The trie of a file is built once per process."""
     import sentencepiece
 
     file = sentencepiece.SentencePieceProcessor(model_file=path)
