@@ -160,7 +160,7 @@ def test_simhash_links_lose_nothing(spark, monkeypatch, distance, block):
 
 
 def test_encoders_equal_the_whole_text(texts):
-    odd = ["", " ", "\n", "  a  b", "a\n\nb", "a \n b", "\ta b", "a\xa0b \xa0c", "it's. a...b 12,3!", "x<|endoftext|> b", "İ ΑΣ ﬁ", "$$$ a%%%.", "I'LL", ".. a", "\x1ca b"]
+    odd = ["", " ", "\n", "  a  b", "a\n\nb", "a \n b", "\ta b", "a\xa0b \xa0c", "it's. a...b 12,3!", "x<|endoftext|> b", "İ ΑΣ ﬁ", "$$$ a%%%.", "I'LL", ".. a", "\x1ca b", "naïve Straße, œuvre", "Привет мир! мир", "漢字 かな", "cafe\u0301 e\u0301", "ªº ǅ ʰ x²"]
     for name, kind in (("byte_bpe_50k.json", tokens.BYTE_LEVEL), ("word_bpe_49k.json", tokens.SPACE_DROPPED)):
         path = public_tokenizers.path(name)
         whole = Tokenizer.from_file(path)
