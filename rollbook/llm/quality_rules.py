@@ -2,11 +2,15 @@
 
 Each rule measures one quantity per document. Quantile sketches (KLL) of every quantity are built
 per language and source and merged upwards to languages and to the whole corpus. From its group's
-quantiles a document gets the fence ``median + spread * (upper - median)``, at least the rule's
-floor, and is rejected where a quantity lies above the fence. Half of a group would have to be
-junk before its fence moves into the junk, because the fence grows from the median and the
-``upper`` quantile defaults to 0.75. A group of fewer than ``least`` documents takes its language's
-fences, and a language of fewer the corpus's.
+quantiles a document gets the fence ``median + spread * max(upper - median, step)`` and is rejected
+where a quantity lies above the fence. The group alone sets the fence; the small ``step`` is the
+scale only where a quantity hardly varies, as symbols do where nobody writes any. The ``upper``
+quantile defaults to 0.75: a quarter of a group would have to be junk before its fence moves into the
+junk. Quantities that are zero in nearly all documents but not in all good ones take their scale
+from a farther quantile.
+
+A group sets a rule's fence if it has ``least`` documents and ``tail`` of them above the rule's
+quantile; otherwise the language does, on the same terms, and else the corpus.
 
 Only documents that pass the fixed base rules enter the sketches, so rejected ones shift nothing.
 
@@ -28,27 +32,34 @@ from rollbook.session import written
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+#: Sketch size; ranks are right to about 0.3 percent, which the far quantiles need.
+SKETCH = 800
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``value`` is over the measures of a document; documents far above their group fall."""
+    """``value`` is over the measures of a document; documents far above their group fall.
+
+    ``step`` is the least scale. Without a quantile and spread of its own a rule takes the caller's.
+    """
 
     name: str
     value: Column
-    floor: float
+    step: float
+    upper: float | None = None
+    spread: float | None = None
 
 
 def default_rules() -> tuple[Rule, ...]:
     words = F.greatest(F.col("n_words"), F.lit(1))
     return (
-        Rule("symbol_rate", F.col("n_symbols") / words, 0.15),
-        Rule("shout_rate", F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1)), 0.3),
-        Rule("stutter_rate", F.col("n_stutters") / words, 0.3),
-        Rule("word_length", F.col("word_chars") / words, 15.0),
-        Rule("repeat_rate", F.col("n_repeat_words") / words, 0.3),
-        Rule("dup_line_rate", F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 0.5),
+        Rule("symbol_rate", F.col("n_symbols") / words, 0.002),
+        Rule("shout_rate", F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1)), 0.002),
+        Rule("stutter_rate", F.col("n_stutters") / words, 0.002),
+        Rule("word_length", F.col("word_chars") / words, 0.02),
+        Rule("no_letter_rate", F.col("n_no_letter") / words, 0.01),
+        Rule("dup_line_rate", F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 0.002, 0.99, 3.0),
     )
 
 
@@ -111,10 +122,11 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
         F.size("_lines").cast("long").alias("n_lines"),
         F.length(F.regexp_replace("_whole", r"[^\p{Lu}]+", "")).cast("long").alias("n_upper"),
         F.size(F.filter("_hashes", lambda h, i: h == F.get("_hashes", i - 1))).cast("long").alias("n_stutters"),
+        F.size(F.filter("_words", lambda w: ~w.rlike(r"\p{L}"))).cast("long").alias("n_no_letter"),
     )
 
 
-_OWN = (*MEASURES, "n_lines", "n_upper", "n_stutters", "base_failed", "kept", "_whole", "_words", "_lines", "_hashes", "_sorted", "_places")
+_OWN = (*MEASURES, "n_lines", "n_upper", "n_stutters", "n_no_letter", "base_failed", "kept", "_whole", "_words", "_lines", "_hashes", "_sorted", "_places")
 
 
 def base_failed(least_words: int = 20, repeat_percent: int = 30) -> Column:
@@ -130,20 +142,22 @@ def _sketches(measured: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     """
     return measured.where(~F.col("base_failed")).groupBy("lang", "source").agg(
         F.count(F.lit(1)).alias("n"),
-        *[F.kll_sketch_agg_double(r.value.cast("double")).alias(r.name) for r in rules],
+        *[F.kll_sketch_agg_double(r.value.cast("double"), SKETCH).alias(r.name) for r in rules],
     )
 
 
 def thresholds(
-    sketches: DataFrame, rules: tuple[Rule, ...], upper: float, spread: float
+    sketches: DataFrame, rules: tuple[Rule, ...], upper: float, spread: float, least: int = 1, tail: int = 0
 ) -> DataFrame:
-    """The fences of each row of sketches; without a document in them, the floors."""
+    """The fences of each row of sketches; null where it has too few documents for a rule."""
     fences = []
     for rule in rules:
+        at = upper if rule.upper is None else rule.upper
         middle = F.kll_sketch_get_quantile_double(rule.name, F.lit(0.5))
-        high = F.kll_sketch_get_quantile_double(rule.name, F.lit(upper))
-        fence = F.when(F.col("n") > 0, middle + spread * (high - middle))
-        fences.append(F.greatest(fence, F.lit(rule.floor)).alias(rule.name))
+        high = F.kll_sketch_get_quantile_double(rule.name, F.lit(at))
+        scale = F.greatest(high - middle, F.lit(rule.step))
+        enough = (F.col("n") >= max(least, 1)) & (F.col("n") * (1 - at) >= tail)
+        fences.append(F.when(enough, middle + (spread if rule.spread is None else rule.spread) * scale).alias(rule.name))
     return sketches.select(*[c for c in ("lang", "source", "n") if c in sketches.columns], *fences)
 
 
@@ -151,8 +165,9 @@ def quality_rules(
     docs: DataFrame,
     rules: tuple[Rule, ...] | None = None,
     upper: float = 0.75,
-    spread: float = 4.0,
+    spread: float = 16.0,
     least: int = 50,
+    tail: int = 12,
     keep_text: bool = False,
 ) -> DataFrame:
     """``docs`` with the measures, ``base_failed`` and ``kept``; without the text unless asked."""
@@ -168,8 +183,8 @@ def quality_rules(
     by_lang = by_group.groupBy("lang").agg(F.sum("n").alias("n"), *merged)
     over_all = by_group.agg(F.sum("n").alias("n"), *merged)
     everywhere = thresholds(over_all, rules, upper, spread).first()  # one row of numbers
-    own = thresholds(by_group, rules, upper, spread).where(F.col("n") >= least)
-    lang = thresholds(by_lang, rules, upper, spread).where(F.col("n") >= least)
+    own = thresholds(by_group, rules, upper, spread, least, tail)
+    lang = thresholds(by_lang, rules, upper, spread, least, tail)
     names = [r.name for r in rules]
     own = own.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), F.struct(*names).alias("_own"))
     lang = lang.select(F.col("lang").alias("_k"), F.struct(*names).alias("_lang"))
@@ -178,6 +193,7 @@ def quality_rules(
     ).join(lang, F.col("lang").eqNullSafe(F.col("_k")), "left")
     passed = F.lit(True)
     for rule in rules:
-        fence = F.coalesce(f"_own.{rule.name}", f"_lang.{rule.name}", F.lit(everywhere[rule.name]))
+        last = everywhere[rule.name]
+        fence = F.coalesce(f"_own.{rule.name}", f"_lang.{rule.name}", F.lit(float("inf") if last is None else last))
         passed &= rule.value.cast("double") <= fence
     return joined.select(*measured.columns, (~F.col("base_failed") & passed).alias("kept"))

@@ -100,6 +100,23 @@ def test_quality_rules_keep_good_and_drop_junk(spark):
     assert rates[1] == 1.0 and rates.get(0, 0) < 0.2
 
 
+def test_quality_rules_fences_follow_their_group(spark):
+    """Each value is common in one source and far out in the other, and below any old constant."""
+
+    def made(i, length, numbers):
+        words = [chr(97 + (i * 7 + k * 3) % 26) * (length + (i + k) % 3) for k in range(60 - numbers)]
+        return " ".join([*words, *[str(100 + i + k) for k in range(numbers)]])
+
+    rows = [(i, made(i, 3, 0), "en", "short") for i in range(300)]
+    rows += [(1000 + i, made(i, 11, 12 + i % 5), "en", "long") for i in range(300)]
+    rows += [(2000, made(5, 11, 0), "en", "short"), (2001, made(5, 3, 15), "en", "short")]
+    rows += [(2002, made(5, 11, 15), "en", "long"), (2003, made(5, 3, 0) + " $ $ $ $ $", "en", "short")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: (r.base_failed, r.kept) for r in quality_rules(docs).collect()}
+    assert [out.pop(i) for i in range(2000, 2004)] == [(False, False), (False, False), (False, True), (False, False)]
+    assert all(kept for failed, kept in out.values() if not failed) and not any(failed for failed, _ in out.values())
+
+
 def slow_print(text):
     words = words_of(text)
     if not words:
