@@ -4,8 +4,12 @@ A word may have been written through a channel that replaces letters by look-ali
 puts separators between them, or spaces them out. Each suspicious word spans a lattice: every
 written character may stand for itself, for the letters it resembles, for nothing (a separator),
 or for the letter before it once more. Viterbi finds the most probable reading under a character
-trigram model of all documents and the channel's costs. Words of plain letters have one path and
-are their own reading.
+trigram model of all documents and the channel's costs.
+
+Where the channel leaves it open what was meant, each meaning is a reading: symbols at a word's ends
+that resemble letters (``a$$``, ``!diot``, ``idiot###``) are read and are dropped, a run of equal
+letters in a word of letters stands for one or for two, and a word without any letter stays beside
+what it may spell. A word of other letters has one path and is its own reading.
 
 The character model's counts cover all texts; its alphabet is fixed, so the table has
 ``len(ALPHABET) ** 3`` numbers at any input size. The scores come from a bounded sample of labelled
@@ -24,6 +28,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -50,8 +55,11 @@ for _c, _i in _PLACE.items():
     _TABLE[ord(_c.upper()) if len(_c.upper()) == 1 and ord(_c.upper()) < 0x180 else ord(_c)] = _i
 
 _EDGE = ".,;:!?\"'()[]{}«»“”„¿¡"
-_RUN = re.compile(r"(.)\1\1")
-_JUNK_END = re.compile(r"([#*$%&|<>])\1{1,}$")
+#: What can only be dropped at a word's ends, and all that may be.
+_CLEAR = "".join(c for c in dict.fromkeys(_EDGE + SEPARATORS) if c not in LOOK_ALIKES)
+_DIM = _CLEAR + "".join(c for c in LOOK_ALIKES if not c.isalnum()) + "%&<>"
+_RUN = re.compile(r"(.)\1+")
+_RUNS = re.compile(r"(.)\1*")
 #: Three or more single characters with one space between.
 _SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
 
@@ -78,21 +86,30 @@ def character_model(counts: np.ndarray) -> np.ndarray:
     return np.log10(p3)
 
 
-def plain(word: str) -> str | None:
-    """The reading of a word that has one path only, else None."""
-    core = word.strip(_EDGE)
-    if not core.isalpha():
-        core = _JUNK_END.sub("", core).strip(_EDGE)
-    if core.isalpha() or not any(c.isalpha() for c in core):
-        return None if _RUN.search(core) and core.isalpha() else core
-    return None
+def spellings(word: str) -> tuple[str, ...]:
+    """A word of letters, each run of equal ones as one letter and as two; beyond four runs alike."""
+    runs = list(_RUN.finditer(word))
+    if not runs:
+        return (word,)
+    if len(runs) > 4:
+        return (_RUN.sub(r"\1\1", word), _RUN.sub(r"\1", word))
+    parts, end = [], 0
+    for run in runs:
+        parts += [(word[end : run.start()],), (run[1], run[1] * 2)]
+        end = run.end()
+    return tuple("".join(x) for x in product(*parts, (word[end:],)))
 
 
 def decode(word: str, model: np.ndarray) -> str:
-    """The most probable letters behind ``word``; Viterbi over the last two letters."""
+    """The most probable letters behind ``word`` without the marks around it."""
     word = word.lower()
-    core = word.rstrip(_EDGE).lstrip("\"'([{«“„¿¡") or word
-    states: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+    return viterbi(word.rstrip(_EDGE).lstrip("\"'([{«“„¿¡") or word, model)
+
+
+def viterbi(core: str, model: np.ndarray, start: str = "", repeats: bool = True) -> str:
+    """The most probable letters behind all of ``core`` after the letters ``start``, and those."""
+    first = (0, *[_PLACE.get(c, 0) for c in start])[-2:] if start else (0, 0)
+    states: dict[tuple[int, int], tuple[float, str]] = {first: (0.0, start)}
     for c in core:
         after: dict[tuple[int, int], tuple[float, str]] = {}
         letters = [(c, 0.0)] if c in _PLACE else [] if c in LOOK_ALIKES or c in SEPARATORS else [(c, COST_KEEP)]
@@ -102,7 +119,7 @@ def decode(word: str, model: np.ndarray) -> str:
             for letter, cost in letters:
                 place = _PLACE.get(letter, 0)
                 options.append(((b, place), score - cost + float(model[a, b, place]), text + letter))
-                if text and letter == text[-1]:
+                if repeats and text and letter == text[-1]:
                     options.append(((a, b), score - COST_REPEAT, text))
             if c in SEPARATORS or not letters:
                 options.append(((a, b), score - COST_DROP, text))
@@ -114,18 +131,58 @@ def decode(word: str, model: np.ndarray) -> str:
     return states[max(end, key=end.get)][1]
 
 
+def _nearest(symbols: str, most: int = 4) -> list[str]:
+    """The first run of equal symbols, the first two and so on, as far as all resemble letters."""
+    out, end = [], 0
+    for run in _RUNS.finditer(symbols):
+        if run[1] not in LOOK_ALIKES or len(out) == most:
+            break
+        end = run.end()
+        out.append(symbols[:end])
+    return out
+
+
 class Reader:
     """Restored words of texts; readings are kept up to ``limit`` words."""
 
     def __init__(self, model: np.ndarray, limit: int = 300_000):
-        self.model, self.limit, self.known = model, limit, {}
+        self.model, self.limit, self.known, self.tails = model, limit, {}, {}
+
+    def _spelled(self, core: str, start: str = "") -> tuple[str, ...]:
+        """The best reading, and the best with every letter written out, its runs short and long."""
+        whole = viterbi(core, self.model, start, repeats=False)
+        return tuple(dict.fromkeys([viterbi(core, self.model, start), *spellings(whole)]))
 
-    def reading(self, word: str) -> str:
+    def _tail(self, word: str, symbols: str) -> list[str]:
+        """``word`` with the look-alikes after it read; they depend on its last two letters only."""
+        key = (word[-2:], symbols)
+        found = self.tails.get(key)
+        if found is None:
+            if len(self.tails) >= self.limit:
+                self.tails.clear()
+            found = self.tails[key] = self._spelled(symbols, word[-2:])
+        return [word[:-2] + x for x in found]
+
+    def _read(self, word: str) -> tuple[str, ...]:
+        core = word.strip(_CLEAR)
+        if core.isalpha():
+            return spellings(core)
+        inner = core.strip(_DIM)
+        at = core.index(inner) if inner else len(core)
+        out = list(spellings(inner) if inner.isalpha() else self._spelled(inner) if inner else [])
+        # Of the symbols before and after, the runs nearest to the word are read, the others dropped.
+        for head in _nearest(core[:at][::-1]):
+            out += self._spelled(head[::-1] + inner)
+        ends = _nearest(core[at + len(inner) :])
+        out += [y for x in out for tail in ends for y in self._tail(x, tail)]
+        if not any(c.isalpha() for c in core):
+            out.append(core)
+        return tuple(dict.fromkeys(out))
+
+    def readings(self, word: str) -> tuple[str, ...]:
         found = self.known.get(word)
         if found is None:
-            found = plain(word)
-            if found is None:
-                found = decode(word, self.model)
+            found = self._read(word)
             if len(self.known) >= self.limit:
                 self.known = {}
             self.known[word] = found
@@ -133,11 +190,13 @@ class Reader:
 
     def words(self, text: bytes) -> set[str]:
         whole = text.decode("utf-8", "replace").lower()
-        out = {self.reading(w) for w in set(whole.split())}
+        out = set()
+        for word in set(whole.split()):
+            out.update(self.readings(word))
         for spaced in _SPACED.finditer(whole):
             letters = spaced.group().replace(" ", "")
             if any(c.isalpha() for c in letters):
-                out.add(self.reading(letters))
+                out.update(self.readings(letters))
         out.discard("")
         return out
 

@@ -359,6 +359,19 @@ def test_decoding_restores_obfuscated_words():
     assert reader.words(b"plain words, stay. 12 45.2") >= {"plain", "words", "stay"}
 
 
+def test_reader_reads_what_the_ends_and_doubled_letters_hide():
+    plain = [b"you are an idiot and a loser", b"such a stupid moron", b"what an ass, a clown", b"shit, a total loss"] * 30
+    reader = toxicity.Reader(toxicity.character_model(toxicity.trigram_counts(plain)))
+    forms = {
+        "a$$": "ass", "lo$$": "loss", "a$$!": "ass", "!diot": "idiot", "(lown": "clown", "(lown)": "clown", "$#!7": "shit", "455": "ass",
+        "iddiot": "idiot", "stuupid": "stupid", "assss": "ass", "idiot###": "idiot", "idiot!!": "idiot", "moron&&&": "moron",
+        "(loser)": "loser", "1diot***": "idiot", "!diot!!": "idiot", "loss.": "loss",
+    }
+    for written, meant in forms.items():
+        assert meant in reader.words(f"you {written} there".encode()), written
+    assert {"45", "..", "%%%"} & reader.words(b"45 .. %%% $$$ | -") == {"45", "%%%"}
+
+
 def test_toxicity_on_held_out(spark):
     folder = SMALL.replace("0.001", "0.01")
     found = QUERIES["op1_toxicity"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
