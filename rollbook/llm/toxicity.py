@@ -11,6 +11,10 @@ that resemble letters (``a$$``, ``!diot``, ``idiot###``) are read and are droppe
 letters in a word of letters stands for one or for two, and a word without any letter stays beside
 what it may spell. A word of other letters has one path and is its own reading.
 
+Blanks are part of the lattice too: short words that follow one another, whatever white space lies
+between, span one of their own, in which a blank stands for a word's end or for nothing. The words
+of its best reading are added to those written.
+
 The character model's counts cover all texts; its alphabet is fixed, so the table has
 ``len(ALPHABET) ** 3`` numbers at any input size. The scores come from a bounded sample of labelled
 documents (``labelled`` rows, by the order of a hash of the id, never held-out ones, copies counted
@@ -60,10 +64,11 @@ _CLEAR = "".join(c for c in dict.fromkeys(_EDGE + SEPARATORS) if c not in LOOK_A
 _DIM = _CLEAR + "".join(c for c in LOOK_ALIKES if not c.isalnum()) + "%&<>"
 _RUN = re.compile(r"(.)\1+")
 _RUNS = re.compile(r"(.)\1*")
-#: Three or more single characters with one space between.
-_SPACED = re.compile(r"(?<!\S)\S(?: \S){2,}(?!\S)")
+#: Two or more short words with any white space between.
+SHORT = 4
+_SHORTS = re.compile(rf"(?<!\S)\S{{1,{SHORT}}}(?:\s+\S{{1,{SHORT}}})+(?!\S)")
 
-COST_LOOK, COST_DROP, COST_REPEAT, COST_KEEP = 0.5, 0.4, 0.3, 1.5
+COST_LOOK, COST_DROP, COST_REPEAT, COST_KEEP, COST_GAP = 0.5, 0.4, 0.3, 1.5, 0.6
 
 
 def trigram_counts(texts: list[bytes]) -> np.ndarray:
@@ -114,15 +119,16 @@ def viterbi(core: str, model: np.ndarray, start: str = "", repeats: bool = True)
         after: dict[tuple[int, int], tuple[float, str]] = {}
         letters = [(c, 0.0)] if c in _PLACE else [] if c in LOOK_ALIKES or c in SEPARATORS else [(c, COST_KEEP)]
         letters += [(x, COST_LOOK) for x in LOOK_ALIKES.get(c, "")]
+        nothing = COST_GAP if c == " " else COST_DROP if c in SEPARATORS or not letters else None
         for (a, b), (score, text) in states.items():
             options = []
             for letter, cost in letters:
                 place = _PLACE.get(letter, 0)
                 options.append(((b, place), score - cost + float(model[a, b, place]), text + letter))
-                if repeats and text and letter == text[-1]:
+                if repeats and text and letter == text[-1] != " ":
                     options.append(((a, b), score - COST_REPEAT, text))
-            if c in SEPARATORS or not letters:
-                options.append(((a, b), score - COST_DROP, text))
+            if nothing is not None:
+                options.append(((a, b), score - nothing, text))
             for state, value, now in options:
                 if state not in after or value > after[state][0]:
                     after[state] = (value, now)
@@ -147,6 +153,7 @@ class Reader:
 
     def __init__(self, model: np.ndarray, limit: int = 300_000):
         self.model, self.limit, self.known, self.tails = model, limit, {}, {}
+        self.gaps, self.stretches = {}, {}
 
     def _spelled(self, core: str, start: str = "") -> tuple[str, ...]:
         """The best reading, and the best with every letter written out, its runs short and long."""
@@ -179,6 +186,54 @@ class Reader:
             out.append(core)
         return tuple(dict.fromkeys(out))
 
+    def _joined(self, left: str, right: str) -> bool:
+        """Whether two words of letters are more probable as one; their nearest letters decide."""
+        key = (left[-2:], right[:2])
+        found = self.gaps.get(key)
+        if found is None:
+            a, b, c, d = (_PLACE.get(x, 0) for x in (*key[0], *key[1]))
+            m = self.model
+            apart = m[a, b, 0] + m[b, 0, c] + m[0, c, d]
+            found = self.gaps[key] = bool(m[a, b, c] + m[b, c, d] - COST_GAP > apart)
+        return found
+
+    def _spaced(self, words: list[str]) -> list[str]:
+        """The words of the best reading of neighbours, where that takes blanks away.
+
+        Between words of two letters and more a gap depends on no other gap, so the window is cut
+        there; single characters and words with symbols are decided together. Three or more single
+        characters in a row are read by themselves too.
+        """
+        out, held, before, single = [], [], "", []
+        for word in words:
+            word = word.strip(_CLEAR) or word
+            plain = len(word) > 1 and word.isalpha()
+            if len(word) == 1:
+                single.append(word)
+            elif single:
+                out += self._stretch(single) if len(single) > 2 else []
+                single = []
+            if held and plain and before and not self._joined(before, word):
+                out += self._stretch(held)
+                held = []
+            held.append(word)
+            before = word if plain else ""
+        if len(held) > len(single) > 2:
+            out += self._stretch(single)
+        return out + self._stretch(held)
+
+    def _stretch(self, held: list[str]) -> list[str]:
+        if len(held) < 2:
+            return []
+        key = " ".join(held)
+        found = self.stretches.get(key)
+        if found is None:
+            if len(self.stretches) >= self.limit:
+                self.stretches.clear()
+            read = viterbi(key, self.model).split(" ")
+            found = self.stretches[key] = [w for w in read if w not in held and w.isalpha()]
+        return found
+
     def readings(self, word: str) -> tuple[str, ...]:
         found = self.known.get(word)
         if found is None:
@@ -193,10 +248,8 @@ class Reader:
         out = set()
         for word in set(whole.split()):
             out.update(self.readings(word))
-        for spaced in _SPACED.finditer(whole):
-            letters = spaced.group().replace(" ", "")
-            if any(c.isalpha() for c in letters):
-                out.update(self.readings(letters))
+        for window in _SHORTS.finditer(whole):
+            out.update(self._spaced(window.group().split()))
         out.discard("")
         return out
 

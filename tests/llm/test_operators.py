@@ -372,6 +372,18 @@ def test_reader_reads_what_the_ends_and_doubled_letters_hide():
     assert {"45", "..", "%%%"} & reader.words(b"45 .. %%% $$$ | -") == {"45", "%%%"}
 
 
+def test_reader_finds_the_ends_of_spaced_words():
+    plain = [b"you are a loser and an idiot", b"i am a stupid moron", b"the idiot is a loser", b"to be or not to be"] * 30
+    reader = toxicity.Reader(toxicity.character_model(toxicity.trigram_counts(plain)))
+    forms = {
+        "you are a l o s e r": {"loser"}, "s t u p i d m o r o n": {"stupid", "moron"}, "l  o\ts\n e r": {"loser"},
+        "an id iot": {"idiot"}, "mo ron": {"moron"}, "you i d 1 0 t here": {"idiot"}, "i d i o t, you": {"idiot"},
+    }
+    for written, meant in forms.items():
+        assert meant <= reader.words(written.encode()), written
+    assert reader.words(b"to be or not to be") == {"to", "be", "or", "not"}
+
+
 def test_toxicity_on_held_out(spark):
     folder = SMALL.replace("0.001", "0.01")
     found = QUERIES["op1_toxicity"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
