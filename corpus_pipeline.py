@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import table
+from rollbook.llm.common import ROW, numbered, table
 from rollbook.llm.kneser_ney import quality_classifier
 from rollbook.llm.line_dedup import line_dedup
 from rollbook.llm.packing import best_fit_packing
@@ -29,10 +29,11 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier rejects go; rows that share an id go together."""
-    judged = quality_classifier(docs, table(spark, sf_dir, "labels"))
-    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """Documents that the quality classifier rejects go, each row by its own judgement."""
+    rows = numbered(docs, "classifier-rows")
+    judged = quality_classifier(rows, table(spark, sf_dir, "labels"), row=ROW)
+    gone = judged.where(~F.col("kept")).select(F.col(ROW).alias("_gone"))
+    return rows.join(gone, F.col(ROW) == F.col("_gone"), "left_anti").select(*docs.columns)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

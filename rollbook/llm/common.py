@@ -7,6 +7,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollbook.session import written
+
 # The white space that separates words and is stripped from lines.
 SPACES = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
@@ -27,6 +29,15 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))
 
 
+#: The column that tells rows apart, also where their ids are null or repeat.
+ROW = "_row"
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """``docs`` with a number for each row, written so that it stays the row's own."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), name)
+
+
 def lower_ascii(text: Column) -> Column:
     return F.translate(text, UPPER, UPPER.lower())
 

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import utf8
+from rollbook.llm.common import ROW, numbered, utf8
 from rollbook.llm.components import components
 from rollbook.session import written
 
@@ -61,17 +61,18 @@ def fingerprint(text: bytes, shingle: int) -> int:
     return int.from_bytes(np.packbits(2 * ones > len(hashes)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint's 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int, row: str | None = None) -> DataFrame:
+    """``doc_id`` (and the column ``row``) and ``fp``, the fingerprint's 64 bits as a signed long."""
+    held = ["doc_id", *([row] if row else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = [fingerprint(t.as_py(), shingle) for t in batch.column("text")]
             fp = pa.array(np.array(bits, dtype=np.uint64).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), fp], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in held], fp], [*held, "fp"])
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", utf8().alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+    kinds = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in held)
+    return docs.select(*held, utf8().alias("text")).mapInArrow(run, kinds + "fp long")
 
 
 def _budgets(distance: int) -> list[int]:
@@ -207,9 +208,9 @@ def links(distinct: DataFrame, distance: int) -> DataFrame:
     return sorted_runs.mapInPandas(scan, "a long, b long")
 
 
-def simhash_near_dedup(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row."""
-    prints = written(fingerprints(docs, shingle), "simhash")
+def _judged(docs: DataFrame, shingle: int, distance: int, row: str | None = None) -> DataFrame:
+    """``doc_id, fp, root, component_id`` (and ``row``) for every row; ``root`` names a component."""
+    prints = written(fingerprints(docs, shingle, row), "simhash")
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-distinct")
     edges = links(distinct, distance)
     roots = written(components(edges), "simhash-roots")
@@ -217,18 +218,24 @@ def simhash_near_dedup(docs: DataFrame, shingle: int = 3, distance: int = 3) ->
         "fp", F.coalesce("root", "fp").alias("root"), "least"
     )
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = named.select("fp", "root").join(ids, "root").select("fp", "component_id")
-    return prints.join(ids, "fp").select(
+    return prints.join(named.select("fp", "root").join(ids, "root"), "fp")
+
+
+def simhash_near_dedup(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row."""
+    return _judged(docs, shingle, distance).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
-    """One row of ``docs`` for each component: that with the smallest id, once where ids repeat."""
-    found = written(simhash_near_dedup(docs, shingle, distance).select("doc_id", "component_id"), "simhash-kept")
-    same = F.col("component_id").eqNullSafe(F.col("doc_id"))
-    kept = found.where(same).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"))
-    kept = written(kept.withColumnRenamed("doc_id", "_id"), "simhash-ids")
-    one = docs.join(kept.select("_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    # Where no id repeats, the texts are not shuffled once more.
-    return one.dropDuplicates(["doc_id"]) if kept.where("n > 1").head(1) else one
+    """One row of ``docs`` for each component: the smallest id, null last, then the first row.
+
+    Rows are told apart by a written number, so null and repeated ids lose nothing.
+    """
+    rows = numbered(docs, "simhash-rows")
+    found = _judged(rows, shingle, distance, ROW)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")
+    kept = found.groupBy("root").agg(first).select(F.col(f"first.{ROW}").alias("_kept"))
+    kept = written(kept, "simhash-kept")
+    return rows.join(kept, F.col(ROW) == F.col("_kept"), "left_semi").select(*docs.columns)

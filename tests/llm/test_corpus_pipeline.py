@@ -48,3 +48,18 @@ def test_every_document_left_is_packed(spark, steps):
     packed = {r[0] for r in steps[5].select("doc_id").distinct().collect()}
     assert packed == {r[0] for r in steps[4].select("doc_id").collect()}
     assert corpus_pipeline.run(spark, SMALL).count() == steps[5].count()
+
+
+def test_rows_with_null_or_repeated_ids_are_judged_one_by_one(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text", "lang")
+    clean = docs.join(spark.read.parquet(f"{SMALL}/labels.parquet").where("quality = 1"), "doc_id", "left_semi")
+    texts = [r.text for r in clean.where("lang = 'en'").orderBy(F.length("text").desc()).limit(25).collect()]
+    good = texts[::7]
+    junk = " ".join("zqxj#kv" + "wqz"[i % 3] * 9 for i in range(200))
+    rows = [(None, t, "en") for t in good[:2]] + [(-7, t, "en") for t in good[2:]] + [(None, junk, "en"), (-7, junk, "en")]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    left = corpus_pipeline.classifier(spark, docs.unionByName(odd), SMALL).where("doc_id IS NULL OR doc_id = -7")
+    assert sorted(r.text for r in left.collect()) == sorted(good)
+    one = corpus_pipeline.near_duplicates(spark, odd, SMALL).collect()
+    assert sorted(r.text for r in one) == sorted([*good, junk])
+    assert [r.doc_id for r in one if r.text == junk] == [-7]
