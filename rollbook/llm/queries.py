@@ -12,6 +12,7 @@ from rollbook.llm.ann import nearest
 from rollbook.llm.common import table
 from rollbook.llm.kneser_ney import quality_classifier
 from rollbook.llm.line_dedup import line_dedup
+from rollbook.llm.max_sketch import ranked_search
 from rollbook.llm.packing import best_fit_packing
 from rollbook.llm.pieces import piece_digests
 from rollbook.llm.pitman_yor import pitman_yor_scores
@@ -74,6 +75,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *MEASURES, "base_failed", "kept")
 
 
+def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), top=50)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -85,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op13_ranked_search": op13_ranked_search,
 }
 
 ORACLE: dict[str, str] = {
@@ -107,4 +113,27 @@ ORACLE: dict[str, str] = {
                       FILTER (WHERE key NOT IN (SELECT key FROM shared)), '')) AS kept_sha256
         FROM lines GROUP BY r
     """,
+    "op13_ranked_search": r"""
+        WITH terms AS (
+            SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS occurrences FROM lengths),
+        asked AS (
+            SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                   '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        counts AS (SELECT doc_id, term, count(*) AS tf FROM terms WHERE term IN (SELECT term FROM asked) GROUP BY doc_id, term),
+        weights AS (
+            SELECT term, CAST(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+            FROM counts, totals GROUP BY term),
+        scores AS (
+            SELECT item_id, doc_id,
+                   CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * docs) // occurrences)))) AS BIGINT) AS score
+            FROM asked JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+            GROUP BY item_id, doc_id),
+        ranked AS (
+            SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+            FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 50
+    """,
 }
