@@ -168,7 +168,7 @@ class _Best:
             self.bar[item] = -rows[-1][0]
 
 
-def _impact(count: np.ndarray, m: np.ndarray) -> np.ndarray:
+def _impact(count: np.ndarray, m: np.ndarray | int) -> np.ndarray:
     return (1_000_000_000 * count) // (1000 * count + 20 * m)
 
 
@@ -210,11 +210,12 @@ def _search(index: DataFrame, batch: Batch, documents: int, occurrences: int, to
             return (impact @ weights) * np.float32(_RAISED)
 
         def impacts(row: tuple, m: int) -> np.ndarray:
+            terms = unpack(row[4], "u1").tobytes().split(b" ")
+            counted = dict(zip(terms, unpack(row[5], "<u4").tolist(), strict=True))
+            held = counted.keys() & place_of.keys()
             out = np.zeros(len(asked.terms), dtype=np.int64)
-            for term, count in zip(unpack(row[4], "u1").tobytes().split(b" "), unpack(row[5], "<u4").tolist(), strict=True):
-                place = place_of.get(term)
-                if place is not None:
-                    out[place] = (1_000_000_000 * count) // (1000 * count + 20 * m)
+            count = np.array([counted[t] for t in held], dtype=np.int64)
+            out[[place_of[t] for t in held]] = _impact(count, m)
             return out
 
         for width, rows in _blocks(batches, columns, at_once, most):
