@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from rollbook.llm.ann import nearest
 from rollbook.llm.common import table
+from rollbook.llm.imatch import imatch_fingerprints
 from rollbook.llm.kneser_ney import quality_classifier
 from rollbook.llm.line_dedup import line_dedup
 from rollbook.llm.max_sketch import ranked_search
@@ -75,6 +76,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *MEASURES, "base_failed", "kept")
 
 
+def op12_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return imatch_fingerprints(table(spark, folder, "documents"))
+
+
 def op13_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
     return ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"), top=50)
 
@@ -90,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op12_imatch_fingerprints": op12_imatch_fingerprints,
     "op13_ranked_search": op13_ranked_search,
 }
 
