@@ -121,15 +121,15 @@ def printed(hashes: np.ndarray, level: int, whole: str, seeds: np.ndarray) -> st
     """The fingerprint from the drawn terms that are in the lexicon."""
     if not len(hashes):
         return f"all:{whole}"
-    mixed = _mixed(hashes, seeds)
-    parts = []
-    for each in range(level, level + LEVELS):
-        kept = mixed <= _threshold(each)
-        subsets = [
-            xxhash.xxh32_hexdigest(hashes[column].tobytes()) if column.any() else "-" for column in kept.T
-        ]
-        parts.append(f"{each}:{','.join(subsets)}")
-    return ";".join(parts)
+    mixed = _mixed(hashes, seeds).T
+    levels = range(level, level + LEVELS)
+    kept = np.concatenate([mixed <= _threshold(each) for each in levels])
+    subset, term = np.nonzero(kept)
+    ends = (8 * np.searchsorted(subset, np.arange(len(kept) + 1))).tolist()
+    data = hashes[term].tobytes()
+    made = [xxhash.xxh32_hexdigest(data[x:y]) if x < y else "-" for x, y in zip(ends, ends[1:], strict=False)]
+    k = len(seeds)
+    return ";".join([f"{each}:{','.join(made[i * k : (i + 1) * k])}" for i, each in enumerate(levels)])
 
 
 def likeness(a: str, b: str) -> float:

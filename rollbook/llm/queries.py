@@ -21,6 +21,7 @@ from rollbook.llm.quality_rules import MEASURES, quality_rules
 from rollbook.llm.simhash import simhash_near_dedup
 from rollbook.llm.token_files import narrowest, read_token_files, write_token_files
 from rollbook.llm.toxicity import toxicity
+from rollbook.llm.whitening import whiten
 
 
 def tokenizer_path(name: str) -> str:
@@ -76,6 +77,10 @@ def op10_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", *MEASURES, "base_failed", "kept")
 
 
+def op11_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"), keep=8, scale=1024, shift=100_000)
+
+
 def op12_imatch_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return imatch_fingerprints(table(spark, folder, "documents"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_simhash_near_dedup": op9_simhash_near_dedup,
     "op10_quality_rules": op10_quality_rules,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_imatch_fingerprints": op12_imatch_fingerprints,
     "op13_ranked_search": op13_ranked_search,
 }
