@@ -78,15 +78,13 @@ def distinct_terms(text: bytes, known: _Hashes) -> np.ndarray:
 
 
 def _mixed(hashes: np.ndarray, seeds: np.ndarray) -> np.ndarray:
-    """Every term's hash under every seed, terms by seeds."""
-    x = hashes[:, None] ^ seeds[None, :]
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    """Every term's hash under every seed, terms by seeds; its high bits are what counts."""
+    return hashes[:, None] * seeds[None, :]
 
 
 def _seeds(subsets: int) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(b"subset", seed=k) for k in range(subsets)], dtype=np.uint64)
+    """Odd numbers: a product with one keeps different hashes apart."""
+    return np.array([xxhash.xxh64_intdigest(b"subset", seed=k) | 1 for k in range(subsets)], dtype=np.uint64)
 
 
 def _threshold(level: int) -> np.uint64:

@@ -34,13 +34,13 @@ names do not matter; an empty table gives no rows.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.session import written
@@ -199,7 +199,7 @@ def _secular(d: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # Rows in and out.
 
 
-def usable(vector: str = "embedding") -> F.Column:
+def usable(vector: str = "embedding") -> Column:
     """Not null and finite in every component."""
     x = F.col(vector)
     bad = F.exists(x, lambda v: v.isNull() | F.isnan(v) | (F.abs(v) == float("inf")))
@@ -283,7 +283,7 @@ def merged(spectra: DataFrame, fan: int) -> tuple[Spectrum, list[int]]:
     return _spectrum(row), [int(s) for s in row.sums]
 
 
-def _summed(rows: DataFrame, products: DataFrame, size: int) -> np.ndarray:
+def _summed(products: DataFrame, size: int) -> np.ndarray:
     """The sum of the tasks' symmetric matrices, cell by cell."""
     out = np.zeros((size, size))
     for cell in products.groupBy("i", "j").agg(F.sum("value").alias("value")).collect():
@@ -291,7 +291,7 @@ def _summed(rows: DataFrame, products: DataFrame, size: int) -> np.ndarray:
     return out
 
 
-def _products(rows: DataFrame, columns_of, size: int) -> np.ndarray:
+def _products(rows: DataFrame, columns_of: Callable[[pa.Array], np.ndarray], size: int) -> np.ndarray:
     """The sum over all rows of the products of every two of ``columns_of(x)``, rows by ``size``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -304,7 +304,7 @@ def _products(rows: DataFrame, columns_of, size: int) -> np.ndarray:
             [pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(total[i, j])], ["i", "j", "value"]
         )
 
-    return _summed(rows, rows.select("x").mapInArrow(run, "i int, j int, value double"), size)
+    return _summed(rows.select("x").mapInArrow(run, "i int, j int, value double"), size)
 
 
 def _centred(x: np.ndarray, n: int, sums: np.ndarray) -> np.ndarray:
@@ -356,7 +356,7 @@ def whiten(
     n, sums = spectrum.n, np.array(totals, dtype=object)
     basis = np.linalg.qr(spectrum.vectors[:, ::-1])[0]
 
-    def projected(directions: np.ndarray):
+    def projected(directions: np.ndarray) -> Callable[[pa.Array], np.ndarray]:
         def columns(column: pa.Array) -> np.ndarray:
             apart = _centred(_matrix(column, d), n, sums)
             return (apart.astype(np.float64) / n) @ directions
