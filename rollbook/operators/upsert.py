@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame | None,
+    batch: DataFrame,
+    keys: Sequence[str],
+    forms: Mapping[str, Column] | None = None,
+) -> DataFrame:
     """Replace the rows of ``target`` whose key is in ``batch``; keep the others.
 
+    ``forms`` gives the form in which a key column is compared, where that is not its own. A NULL
+    key equals NULL, so rows without a key do not pile up: a batch that has some replaces them.
     The result has the columns of the batch: a column new in the batch is NULL on kept rows, a
     column gone from the batch is dropped. Keys the batch does not hold stay. With no target
     the batch is the result.
@@ -19,10 +27,23 @@ def upsert(target: DataFrame | None, batch: DataFrame, keys: Sequence[str]) -> D
         raise ValueError("an upsert needs at least one key column")
     if target is None:
         return batch
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+    compared = {f"_key_{i}": (forms or {}).get(k, F.col(k)) for i, k in enumerate(keys)}
+    fresh = batch.select(*(form.alias(f"{name}_new") for name, form in compared.items())).distinct()
+    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"{name}_new")) for name in compared])
+    kept = target.withColumns(compared).join(fresh, same, "left_anti").drop(*compared)
     return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
 
 
+def one_per_key(rows: DataFrame, keys: Sequence[str], forms: Mapping[str, Column] | None = None) -> DataFrame:
+    """One row per key, the first by its other columns; rows whose key has a NULL all stay."""
+    compared = [(forms or {}).get(k, F.col(k)) for k in keys]
+    known = reduce(Column.__and__, [form.isNotNull() for form in compared])
+    order = Window.partitionBy(*compared).orderBy(*(F.col(c).asc_nulls_last() for c in rows.columns))
+    ranked = rows.filter(known).withColumn("_rank", F.row_number().over(order))
+    first = ranked.filter("_rank = 1").drop("_rank")
+    return first.unionByName(rows.filter(~known))
+
+
 def current_state(
     rows: DataFrame, keys: Sequence[str], newest_first: Sequence[str]
 ) -> DataFrame:
