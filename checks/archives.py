@@ -4,22 +4,34 @@ from __future__ import annotations
 
 import csv
 import io
+import json
 import zipfile
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from rollbook.session import scratch_path
 
 
 def archived(
-    df: DataFrame, archives: int | None = None, delimiter: str = ";", encoding: str = "latin1"
+    df: DataFrame,
+    archives: int | None = None,
+    delimiter: str = ";",
+    encoding: str = "latin1",
+    header: bool = False,
+    member: str = "table.csv",
+    others: dict[str, str] | None = None,
 ) -> str:
     """Write ``df`` into zip files, one per partition and at least ``archives``; returns their
-    folder."""
+    folder. ``others`` are members that come before the table's. A frame with the one column
+    ``fields``, an array, gives records of any width."""
+    names = df.columns if header else None
+    ragged = df.columns == ["fields"]
     if archives is not None:
         df = df.repartition(max(archives, df.rdd.getNumPartitions()))
     folder = scratch_path(df.sparkSession, "archives")
@@ -34,14 +46,40 @@ def archived(
         with (
             target.open_output_stream(name) as stream,
             zipfile.ZipFile(stream, "w", zipfile.ZIP_DEFLATED) as archive,
-            archive.open("table.csv", "w", force_zip64=True) as member,
-            io.TextIOWrapper(member, encoding=encoding, newline="") as text,
         ):
-            out = csv.writer(text, delimiter=delimiter, quoting=csv.QUOTE_ALL)
-            for batch in batches:
-                out.writerows(zip(*(column.to_pylist() for column in batch.columns)))
-                rows += batch.num_rows
+            for other, content in (others or {}).items():
+                archive.writestr(other, content)
+            with (
+                archive.open(member, "w", force_zip64=True) as table,
+                io.TextIOWrapper(table, encoding=encoding, newline="") as text,
+            ):
+                out = csv.writer(text, delimiter=delimiter, quoting=csv.QUOTE_ALL)
+                if names:
+                    out.writerow(names)
+                for batch in batches:
+                    columns = [column.to_pylist() for column in batch.columns]
+                    out.writerows(columns[0] if ragged else zip(*columns))
+                    rows += batch.num_rows
         yield pa.RecordBatch.from_pydict({"rows": [rows]})
 
     df.mapInArrow(write, "rows long").agg({"rows": "sum"}).collect()
     return folder
+
+
+def paged(df: DataFrame, number: str, rows_per_page: int) -> tuple[str, int]:
+    """Write ``df`` as pages of an API, numbered from 0, by a column that numbers its rows from 0;
+    returns the pages' address and the number of the last one."""
+    folder = scratch_path(df.sparkSession, "pages")
+    filesystem, path = fs.FileSystem.from_uri(folder)
+    filesystem.create_dir(path)
+    page = F.floor(F.col(number).cast("long") / rows_per_page).cast("int")
+
+    def write(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        target, root = fs.FileSystem.from_uri(folder)
+        records = rows.drop(columns="page").to_dict("records")
+        with target.open_output_stream(f"{root}/page-{key[0]}.json") as out:
+            out.write(json.dumps({"page": int(key[0]), "items": records}).encode())
+        return pd.DataFrame({"page": [int(key[0])]})
+
+    pages = df.withColumn("page", page).groupBy("page").applyInPandas(write, "page long")
+    return f"{folder}/page-{{page}}.json", pages.agg({"page": "max"}).first()[0]

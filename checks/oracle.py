@@ -134,7 +134,7 @@ ACTIVITY_COLUMNS = """
 """
 
 
-def base_sql(activity: str) -> str:
+def base_sql(activity: str, profile: str = "company_profile") -> str:
     return f"""
         select e.full_cnpj, e.company_root_cnpj, p.* exclude (company_root_cnpj),
                ifnull(m.partner_count, 0) as partner_count,
@@ -146,7 +146,7 @@ def base_sql(activity: str) -> str:
                e.registration_status_code, e.is_active, e.registration_status_date,
                e.activity_start_date, e.primary_cnae_code, e.state, e.municipality_code
         from (from {activity} where is_active) e
-        left join company_profile p on p.company_root_cnpj = e.company_root_cnpj
+        left join {profile} p on p.company_root_cnpj = e.company_root_cnpj
         left join partner_metrics m on m.company_root_cnpj = e.company_root_cnpj
     """
 
@@ -291,6 +291,7 @@ TABLES: dict[str, str] = {
     """,
     "active_company_base": base_sql("establishment_activity"),
     "active_company_base_2": base_sql("establishment_activity_2"),
+    "active_company_base_of_second_companies": base_sql("establishment_activity", "company_profile_2"),
     "dim_cnaes": """
         select cnae_code, cnae_description, cnae_code[:2] as cnae_division_code,
                cnae_code[:3] as cnae_group_code, cnae_code[:5] as cnae_class_code,
@@ -313,6 +314,7 @@ TABLES: dict[str, str] = {
     """,
     "fct_active_companies": fact_sql("active_company_base"),
     "fct_second": fact_sql("active_company_base_2"),
+    "fct_of_second_companies": fact_sql("active_company_base_of_second_companies"),
     "history_1": opened("company_profile", 0),
     "share_capital_snapshot": "from history_1",
     "history_2": advanced("history_1", "company_profile_2", 1),
@@ -609,6 +611,13 @@ RESULTS: dict[str, str] = {
         from fct_active_companies
         where company_root_cnpj not in (select company_root_cnpj from fct_second)
     """,
+    "incremental_one_changed_company": """
+        select company_root_cnpj,
+               if(company_root_cnpj = (select min(company_root_cnpj) from fct_active_companies),
+                  'changed', legal_name) as legal_name,
+               1 as new_files
+        from fct_active_companies
+    """,
     "incremental_schema_sync": f"""
         select * exclude (municipality_code), date '{RELEASES[1]}' as source_reference_date
         from fct_second
@@ -662,6 +671,11 @@ RESULTS: dict[str, str] = {
         select state, primary_cnae_code, count(*) as active_companies
         from fct_active_companies where state = 'SP' group by all
     """,
+    "serve_active_as_of": """
+        select state, primary_cnae_code, cast(sum(active_company_count) as bigint)
+               as active_companies
+        from fct_second group by all
+    """,
     "serve_company_lookup": "from dim_companies where company_root_cnpj = '00000042'",
     "serve_row_counts": " union all ".join(
         f"select '{t}' as table_name, count(*) as row_count from {t}"
@@ -706,9 +720,50 @@ RESULTS: dict[str, str] = {
     "ingest_multi_archive": "from raw_establishments",
     "ingest_csv": "from stg_partners",
     "ingest_json": "from raw_simples",
-    "ingest_row_limit": "select least(100, count(*)) as row_count from raw_companies",
-    "layout_bytes_by_release": """
-        select distinct _source_reference_date, true as has_files, true as has_bytes from stored
+    "ingest_row_limit": "from raw_companies order by cast(company_root_cnpj as bigint) limit 100",
+    "ingest_json_pages": "from raw_companies",
+    "ingest_malformed_json": """
+        select 'row' as kind, company_root_cnpj as content from raw_companies
+        where cast(company_root_cnpj as bigint) % 50 <> 0
+        union all
+        select 'rejected', '{broken ' || company_root_cnpj from raw_companies
+        where cast(company_root_cnpj as bigint) % 50 = 0
+        union all
+        select if(cast(company_root_cnpj as bigint) % 50 = 0, 'rejects', 'rows'), cast(count(*) as varchar)
+        from raw_companies group by 1
+    """,
+    "zip_member_choice": """
+        select *, unnest(['named', 'unnamed']) as archive from raw_cnaes
+    """,
+    "zip_header": """
+        select *, null as note from raw_companies where cast(company_root_cnpj as bigint) % 2 = 1
+        union all by name
+        select share_capital, company_root_cnpj, legal_name, 'even' as note
+        from raw_companies where cast(company_root_cnpj as bigint) % 2 = 0
+    """,
+    "zip_row_width": """
+        select * replace (
+            if(cast(company_root_cnpj as bigint) % 3 = 0, null, share_capital) as share_capital,
+            if(cast(company_root_cnpj as bigint) % 3 = 0, null, company_size_code) as company_size_code,
+            if(cast(company_root_cnpj as bigint) % 3 = 0, null, responsible_federative_entity)
+                as responsible_federative_entity)
+        from raw_companies
+    """,
+    "zip_rejected_records": """
+        select 'row' as kind, company_root_cnpj as content from raw_companies
+        where cast(company_root_cnpj as bigint) % 3 = 2
+        union all
+        select 'rejected', concat_ws('|', company_root_cnpj, legal_name, legal_nature_code,
+                                     responsible_qualification_code)
+        from raw_companies where cast(company_root_cnpj as bigint) % 3 = 0
+        union all
+        select 'rejected', concat_ws('|', company_root_cnpj, legal_name, legal_nature_code,
+                                     responsible_qualification_code, share_capital, company_size_code,
+                                     responsible_federative_entity, 'more', '')
+        from raw_companies where cast(company_root_cnpj as bigint) % 3 = 1
+        union all
+        select if(cast(company_root_cnpj as bigint) % 3 = 2, 'rows', 'rejects'), cast(count(*) as varchar)
+        from raw_companies group by 1
     """,
     "history_repeated_run": "from history_2",
     "history_repeated_older_run": "from history_3",
@@ -729,6 +784,13 @@ RESULTS: dict[str, str] = {
     ),
     "pipeline_fact": "from fct_active_companies",
     "pipeline_snapshot_two_releases": "from history_2",
+    "pipeline_released_fact": f"""
+        select *, date '{RELEASES[1]}' as _source_reference_date from fct_of_second_companies
+    """,
+    "pipeline_checks": f"""
+        select * from ({' union all '.join(SUITE)})
+            as suite(table_name, column_name, test_name, failures)
+    """,
 }
 
 _NAME = re.compile(r"\b[a-z_0-9]+\b")

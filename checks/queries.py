@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.archives import archived
+from checks.archives import archived, paged
 from checks.inputs import AS_OF, RELEASES, RUN_IDS
 from checks.register import Register, run_time
 from rollbook.functions import labels
@@ -18,7 +19,7 @@ from rollbook.operators import history, layout, quality
 from rollbook.operators.upsert import current_state, upsert
 from rollbook.plans import intermediate, marts, rules, serving
 from rollbook.plans.ingest import Run, current_raw, ingest, ingest_all, register_source
-from rollbook.plans.pipeline import SNAPSHOT_COLUMNS, run_pipeline
+from rollbook.plans.pipeline import RELEASED_FACT, SNAPSHOT_COLUMNS, run_pipeline
 from rollbook.plans.schemas import FULL, RAW_COLUMNS, ROOT, raw_table
 from rollbook.plans.staging import STAGING
 from rollbook.plans.warehouse import OutOfOrderError, Warehouse
@@ -285,11 +286,7 @@ def agg_min_max(r: Register) -> DataFrame:
 
 @query
 def agg_distinct(r: Register) -> DataFrame:
-    return r.base.groupBy(ROOT).agg(
-        F.count_distinct(FULL).alias("active_establishment_count"),
-        F.count_distinct(F.when(F.col("is_headquarters"), F.col(FULL))).alias("headquarters_count"),
-        F.count_distinct("municipality_code").alias("municipality_count"),
-    )
+    return marts.distinct_counts(r.base)
 
 
 @query
@@ -382,7 +379,26 @@ def _two_facts(r: Register) -> tuple[DataFrame, DataFrame]:
 
 @query
 def incremental_second_batch(r: Register) -> DataFrame:
-    return upsert(*_two_facts(r), [ROOT])
+    """Both batches merged into the published fact, slice by slice."""
+    warehouse = _warehouse(r)
+    for release, batch in enumerate(_two_facts(r)):
+        merged = warehouse.merge("fact", batch, ROOT, RUN_IDS[release], run_time(release))
+    return merged
+
+
+@query
+def incremental_one_changed_company(r: Register) -> DataFrame:
+    """A later run in which one company changed: the slices it writes, and the rows that result."""
+    warehouse = _warehouse(r)
+    fact = written(r.fact, "fact")
+    warehouse.merge("fact", fact, ROOT, RUN_IDS[0], run_time(0))
+    before = set(warehouse.read("fact").inputFiles())
+    lowest = fact.agg(F.min(ROOT)).first()[0]
+    name = F.when(F.col(ROOT) == lowest, F.lit("changed")).otherwise(F.col("legal_name"))
+    batch = written(fact.withColumn("legal_name", name), "fact")
+    merged = warehouse.merge("fact", batch, ROOT, RUN_IDS[1], run_time(1))
+    new_files = len(set(merged.inputFiles()) - before)
+    return merged.select(ROOT, "legal_name", F.lit(new_files).alias("new_files"))
 
 
 @query
@@ -505,8 +521,25 @@ def serve_active_by_state_activity(r: Register) -> DataFrame:
 
 @query
 def serve_active_in_state_release(r: Register) -> DataFrame:
-    released = r.fact.withColumn(layout.REFERENCE_DATE, F.lit(RELEASES[0]).cast("date"))
-    return serving.active_by_state_and_activity(released, "SP", RELEASES[0])
+    """Of a fact published for two releases, the first one's companies in a state."""
+    return serving.active_by_state_and_activity(_released_facts(r).read(RELEASED_FACT), "SP", RELEASES[0])
+
+
+@query
+def serve_active_as_of(r: Register) -> DataFrame:
+    """The newest release on or before a day."""
+    warehouse = _released_facts(r)
+    release = warehouse.release_as_of(RELEASED_FACT, AS_OF)
+    return serving.active_by_state_and_activity(warehouse.read(RELEASED_FACT), release=release)
+
+
+def _released_facts(r: Register) -> Warehouse:
+    warehouse = _warehouse(r)
+    for release, fact in enumerate((r.fact, r.second_fact)):
+        run = _run(release)
+        stamped = layout.with_run_metadata(fact, run.run_time, run.source_reference_date, run.run_id)
+        warehouse.append(RELEASED_FACT, stamped, run.run_id, run.run_time, run.source_reference_date)
+    return warehouse
 
 
 @query
@@ -577,13 +610,9 @@ def layout_clustered(r: Register) -> DataFrame:
 
 @query
 def layout_bytes_by_release(r: Register) -> DataFrame:
-    # How many files and bytes depends on the tasks that wrote them; that there are some does not.
-    measured = layout.bytes_by_partition(r.spark, _releases(r))
-    return measured.select(
-        layout.REFERENCE_DATE,
-        (F.col("files") > 0).alias("has_files"),
-        (F.col("bytes") > 0).alias("has_bytes"),
-    )
+    """Files and bytes of each release; they depend on the tasks that wrote them, so a test compares
+    them with the folder instead of SQL."""
+    return layout.bytes_by_partition(r.spark, _releases(r))
 
 
 def _stored(r: Register) -> DataFrame:
@@ -633,8 +662,68 @@ def ingest_multi_archive(r: Register) -> DataFrame:
 
 @query
 def ingest_row_limit(r: Register) -> DataFrame:
-    """The declared sample: a hundred rows of all archives together."""
-    return _read_archives(r, "companies", 4, 100).agg(F.count(F.lit(1)).alias("row_count"))
+    """The declared sample: the first hundred rows of all archives together, in their order."""
+    key = F.col(ROOT).cast("long")
+    ordered = r.raw("companies").repartitionByRange(4, key).sortWithinPartitions(key)
+    options = {**_DELIMITED, "columns": RAW_COLUMNS["companies"]}
+    return read_source(r.spark, "zip_csv", f"{archived(ordered)}/*.zip", options, 100)
+
+
+@query
+def zip_member_choice(r: Register) -> DataFrame:
+    """The first member named .csv, in any case, is the table; without one the first file is."""
+    named = archived(r.raw("cnaes"), member="TABLE.CSV", others={"readme.txt": "not;this\n"})
+    unnamed = archived(r.raw("cnaes"), member="K3241.CNAECSV", others={"folder/": ""})
+    options = {**_DELIMITED, "columns": RAW_COLUMNS["cnaes"]}
+    first, second = (read_source(r.spark, "zip_csv", f"{path}/*.zip", options) for path in (named, unnamed))
+    return first.withColumn("archive", F.lit("named")).unionByName(second.withColumn("archive", F.lit("unnamed")))
+
+
+@query
+def zip_header(r: Register) -> DataFrame:
+    """Archives whose headers differ: other orders, columns that only some have."""
+    raw, odd = r.raw("companies"), F.col(ROOT).cast("long") % 2 == 1
+    reordered = raw.filter(odd).select(*reversed(raw.columns))
+    fewer = raw.filter(~odd).select("share_capital", ROOT, "legal_name", F.lit("even").alias("note"))
+    address = [f"{archived(df, 2, header=True)}/*.zip" for df in (reordered, fewer)]
+    return read_source(r.spark, "zip_csv", address, {"delimiter": ";", "encoding": "latin1"})
+
+
+def _ragged(r: Register) -> str:
+    """Companies as records of seven, four and nine fields."""
+    fields = F.array(*RAW_COLUMNS["companies"])
+    rest = F.col(ROOT).cast("long") % 3
+    longer = F.concat(fields, F.array(F.lit("more"), F.lit("")))
+    return archived(
+        r.raw("companies").select(
+            F.when(rest == 0, F.slice(fields, 1, 4)).when(rest == 1, longer).otherwise(fields).alias("fields")
+        ),
+        3,
+    )
+
+
+@query
+def zip_row_width(r: Register) -> DataFrame:
+    """Short records are filled with NULL, long ones cut."""
+    options = {**_DELIMITED, "columns": RAW_COLUMNS["companies"]}
+    return read_source(r.spark, "zip_csv", f"{_ragged(r)}/*.zip", options)
+
+
+@query
+def zip_rejected_records(r: Register) -> DataFrame:
+    """With a quarantine the job keeps records of a wrong width apart from the raw table."""
+    warehouse = _warehouse(r)
+    declared = register_source("companies", f"{_ragged(r)}/*.zip")
+    source = replace(declared, options={**declared.options, "quarantine": True})
+    result = ingest(warehouse, source, _run(0))
+    kept = warehouse.read(source.target_table).select(F.lit("row").alias("kind"), F.col(ROOT).alias("content"))
+    record = F.from_json("record", "array<string>")
+    rejected = warehouse.read(f"{source.target_table}__rejected").select(
+        F.lit("rejected").alias("kind"), F.concat_ws("|", record).alias("content")
+    )
+    counts = [("rows", result["row_count"]), ("rejects", result["rejected_count"])]
+    counted = r.spark.createDataFrame([(k, str(n)) for k, n in counts], "kind string, content string")
+    return kept.unionByName(rejected).unionByName(counted)
 
 
 @query
@@ -653,6 +742,14 @@ def ingest_json(r: Register) -> DataFrame:
     return read_source(r.spark, "json", path, {"columns": RAW_COLUMNS["simples"]})
 
 
+@query
+def ingest_json_pages(r: Register) -> DataFrame:
+    """The companies through pages of an API, one input file and task each."""
+    address, last = paged(r.raw("companies"), ROOT, 500)
+    options = {"columns": RAW_COLUMNS["companies"], "records_path": "items", "first_page": 0, "last_page": last}
+    return read_source(r.spark, "json_pages", address, options)
+
+
 # The job and its writes, through published tables.
 
 
@@ -717,6 +814,27 @@ def append_empty_repeat(r: Register) -> DataFrame:
     return warehouse.read("companies")
 
 
+@query
+def ingest_malformed_json(r: Register) -> DataFrame:
+    """Records that are no JSON are kept apart and counted, and are no rows."""
+    path = scratch_path(r.spark, "companies-json")
+    broken = F.col(ROOT).cast("long") % 50 == 0
+    record = F.to_json(F.struct(*RAW_COLUMNS["companies"]))
+    lines = r.raw("companies").select(F.when(broken, F.concat(F.lit("{broken "), ROOT)).otherwise(record).alias("value"))
+    lines.write.text(path)
+    warehouse = _warehouse(r)
+    source = replace(register_source("companies", path, source_format="json"), strategy="append_only")
+    result = ingest(warehouse, source, _run(0))
+    rejected = warehouse.read(f"{source.target_table}__rejected")
+    counted = [("rows", str(result["row_count"])), ("rejects", str(result["rejected_count"]))]
+    return (
+        warehouse.read(source.target_table)
+        .select(F.lit("row").alias("kind"), F.col(ROOT).alias("content"))
+        .unionByName(rejected.select(F.lit("rejected").alias("kind"), F.col("record").alias("content")))
+        .unionByName(r.spark.createDataFrame(counted, "kind string, content string"))
+    )
+
+
 def _run(release: int) -> Run:
     return Run(RUN_IDS[release], run_time(release), RELEASES[release])
 
@@ -761,7 +879,8 @@ def ingest_job(r: Register) -> DataFrame:
     """The result rows of a run that ingests every source."""
     results = ingest_all(_warehouse(r), _sources(r), _run(0))
     columns = "source_name string, target_table string, load_strategy string, row_count long"
-    return r.spark.createDataFrame([tuple(x.values()) for x in results], columns)
+    names = ("source_name", "target_table", "load_strategy", "row_count")
+    return r.spark.createDataFrame([tuple(x[n] for n in names) for x in results], columns)
 
 
 @query
@@ -777,3 +896,21 @@ def pipeline_snapshot_two_releases(r: Register) -> DataFrame:
     for release in range(2):
         run_pipeline(warehouse, _sources(r, release), _run(release), raise_on_failure=False)
     return warehouse.read("snap_company_registry__share_capital")
+
+
+@query
+def pipeline_checks(r: Register) -> DataFrame:
+    """The summary the job publishes, over the tables it built."""
+    warehouse = _warehouse(r)
+    run_pipeline(warehouse, _sources(r), _run(0), raise_on_failure=False)
+    return warehouse.read("data_quality_checks")
+
+
+@query
+def pipeline_released_fact(r: Register) -> DataFrame:
+    """The job's own fact by release: what it published for the second of two runs."""
+    warehouse = _warehouse(r)
+    for release in range(2):
+        run_pipeline(warehouse, _sources(r, release), _run(release), raise_on_failure=False)
+    fact = warehouse.read(RELEASED_FACT).filter(layout.of_release(RELEASES[1]))
+    return fact.select(*marts.FACT_COLUMNS, layout.REFERENCE_DATE)

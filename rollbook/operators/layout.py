@@ -72,10 +72,15 @@ def write_release(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> N
     )
 
 
+def of_release(release: str) -> Column:
+    """Rows of a release: a literal on the partition column, so one partition is scanned."""
+    return F.col(REFERENCE_DATE) == F.lit(release).cast("date")
+
+
 def read_release(spark: SparkSession, path: str, release: str | None = None) -> DataFrame:
     """Read all releases, or one by partition pruning."""
     rows = spark.read.parquet(path)
-    return rows if release is None else rows.filter(F.col(REFERENCE_DATE) == F.lit(release).cast("date"))
+    return rows if release is None else rows.filter(of_release(release))
 
 
 def bytes_by_partition(spark: SparkSession, path: str) -> DataFrame:

@@ -114,6 +114,25 @@ def representative_establishments(base: DataFrame) -> DataFrame:
     )
 
 
+def distinct_counts(base: DataFrame) -> DataFrame:
+    """Distinct establishments, headquarters and municipalities of each company.
+
+    In two levels, with no row repeated per counted column: by establishment, where the
+    municipalities of one number are few, then by company, whose set of municipalities is
+    bounded by the list of four-digit codes, however many establishments it has.
+    """
+    by_establishment = base.groupBy(ROOT, FULL).agg(
+        any_true(F.col("is_headquarters")).alias("is_headquarters"),
+        F.collect_set("municipality_code").alias("municipalities"),
+    )
+    known = F.col(FULL).isNotNull()
+    return by_establishment.groupBy(ROOT).agg(
+        F.count(FULL).alias("active_establishment_count"),
+        F.count_if(known & F.col("is_headquarters")).alias("headquarters_count"),
+        F.size(F.array_distinct(F.flatten(F.collect_set("municipalities")))).cast("long").alias("municipality_count"),
+    )
+
+
 def _establishment_measures(rows: DataFrame, *company_measures) -> DataFrame:
     """Company-level measures of active establishments, in two aggregations.
 

@@ -6,10 +6,10 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from rollbook.operators.layout import CLUSTERING
+from rollbook.operators.layout import CLUSTERING, RUN_ID, of_release, with_run_metadata
 from rollbook.operators.quality import require_clean
-from rollbook.operators.upsert import upsert
 from rollbook.plans.ingest import Run, Source, current_raw, ingest_all, select_sources
 from rollbook.plans.intermediate import (
     active_company_base,
@@ -17,13 +17,17 @@ from rollbook.plans.intermediate import (
     establishment_activity,
     partner_metrics,
 )
-from rollbook.plans.marts import dim_cnaes, dim_companies, dim_establishments, fct_active_companies
+from rollbook.plans.marts import FACT_COLUMNS, dim_cnaes, dim_companies, dim_establishments
+from rollbook.plans.marts import fct_active_companies_from_parts as fct_active_companies
 from rollbook.plans.rules import run_checks
 from rollbook.plans.schemas import ROOT, intermediate_table, snapshot_table, staging_table
 from rollbook.plans.staging import STAGING
 from rollbook.plans.warehouse import Warehouse
 from rollbook.session import concurrently
 
+#: Every run's fact, partitioned by release; ``fct_active_companies`` is the current state of all.
+RELEASED_FACT = "fct_active_companies_by_release"
+
 SNAPSHOT_SUBJECT = "share_capital"
 SNAPSHOT_COLUMNS = (
     "company_root_cnpj", "legal_name", "legal_nature_code", "share_capital",
@@ -94,12 +98,26 @@ def build(
         }
     )
 
-    batch = fct_active_companies(tables["active_company_base"])
-    kept = warehouse.version_before("fct_active_companies", run.run_id, run.run_time)
-    if kept is not None:
-        # The batch is read for its keys and for its rows: write it once.
-        batch = publish("fct_active_companies__batch", batch, bucket_by=ROOT)
-    fact = publish_mart("fct_active_companies", upsert(kept, batch, [ROOT]), bucket_by=ROOT)
+    # Every run's fact stays under its release; the current fact takes it up slice by slice.
+    fact = fct_active_companies(activity, profile, tables["partner_metrics"])
+    stamped = with_run_metadata(fact, run.run_time, run.source_reference_date, run.run_id)
+    released = warehouse.append(
+        RELEASED_FACT,
+        stamped,
+        run.run_id,
+        run.run_time,
+        run.source_reference_date,
+        sort_by=CLUSTERING["fct_active_companies"],
+    )
+    batch = released.filter(of_release(run.source_reference_date) & (F.col(RUN_ID) == run.run_id))
+    fact = warehouse.merge(
+        "fct_active_companies",
+        batch.select(*FACT_COLUMNS),
+        ROOT,
+        run.run_id,
+        run.run_time,
+        sort_by=CLUSTERING["fct_active_companies"],
+    )
 
     return {
         **{f"stg_{source}": df for source, df in stg.items()},

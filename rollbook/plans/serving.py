@@ -9,16 +9,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.operators.history import VALID_FROM, VALID_TO, history_of
-from rollbook.plans.schemas import METADATA_COLUMNS, ROOT
+from rollbook.operators.layout import of_release
+from rollbook.plans.schemas import ROOT
 
 
 def active_by_state_and_activity(
     fact: DataFrame, state: str | None = None, release: str | None = None
 ) -> DataFrame:
-    """Active companies by state and main activity, of one state or release if given."""
+    """Active companies by state and main activity, of one state or release if given.
+
+    With a release ``fact`` is the table of every release's fact, of which one partition is read.
+    """
     if release is not None:
-        reference_date = F.col(METADATA_COLUMNS["source_reference_date"])
-        fact = fact.filter(reference_date == F.lit(release).cast("date"))
+        fact = fact.filter(of_release(release))
     if state is not None:
         fact = fact.filter(F.col("state") == state)
     return fact.groupBy("state", "primary_cnae_code").agg(

@@ -26,10 +26,13 @@ from pyspark.sql import functions as F
 
 from rollbook.operators.history import VERSION_COLUMNS, first_versions, is_open, next_versions
 from rollbook.operators.layout import REFERENCE_DATE, RUN_ID, clustered
+from rollbook.operators.upsert import upsert
 from rollbook.session import tune
 
 COMMITS = "rollbook.commits"
 ATTEMPT = "_attempt"
+SLICE = "_slice"
+SLICES = "rollbook.slices"
 
 
 class OutOfOrderError(ValueError):
@@ -44,12 +47,14 @@ def checked_identifier(name: str) -> str:
 
 
 class Commit(NamedTuple):
-    """What the view's property records of a run: its attempt, its time, the release it loaded."""
+    """What the view's property records of a run: its attempt, its time, the release it loaded,
+    and, of a table in slices, the slices it wrote."""
 
     run_id: str
     attempt: str
     moment: str = ""
     release: str = ""
+    slices: str = ""
 
     @classmethod
     def new(cls, run_id: str, moment: datetime | None = None, release: str = "") -> Commit:
@@ -77,6 +82,10 @@ class Warehouse:
     lets readers skip row groups. ``cluster`` also range-partitions them, one more shuffle per
     mart, so that readers skip whole files.
 
+    ``slices`` is the number of ranges of a company hash that a merged table is kept in: a run
+    rewrites only those its batch changes. Some 100 MB a slice is a good size; a table stays with the
+    number it began with.
+
     ``keep`` is the number of earlier runs whose versions stay readable, at least one; the attempt
     that a repeat replaces also stays until the next write. ``sample`` declares a database of
     samples, the only kind that takes runs with a row limit.
@@ -88,6 +97,7 @@ class Warehouse:
     cluster: bool = False
     keep: int = 1
     sample: bool = False
+    slices: int = 16
 
     def __post_init__(self) -> None:
         checked_identifier(self.database)
@@ -149,18 +159,91 @@ class Warehouse:
         return self.spark.table(self._version(name, before[-1])) if before else None
 
     def append(
-        self, name: str, df: DataFrame, run_id: str, moment: datetime, release: str
+        self, name: str, df: DataFrame, run_id: str, moment: datetime, release: str, sort_by: Sequence[str] = ()
     ) -> DataFrame:
         """Add a run's rows under its release and run id; the same run replaces its own rows."""
         commit = Commit.new(run_id, moment, release)
         commits = self._commits(name)
         now = [*(c for c in commits if c.run_id != run_id), commit]
         store = f"{name}__rows"
-        self._add(store, df, commit, (REFERENCE_DATE, RUN_ID, ATTEMPT))
-        self._point(name, self._shown(store, df.columns, _is_one_of(now)), now)
+        self._add(store, df, commit, (REFERENCE_DATE, RUN_ID, ATTEMPT), sort_by=sort_by)
+        columns = [c for c in self.read(store).columns if c != ATTEMPT]
+        self._point(name, self._shown(store, columns, _is_one_of(now)), now)
         self._sweep(store, [*commits, *now])
         return self.read(name)
 
+    def merge(
+        self, name: str, batch: DataFrame, key: str, run_id: str, moment: datetime, sort_by: Sequence[str] = ()
+    ) -> DataFrame:
+        """Put a batch of one row per key into a table; only slices in which a row changes are rewritten.
+
+        ``batch`` is read twice, so it should be written. A key the batch does not hold keeps its row.
+        The table has the columns of the batch: a new one is NULL on rows that stay as they were, one
+        that is gone is not shown. The other slices stay the partitions that earlier runs wrote and
+        are shown by the view's filter, so the store grows by what changes. Of what is superseded,
+        ``keep`` earlier states stay readable.
+        """
+        commit = Commit.new(run_id, moment)
+        shown, before = self._commits(name), self._before(name, commit)
+        store = f"{name}__slices"
+        number = self._stored_slices(store) if before else self.slices
+        sliced = batch.withColumn(SLICE, F.pmod(F.xxhash64(key), F.lit(number)).cast("int"))
+        if before:
+            was = self.read(store).filter(_shown_slices(_owners(before))).drop(ATTEMPT)
+            touched = self._touched(was, sliced, key)
+            there = F.col(SLICE).isin(touched)
+            out = upsert(was.filter(there), sliced.filter(there), [key])
+        else:
+            touched, out = list(range(number)), sliced
+        commit = commit._replace(slices=_as_ranges(touched))
+        if touched:
+            self._add(store, out.repartition(len(touched), SLICE), commit, (SLICE, ATTEMPT), sort_by=sort_by or (key,))
+            if not before:
+                self.spark.sql(f"ALTER TABLE {self.full_name(store)} SET TBLPROPERTIES ('{SLICES}' = '{number}')")
+        now = [*before, commit]
+        states = [_owners(now[: len(now) - back]) for back in range(min(self.keep + 1, len(now)))]
+        used = {attempt for state in states for attempt in state.values()}
+        now = [c for at, c in enumerate(now) if c.attempt in used or at >= len(now) - 1 - self.keep]
+        self._point(name, self._shown(store, batch.columns, _shown_slices(_owners(now))), now)
+        self._sweep_slices(store, [*states, _owners(shown)])
+        return self.read(name)
+
+    def _touched(self, was: DataFrame, now: DataFrame, key: str) -> list[int]:
+        """The slices in which a row of the batch is new or differs: so many numbers at most."""
+        kinds = {f.name: f.dataType for f in now.schema if f.name != SLICE}
+        held = set(was.columns)
+        old = F.struct(
+            *((F.col(f"was.{c}") if c in held else F.lit(None).cast(kind)).alias(c) for c, kind in kinds.items())
+        )
+        new = F.struct(*(F.col(f"now.{c}").alias(c) for c in kinds))
+        joined = now.alias("now").join(was.alias("was"), F.col(f"now.{key}").eqNullSafe(F.col(f"was.{key}")), "left")
+        changed = joined.filter(F.col(f"was.{SLICE}").isNull() | ~new.eqNullSafe(old))
+        return sorted(r[0] for r in changed.select(f"now.{SLICE}").distinct().collect())
+
+    def _stored_slices(self, store: str) -> int:
+        rows = self.spark.sql(f"SHOW TBLPROPERTIES {self.full_name(store)}").collect()
+        return int(next(r.value for r in rows if r.key == SLICES))
+
+    def _sweep_slices(self, store: str, states: Sequence[dict[int, str]]) -> None:
+        """Drop the partitions that none of the states shows."""
+        stay = {owned for state in states for owned in state.items()}
+        table = self.full_name(store)
+        for row in self.spark.sql(f"SHOW PARTITIONS {table}").collect():
+            values = dict(part.split("=", 1) for part in row.partition.split("/"))
+            number, attempt = int(values[SLICE]), values[ATTEMPT]
+            if (number, attempt) not in stay:
+                self.spark.sql(
+                    f"ALTER TABLE {table} DROP IF EXISTS PARTITION (`{SLICE}` = {number}, `{ATTEMPT}` = '{attempt}')"
+                )
+
+    def release_as_of(self, name: str, day: str) -> str:
+        """The newest release of an appended table on or before a day; read from the view's record,
+        so that a filter with it is a literal and only its partition is scanned."""
+        known = [c.release for c in self._commits(name) if c.release <= day]
+        if not known:
+            raise ValueError(f"{name} has no release on or before {day}")
+        return max(known)
+
     def last_appended(self, name: str) -> Commit:
         """The last run of the newest release in an appended table."""
         return max(self._commits(name), key=lambda c: (c.release, datetime.fromisoformat(c.moment)))
@@ -197,13 +280,28 @@ class Warehouse:
         return self.read(name)
 
     def _add(
-        self, store: str, df: DataFrame, commit: Commit, partitions: Sequence[str], key: str = ""
+        self,
+        store: str,
+        df: DataFrame,
+        commit: Commit,
+        partitions: Sequence[str],
+        key: str = "",
+        sort_by: Sequence[str] = (),
     ) -> None:
-        """Add the attempt's partitions to a table of partitions."""
+        """Add the attempt's partitions to a table of partitions, sorted in each file if asked."""
         df = df.withColumn(ATTEMPT, F.lit(commit.attempt))
+        if sort_by:
+            df = df.sortWithinPartitions(*partitions, *sort_by)
         table = self.full_name(store)
         if self.exists(store):
-            df.select(*self.spark.table(table).columns).write.insertInto(table)
+            # A new column is added before anything is written; one that is gone is NULL.
+            fields = {f.name: f.dataType for f in self.spark.table(table).schema}
+            added = [f"`{checked_identifier(f.name)}` {f.dataType.simpleString()}" for f in df.schema if f.name not in fields]
+            if added:
+                self.spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(added)})")
+                fields = {f.name: f.dataType for f in self.spark.table(table).schema}
+            missing = {c: F.lit(None).cast(kind) for c, kind in fields.items() if c not in df.columns}
+            df.withColumns(missing).select(*fields).write.insertInto(table)
             return
         writer: DataFrameWriter = df.write.format("parquet").partitionBy(*partitions)
         if key and self.buckets:
@@ -266,3 +364,41 @@ class Warehouse:
 
 def _is_one_of(commits: Sequence[Commit]) -> str:
     return f"{ATTEMPT} IN ({', '.join(repr(c.attempt) for c in commits)})"
+
+
+def _as_ranges(numbers: Sequence[int]) -> str:
+    """Ascending numbers as text: ``0-3.7`` is 0, 1, 2, 3 and 7."""
+    return ".".join(f"{a}-{b}" if a < b else f"{a}" for a, b in _ranges(numbers))
+
+
+def _ranges(numbers: Sequence[int]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for n in numbers:
+        if out and out[-1][1] == n - 1:
+            out[-1] = (out[-1][0], n)
+        else:
+            out.append((n, n))
+    return out
+
+
+def _owners(commits: Sequence[Commit]) -> dict[int, str]:
+    """The attempt that wrote each slice last."""
+    owner: dict[int, str] = {}
+    for commit in commits:
+        for part in commit.slices.split("."):
+            first, _, last = part.partition("-")
+            if first:
+                owner |= dict.fromkeys(range(int(first), int(last or first) + 1), commit.attempt)
+    return owner
+
+
+def _shown_slices(owner: dict[int, str]) -> str:
+    """A condition on partition columns alone, so that no other partition is listed."""
+    by_attempt: dict[str, list[int]] = {}
+    for number in sorted(owner):
+        by_attempt.setdefault(owner[number], []).append(number)
+    shown = (
+        f"({ATTEMPT} = '{attempt}' AND ({' OR '.join(f'{SLICE} BETWEEN {a} AND {b}' for a, b in _ranges(numbers))}))"
+        for attempt, numbers in by_attempt.items()
+    )
+    return " OR ".join(shown) or "false"

@@ -16,8 +16,12 @@ def connection():
     return duckdb_over(SMALL)
 
 
+#: What these return depends on the tasks that write; the tests below look at the written files.
+WITHOUT_SQL = {"layout_bytes_by_release"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE) | WITHOUT_SQL and not set(ORACLE) & WITHOUT_SQL
     assert set(QUERIES) <= set(entry_points.queries())
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
