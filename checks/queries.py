@@ -490,23 +490,21 @@ def dq_suite(r: Register) -> DataFrame:
     activity = intermediate.establishment_activity(tables["stg_establishments"])
     cnaes = marts.dim_cnaes(tables["stg_cnaes"])
     profile = intermediate.company_profile(tables["stg_companies"], tables["stg_simples"])
+    partners = intermediate.partner_metrics(tables["stg_partners"])
+    tables |= all_written({"company_profile": profile, "partner_metrics": partners})
+    profile, partners = tables["company_profile"], tables["partner_metrics"]
     tables |= all_written(
         {
-            "company_profile": profile,
-            "partner_metrics": intermediate.partner_metrics(tables["stg_partners"]),
             "dim_establishments": marts.dim_establishments(activity, cnaes),
+            "active_company_base": intermediate.active_company_base(activity, profile, partners),
+            "fct_active_companies": marts.fct_active_companies_from_parts(activity, profile, partners),
         }
     )
-    profile, partners = tables["company_profile"], tables["partner_metrics"]
-    base = written(intermediate.active_company_base(activity, profile, partners), "base")
-    capital = profile.select(*SNAPSHOT_COLUMNS)
     tables |= {
         "establishment_activity": activity,
-        "active_company_base": base,
         "dim_cnaes": cnaes,
         "dim_companies": marts.dim_companies(profile),
-        "fct_active_companies": written(marts.fct_active_companies(base), "fact"),
-        "share_capital_snapshot": history.first_versions(capital, ROOT, run_time(0)),
+        "share_capital_snapshot": history.first_versions(profile.select(*SNAPSHOT_COLUMNS), ROOT, run_time(0)),
     }
     return rules.run_checks(tables)
 

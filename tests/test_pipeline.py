@@ -248,3 +248,124 @@ def test_declarations():
     assert select_sources([source], None) == select_sources([source], "companies") == [source]
     with pytest.raises(ValueError, match="only companies"):
         select_sources([source], "partners")
+
+
+def fact_rows(spark, changed=(), gone=(), n=200):
+    rows = [(f"{i:04d}", i * (10 if i in changed else 1), None if i % 5 else "x") for i in range(n) if i not in gone]
+    return spark.createDataFrame(rows, "k string, v long, w string")
+
+
+def partitions(spark, table):
+    return {r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+
+
+def test_a_merge_rewrites_only_slices_that_change(spark, rows):
+    warehouse = Warehouse(spark, "merged", slices=8)
+    whole = fact_rows(spark)
+    warehouse.merge("t", whole, "k", "r1", datetime(2026, 1, 1))
+    first = partitions(spark, "merged.t__slices")
+    assert len(first) == 8 and rows(warehouse.read("t")) == rows(whole)
+    # Nothing changed: nothing is written.
+    warehouse.merge("t", whole, "k", "r2", datetime(2026, 1, 2))
+    assert partitions(spark, "merged.t__slices") == first
+    # One key changed and some are gone from the batch: one slice more, and gone keys stay.
+    warehouse.merge("t", fact_rows(spark, changed={7}, gone={3, 4}), "k", "r3", datetime(2026, 1, 3))
+    third = partitions(spark, "merged.t__slices")
+    assert len(third - first) == 1 and first <= third
+    assert rows(warehouse.read("t")) == rows(fact_rows(spark, changed={7}))
+    assert len(warehouse.read("t").inputFiles()) == 8
+    # The same run again, corrected: computed from the state before it.
+    warehouse.merge("t", fact_rows(spark, changed={9}), "k", "r3", datetime(2026, 1, 3))
+    assert rows(warehouse.read("t")) == rows(fact_rows(spark, changed={9}))
+    with pytest.raises(OutOfOrderError):
+        warehouse.merge("t", whole, "k", "r2", datetime(2026, 1, 2))
+    # Superseded partitions go once no kept state shows them.
+    for n in (4, 5, 6):
+        warehouse.merge("t", fact_rows(spark, changed={9, n}), "k", f"r{n}", datetime(2026, 1, n))
+    assert rows(warehouse.read("t")) == rows(fact_rows(spark, changed={9, 6}))
+    assert len(partitions(spark, "merged.t__slices")) <= 8 + 3
+    assert Warehouse(spark, "merged", slices=3).merge("t", whole, "k", "r7", datetime(2026, 1, 7)).count() == 200
+
+
+def test_a_merge_follows_the_columns_and_a_failure_leaves_the_table(spark, rows):
+    warehouse = Warehouse(spark, "merged_columns", slices=4)
+    warehouse.merge("t", fact_rows(spark, n=20), "k", "r1", datetime(2026, 1, 1))
+    batch = spark.createDataFrame([("0003", 3, 1.5), ("9999", 1, None)], "k string, v long, extra double")
+    merged = warehouse.merge("t", batch, "k", "r2", datetime(2026, 1, 2))
+    assert merged.columns == ["k", "v", "extra"] and merged.count() == 21
+    assert [tuple(r) for r in merged.filter("extra IS NOT NULL OR k = '9999'").orderBy("k").collect()] == [
+        ("0003", 3, 1.5), ("9999", 1, None),
+    ]
+    before = rows(merged)
+    broken = failing(spark).selectExpr("string(id) AS k", "id AS v", "1.0D AS extra")
+    with pytest.raises(Exception, match="stop"):
+        warehouse.merge("t", broken, "k", "r3", datetime(2026, 1, 3))
+    assert rows(warehouse.read("t")) == before
+
+
+def test_an_appended_release_may_bring_and_lose_columns(spark, rows):
+    warehouse = Warehouse(spark, "appended_columns")
+
+    def add(run, day, select):
+        stamped = spark.range(1).selectExpr(*select, f"date '2026-01-0{day}' AS _source_reference_date", f"'{run}' AS _pipeline_run_id")
+        return warehouse.append("t", stamped, run, datetime(2026, 1, day), f"2026-01-0{day}")
+
+    add("r1", 1, ["'a' AS a", "'b' AS b"])
+    out = add("r2", 2, ["'a2' AS a", "'c' AS c"])
+    assert {(r.a, r.b, r.c) for r in out.collect()} == {("a", "b", None), ("a2", None, "c")}
+    assert warehouse.release_as_of("t", "2026-01-01") == "2026-01-01"
+    assert warehouse.release_as_of("t", "2027-01-01") == "2026-01-02"
+    with pytest.raises(ValueError, match="no release"):
+        warehouse.release_as_of("t", "2025-12-31")
+
+
+def test_a_release_of_the_fact_is_one_partition(spark, archives):
+    warehouse = Warehouse(spark, "released")
+    for release, run in ((1, FIRST), (2, SECOND)):
+        run_pipeline(warehouse, declared(archives, release), run, raise_on_failure=False)
+    from rollbook.plans.serving import active_by_state_and_activity
+
+    fact = warehouse.read("fct_active_companies_by_release")
+    asked = active_by_state_and_activity(fact, "SP", "2026-05-10")
+    plan = asked._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "_source_reference_date" in plan.split("PartitionFilters")[1]
+    files = fact.filter("_source_reference_date = date '2026-05-10'").inputFiles()
+    assert files and all("_source_reference_date=2026-05-10" in f for f in files)
+
+
+def test_a_corrected_release_replaces_the_first_for_keyed_and_keyless_sources(spark, tmp_path):
+    warehouse = Warehouse(spark, "corrected")
+    for name, width in (("companies", 7), ("simples", 7)):
+        for run, keys in (("r1", (1, 2)), ("r2", (1,))):
+            folder = tmp_path / f"{name}-{run}"
+            lines = [",".join([str(k), *["x"] * (width - 1)]) for k in keys]
+            spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(str(folder))
+            source = register_source(name, str(folder), "append_only", "csv")
+            source = Source(**{**source.__dict__, "options": {**source.options, "delimiter": ","}})
+            day = 10 if run == "r1" else 11
+            ingest(warehouse, source, Run(run, datetime(2026, 5, day), "2026-05-10"))
+        assert [r[0] for r in current_raw(warehouse, source).collect()] == ["1"]
+
+
+def test_upsert_compares_keys_as_staging_writes_them(spark, rows):
+    from rollbook.functions.standardize import standardize_code
+    from rollbook.operators.upsert import one_per_key, upsert
+
+    target = spark.createDataFrame([("1", "old"), (None, "old null"), ("2", "stays")], "k string, v string")
+    batch = spark.createDataFrame([("00000001", "new"), (" 1", "other"), (None, "n1"), (None, "n2")], "k string, v string")
+    forms = {"k": standardize_code("k", 8)}
+    merged = upsert(target, one_per_key(batch, ["k"], forms), ["k"], forms)
+    assert rows(merged) == sorted([(" 1", "other"), (None, "n1"), (None, "n2"), ("2", "stays")], key=repr)
+
+
+def test_bytes_by_release_are_those_of_the_files(spark, tmp_path):
+    from rollbook.operators import layout
+
+    batch = spark.range(1000).selectExpr("id", "date_add(date '2026-01-01', int(id % 3)) AS _source_reference_date")
+    layout.write_release(batch, f"{tmp_path}/t")
+    expected = {}
+    for folder in (tmp_path / "t").glob("_source_reference_date=*"):
+        sizes = [f.stat().st_size for f in folder.glob("*.parquet")]
+        expected[folder.name.split("=")[1]] = (len(sizes), sum(sizes))
+    measured = layout.bytes_by_partition(spark, f"{tmp_path}/t").collect()
+    assert {str(r[0]): (r["files"], r["bytes"]) for r in measured} == expected and len(expected) == 3
