@@ -698,6 +698,7 @@ RESULTS: dict[str, str] = {
         from stored where _source_reference_date = date '{RELEASES[1]}'
     """,
     "layout_clustered": "from fct_active_companies",
+    "layout_interleaved": "from fct_active_companies",
     "row_counts_by_run": """
         select 'companies' as source_name, _source_reference_date, _pipeline_run_id,
                count(*) as row_count

@@ -606,6 +606,12 @@ def layout_clustered(r: Register) -> DataFrame:
     return layout.clustered(r.fact, layout.CLUSTERING["fct_active_companies"])
 
 
+@query
+def layout_interleaved(r: Register) -> DataFrame:
+    """Every clustering column alike decides where a row lies; no row changes."""
+    return layout.clustered(written(r.fact, "fact"), layout.CLUSTERING["fct_active_companies"], 8, interleaved=True)
+
+
 @query
 def layout_bytes_by_release(r: Register) -> DataFrame:
     """Files and bytes of each release; they depend on the tasks that wrote them, so a test compares

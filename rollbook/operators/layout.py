@@ -44,23 +44,60 @@ def with_run_metadata(
     return rows.withColumns({names[k]: v for k, v in values.items() if k in names})
 
 
-def clustered(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
+def clustered(
+    df: DataFrame,
+    columns: Sequence[str],
+    partitions: int | None = None,
+    interleaved: bool = False,
+    sample: int = 10_000,
+) -> DataFrame:
     """Range-partition by the clustering columns and sort inside, so block statistics prune.
 
     Range bounds are drawn over all the columns together, so a value that fills a third of the
     first column spreads over many partitions by the columns after it. Rows equal in all of
     them are spread by the task they come from, which stays the same when a task runs again.
+
+    ``interleaved`` orders by all the columns alike, along a space-filling curve, so that a filter on
+    any of them skips files, not only one on the first; it costs the first column some of its own.
+    The curve is drawn through ``RANGES`` ranges of each column, whose bounds come from ``sample`` rows:
+    they decide where a row lies, never which rows there are.
     """
     present = [c for c in columns if c in df.columns]
+    if not present:
+        return df
     count = (partitions,) if partitions else ()
+    leading = [place_on_curve(df, present, sample).alias("_place")] if interleaved and len(present) > 1 else []
+    order = [*(["_place"] if leading else []), *present]
     return (
-        df.withColumn("_task", F.spark_partition_id())
-        .repartitionByRange(*count, *present, "_task")
-        .sortWithinPartitions(*present)
-        .drop("_task")
+        df.select("*", *leading, F.spark_partition_id().alias("_task"))
+        .repartitionByRange(*count, *order, "_task")
+        .sortWithinPartitions(*order)
+        .drop("_task", "_place")
     )
 
 
+#: Ranges of a column on the curve: four bits.
+RANGES = 16
+
+
+def place_on_curve(df: DataFrame, columns: Sequence[str], sample: int) -> Column:
+    """The interleaved bits of the ranges that a row's columns lie in; NULL lies in the first."""
+    spread = F.xxhash64(*columns)
+    rows = df.select(*columns).orderBy(spread).limit(sample).collect()
+    bits = RANGES.bit_length() - 1
+    place = F.lit(0).cast("long")
+    for at, name in enumerate(columns):
+        values = sorted(r[at] for r in rows if r[at] is not None)
+        bounds = sorted({values[len(values) * k // RANGES] for k in range(1, RANGES)}) if values else []
+        kind = df.schema[name].dataType
+        reached = [(F.col(name) >= F.lit(b).cast(kind)).cast("int") for b in bounds]
+        number = F.coalesce(sum(reached, F.lit(0)), F.lit(0))
+        for bit in range(bits):
+            one = F.shiftright(number, bit).bitwiseAND(F.lit(1)).cast("long")
+            place = place.bitwiseOR(F.shiftleft(one, bit * len(columns) + len(columns) - 1 - at))
+    return place
+
+
 def write_release(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> None:
     """Write the releases in ``df`` under their date; a release written again replaces itself."""
     out = clustered(df, (REFERENCE_DATE, *cluster_by)) if cluster_by else df

@@ -135,6 +135,7 @@ def snapshot(warehouse: Warehouse, profile: DataFrame, run: Run) -> DataFrame:
         COMPARED,
         run.run_id,
         run.run_time,
+        sort_by=CLUSTERING[SNAPSHOT_SUBJECT],
     )
 
 

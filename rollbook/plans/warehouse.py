@@ -79,8 +79,8 @@ class Warehouse:
     company would fill one bucket, and adaptive execution splits only what it shuffled itself.
 
     Marts are sorted by their clustering columns inside each file, which costs no shuffle and
-    lets readers skip row groups. ``cluster`` also range-partitions them, one more shuffle per
-    mart, so that readers skip whole files.
+    lets readers skip row groups. ``cluster`` also range-partitions them along a curve through all
+    clustering columns, one more shuffle per mart, so that a filter on any of them skips whole files.
 
     ``slices`` is the number of ranges of a company hash that a merged table is kept in: a run
     rewrites only those its batch changes. Some 100 MB a slice is a good size; a table stays with the
@@ -134,7 +134,7 @@ class Warehouse:
                 .sortBy(*(cluster_by or (bucket_by,)))
             )
         elif cluster_by and self.cluster:
-            writer = clustered(df, cluster_by).write
+            writer = clustered(df, cluster_by, interleaved=True).write
         else:
             writer = (df.sortWithinPartitions(*cluster_by) if cluster_by else df).write
         version = self._version(name, commit)
@@ -249,7 +249,14 @@ class Warehouse:
         return max(self._commits(name), key=lambda c: (c.release, datetime.fromisoformat(c.moment)))
 
     def advance_history(
-        self, name: str, source: DataFrame, key: str, compared: Sequence[str], run_id: str, run_time
+        self,
+        name: str,
+        source: DataFrame,
+        key: str,
+        compared: Sequence[str],
+        run_id: str,
+        run_time: datetime,
+        sort_by: Sequence[str] = (),
     ) -> DataFrame:
         """Move a type 2 history on by one run.
 
@@ -270,7 +277,7 @@ class Warehouse:
             moved = first_versions(source, key, run_time)
         columns = (*source.columns, *VERSION_COLUMNS)
         state = F.when(is_open(), "open").otherwise("closed").alias("state")
-        self._add(store, moved.select(*columns, state), commit, (ATTEMPT, "state"), key)
+        self._add(store, moved.select(*columns, state), commit, (ATTEMPT, "state"), key, sort_by)
         now = [*before, commit]
         shown = (
             f"(state = 'open' AND {_is_one_of([commit])}) OR (state = 'closed' AND {_is_one_of(now)})"

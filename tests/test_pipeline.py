@@ -369,3 +369,31 @@ def test_bytes_by_release_are_those_of_the_files(spark, tmp_path):
         expected[folder.name.split("=")[1]] = (len(sizes), sum(sizes))
     measured = layout.bytes_by_partition(spark, f"{tmp_path}/t").collect()
     assert {str(r[0]): (r["files"], r["bytes"]) for r in measured} == expected and len(expected) == 3
+
+
+def test_a_filter_on_any_column_of_the_curve_skips_files(spark, rows, tmp_path):
+    import pyarrow.parquet as pq
+
+    from rollbook.operators.layout import clustered
+
+    table = spark.range(40_000).selectExpr(
+        "string(pmod(hash(id), 97)) AS a", "pmod(hash(id, 1), 1000) AS b", "lpad(string(pmod(hash(id, 2), 5000)), 4, '0') AS c"
+    ).withColumn("a", F.when(F.col("b") % 50 != 0, F.col("a")))
+
+    def share_read(frame, name, wanted):
+        """Of the files, those whose statistics do not rule the value out."""
+        frame.write.parquet(f"{tmp_path}/{name}")
+        files = [pq.ParquetFile(f).metadata for f in (tmp_path / name).glob("*.parquet")]
+        hit = 0
+        for meta in files:
+            groups = [meta.row_group(g) for g in range(meta.num_row_groups)]
+            at = next(i for i in range(3) if groups[0].column(i).path_in_schema == "c")
+            hit += any(g.column(at).statistics.min <= wanted <= g.column(at).statistics.max for g in groups)
+        return hit / len(files), len(files)
+
+    plain, _ = share_read(clustered(table, ("a", "b", "c"), 64), "plain", "2500")
+    curve, files = share_read(clustered(table, ("a", "b", "c"), 64, interleaved=True), "curve", "2500")
+    assert files > 30 and plain > 0.9 and curve < 0.6
+    assert rows(spark.read.parquet(f"{tmp_path}/curve")) == rows(table)
+    empty = clustered(table.limit(0), ("a", "b"), 4, interleaved=True)
+    assert empty.count() == 0 and empty.columns == table.columns
