@@ -18,8 +18,7 @@ def upsert(
     """Replace the rows of ``target`` whose key is in ``batch``; keep the others.
 
     ``forms`` gives the form in which a key column is compared, where that is not its own. A NULL
-    key equals NULL, so rows without a key do not pile up: a batch that has some replaces them.
-    The result has the columns of the batch: a column new in the batch is NULL on kept rows, a
+    key equals nothing, so rows without a key stay; see ``with_known_keys``. The result has the columns of the batch: a column new in the batch is NULL on kept rows, a
     column gone from the batch is dropped. Keys the batch does not hold stay. With no target
     the batch is the result.
     """
@@ -29,11 +28,17 @@ def upsert(
         return batch
     compared = {f"_key_{i}": (forms or {}).get(k, F.col(k)) for i, k in enumerate(keys)}
     fresh = batch.select(*(form.alias(f"{name}_new") for name, form in compared.items())).distinct()
-    same = reduce(Column.__and__, [F.col(name).eqNullSafe(F.col(f"{name}_new")) for name in compared])
+    same = reduce(Column.__and__, [F.col(name) == F.col(f"{name}_new") for name in compared])
     kept = target.withColumns(compared).join(fresh, same, "left_anti").drop(*compared)
     return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)
 
 
+def with_known_keys(rows: DataFrame, keys: Sequence[str], forms: Mapping[str, Column] | None = None) -> DataFrame:
+    """Rows whose key has no NULL. No later batch could replace the others, so a table that is
+    upserted again and again keeps only those its last batch brought."""
+    return rows.filter(reduce(Column.__and__, [(forms or {}).get(k, F.col(k)).isNotNull() for k in keys]))
+
+
 def one_per_key(rows: DataFrame, keys: Sequence[str], forms: Mapping[str, Column] | None = None) -> DataFrame:
     """One row per key, the first by its other columns; rows whose key has a NULL all stay."""
     compared = [(forms or {}).get(k, F.col(k)) for k in keys]

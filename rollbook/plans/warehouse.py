@@ -177,7 +177,8 @@ class Warehouse:
     ) -> DataFrame:
         """Put a batch of one row per key into a table; only slices in which a row changes are rewritten.
 
-        ``batch`` is read twice, so it should be written. A key the batch does not hold keeps its row.
+        ``batch`` is read twice, so it should be written. A key the batch does not hold keeps its row;
+        a NULL key is an error, before anything is shown.
         The table has the columns of the batch: a new one is NULL on rows that stay as they were, one
         that is gone is not shown. The other slices stay the partitions that earlier runs wrote and
         are shown by the view's filter, so the store grows by what changes. Of what is superseded,
@@ -187,7 +188,9 @@ class Warehouse:
         shown, before = self._commits(name), self._before(name, commit)
         store = f"{name}__slices"
         number = self._stored_slices(store) if before else self.slices
-        sliced = batch.withColumn(SLICE, F.pmod(F.xxhash64(key), F.lit(number)).cast("int"))
+        unknown = F.raise_error(F.lit(f"{name}: a row has no {key}")).cast("int")
+        place = F.when(F.col(key).isNull(), unknown).otherwise(F.pmod(F.xxhash64(key), F.lit(number)).cast("int"))
+        sliced = batch.withColumn(SLICE, place)
         if before:
             was = self.read(store).filter(_shown_slices(_owners(before))).drop(ATTEMPT)
             touched = self._touched(was, sliced, key)

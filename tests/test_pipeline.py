@@ -297,6 +297,8 @@ def test_a_merge_follows_the_columns_and_a_failure_leaves_the_table(spark, rows)
         ("0003", 3, 1.5), ("9999", 1, None),
     ]
     before = rows(merged)
+    with pytest.raises(Exception, match="has no k"):
+        warehouse.merge("t", batch.withColumn("k", F.lit(None).cast("string")), "k", "r3", datetime(2026, 1, 3))
     broken = failing(spark).selectExpr("string(id) AS k", "id AS v", "1.0D AS extra")
     with pytest.raises(Exception, match="stop"):
         warehouse.merge("t", broken, "k", "r3", datetime(2026, 1, 3))
@@ -349,12 +351,12 @@ def test_a_corrected_release_replaces_the_first_for_keyed_and_keyless_sources(sp
 
 def test_upsert_compares_keys_as_staging_writes_them(spark, rows):
     from rollbook.functions.standardize import standardize_code
-    from rollbook.operators.upsert import one_per_key, upsert
+    from rollbook.operators.upsert import one_per_key, upsert, with_known_keys
 
     target = spark.createDataFrame([("1", "old"), (None, "old null"), ("2", "stays")], "k string, v string")
     batch = spark.createDataFrame([("00000001", "new"), (" 1", "other"), (None, "n1"), (None, "n2")], "k string, v string")
     forms = {"k": standardize_code("k", 8)}
-    merged = upsert(target, one_per_key(batch, ["k"], forms), ["k"], forms)
+    merged = upsert(with_known_keys(target, ["k"], forms), one_per_key(batch, ["k"], forms), ["k"], forms)
     assert rows(merged) == sorted([(" 1", "other"), (None, "n1"), (None, "n2"), ("2", "stays")], key=repr)
 
 

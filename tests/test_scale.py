@@ -201,22 +201,26 @@ def test_aggregations_reduce_before_they_shuffle(hot):
 
 
 def test_hot_company_does_not_reach_one_task_as_rows(spark, hot):
-    """After the first exchange of the fact, the hot company's rows are spread over partitions."""
-    rows = hot["activity"].filter("is_active")
-    sizes = (
-        rows.repartition(8, ROOT, "full_cnpj")
-        .filter(F.col(ROOT) == HOT)
-        .groupBy(F.spark_partition_id())
-        .count()
-        .collect()
-    )
-    assert len(sizes) == 8
-    plan = plan_after(marts.fct_active_companies_from_parts(
+    """The fact's first exchange, as planned, spreads the hot company's rows; after the first
+    aggregation the second exchange gets one partial row of it per task."""
+    fact = marts.fct_active_companies_from_parts(
         hot["activity"],
         intermediate.company_profile(hot["companies"], hot["simples"]),
         intermediate.partner_metrics(hot["partners"]),
-    ))
-    assert "hashpartitioning(company_root_cnpj" in plan and "full_cnpj" in plan
+    )
+    plan = plan_after(fact)
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line]
+    by_establishment = [line for line in exchanges if "full_cnpj" in line]
+    assert by_establishment, plan
+    deepest = max(by_establishment, key=lambda line: line.index("Exchange"))
+    keys = [k.split("#")[0].strip() for k in deepest.split("hashpartitioning(")[1].split(")")[0].split(",")]
+    partitioned_by = [k for k in keys if not k.isdigit()]
+    assert partitioned_by[:2] == [ROOT, "full_cnpj"]
+    sizes = (
+        hot["activity"].filter("is_active").repartition(8, *partitioned_by[:2])
+        .filter(F.col(ROOT) == HOT).groupBy(F.spark_partition_id()).count().collect()
+    )
+    assert len(sizes) == 8
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
