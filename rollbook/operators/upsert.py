@@ -27,7 +27,7 @@ def upsert(
     if target is None:
         return batch
     compared = {f"_key_{i}": (forms or {}).get(k, F.col(k)) for i, k in enumerate(keys)}
-    fresh = batch.select(*(form.alias(f"{name}_new") for name, form in compared.items())).distinct()
+    fresh = batch.select(*(form.alias(f"{name}_new") for name, form in compared.items()))
     same = reduce(Column.__and__, [F.col(name) == F.col(f"{name}_new") for name in compared])
     kept = target.withColumns(compared).join(fresh, same, "left_anti").drop(*compared)
     return kept.unionByName(batch, allowMissingColumns=True).select(*batch.columns)

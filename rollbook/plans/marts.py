@@ -115,21 +115,23 @@ def representative_establishments(base: DataFrame) -> DataFrame:
 
 
 def distinct_counts(base: DataFrame) -> DataFrame:
-    """Distinct establishments, headquarters and municipalities of each company.
+    """Distinct establishments, headquarters and municipalities of each company, in two levels.
 
-    In two levels, with no row repeated per counted column: by establishment, where the
-    municipalities of one number are few, then by company, whose set of municipalities is
-    bounded by the list of four-digit codes, however many establishments it has.
+    A row counts for two values, its number (with whether it is a headquarters, so headquarters
+    need no value of their own) and its municipality. Equal ones of a company meet first, which
+    spreads a hot company over all reducers; then its distinct values are plain counts.
     """
-    by_establishment = base.groupBy(ROOT, FULL).agg(
-        any_true(F.col("is_headquarters")).alias("is_headquarters"),
-        F.collect_set("municipality_code").alias("municipalities"),
+    values = base.selectExpr(
+        ROOT,
+        f"inline(array(struct(true AS is_number, {FULL} AS value, is_headquarters AS is_headquarters), "
+        "struct(false AS is_number, municipality_code AS value, false AS is_headquarters)))",
     )
-    known = F.col(FULL).isNotNull()
-    return by_establishment.groupBy(ROOT).agg(
-        F.count(FULL).alias("active_establishment_count"),
-        F.count_if(known & F.col("is_headquarters")).alias("headquarters_count"),
-        F.size(F.array_distinct(F.flatten(F.collect_set("municipalities")))).cast("long").alias("municipality_count"),
+    distinct = values.groupBy(ROOT, "is_number", "value").agg(any_true(F.col("is_headquarters")).alias("is_headquarters"))
+    known, number = F.col("value").isNotNull(), F.col("is_number")
+    return distinct.groupBy(ROOT).agg(
+        F.count_if(known & number).alias("active_establishment_count"),
+        F.count_if(known & number & F.col("is_headquarters")).alias("headquarters_count"),
+        F.count_if(known & ~number).alias("municipality_count"),
     )
 
 
