@@ -9,7 +9,8 @@ Counts come from all training documents through ``shards.exchange``: blocks of d
 shards of hashed word pairs for the corpus counts. A pair seen once has one table, so only pairs
 seen twice or more are sampled. A Gibbs sweep takes one pair's customers out and seats them again,
 one after another, each at an old table by its size less the discount or at a new one by the
-strength, the restaurant's tables and the parent's probability of the word, all others held. That
+strength, the restaurant's tables and the parent's probability of the word, all others held. The
+parent's customers are seated alike, in the word's shard, where all of them meet. That
 proposal's weights depend on the seating, so it is accepted by Metropolis-Hastings. The random
 numbers are a hash of the pair and the step: any block that holds a pair samples the same tables
 for it, and one block, the pair's owner, reports them. Between rounds the blocks exchange, per word,
@@ -17,7 +18,8 @@ the tables it opened as a context and those it got as a word; within a round the
 approximate distributed Gibbs sampling. The strengths are drawn by griddy Gibbs steps, one for each
 size class of contexts, the discounts are set from the counts of counts.
 
-The score averages the predictive probabilities of the kept samples.
+The score averages the predictive probabilities of the kept samples of the last round, each with the
+seatings that made its table counts and its own parent, so that those of a context add up to 1.
 
 Defined cases: a null or empty text is its end alone; a null ``doc_id`` is training text; rows with
 equal ids are scored each; other columns are not read; without training text every word has the
@@ -35,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import held_out, pack, pack_uint, unpack, unpack_uint
-from rollbook.llm.shards import BLOCK, END, START, Block, block_of, drop, exchange, ids_in, keep, mixed, sums, write_blocks
+from rollbook.llm.shards import BLOCK, END, START, Block, Kept, block_of, exchange, ids_in, mixed, sums, write_blocks
+from rollbook.session import written
 
 #: Strengths to choose from, and size classes of contexts (by the power of two of their customers).
 STRENGTHS = np.array([0.1, 0.3, 1, 3, 10, 30, 100, 300, 1000, 3000], dtype=float)
@@ -179,16 +182,35 @@ def _class(customers: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(customers, 1)).astype(np.int64), CLASSES - 1)
 
 
-def _parent(got: np.ndarray, model: dict) -> np.ndarray:
-    """The parent's probability of words: ``got`` are the tables the contexts opened for each.
+def seat_parent(keys: np.ndarray, got: np.ndarray, model: dict, seed: int, sweeps: int) -> np.ndarray:
+    """Tables of each word in the parent, whose customers are the tables ``got`` in the contexts."""
+    tables = np.minimum(got, 1)
+    where = np.flatnonzero(got > 1)
+    others = max(model["top_seated"][0] - 1, 0)
+    fresh = (model["top_strength"] + model["top_discount"][0] * others) / (model["vocabulary"] + 1)
+    now = None
+    for k in range(sweeps):
+        now = sweep(keys[where], got[where], np.full(len(where), fresh), model["top_discount"][0], seed + k, now)
+    tables[where] = now[0]
+    return tables
 
-    The parent's own tables are one for each word, as for the first sample.
-    """
-    d, strength, total, types = model["top_discount"], model["top_strength"], model["tables"], model["vocabulary"]
-    if not total:
-        return np.full(len(got), 1.0 / (types + 1))
-    fresh = (strength + d * types) / (strength + total)
-    return np.maximum(got - d, 0) / (strength + total) + fresh / (types + 1)
+
+def parent(got: np.ndarray, seated: np.ndarray, model: dict, sample: int) -> np.ndarray:
+    """The parent's probability of words with ``got`` customers at ``seated`` tables there."""
+    d, strength = model["top_discount"][sample], model["top_strength"]
+    total, tables, types = model["tables"][sample], model["top_seated"][sample], model["vocabulary"]
+    fresh = (strength + d * tables) / (strength + total)
+    return (got - d * seated) / (strength + total) + fresh / (types + 1)
+
+
+def predictive(
+    counts: np.ndarray, tables: np.ndarray, opened: np.ndarray, customers: np.ndarray, below: np.ndarray, model: dict
+) -> np.ndarray:
+    """Probabilities of words in contexts with ``customers`` at ``opened`` tables, ``counts`` and
+    ``tables`` of them the word's, which the parent gives ``below``."""
+    strength, d = model["strength"][_class(customers)], model["discount"]
+    rest = (strength + d * opened) * below
+    return np.where(customers > 0, (counts - d * tables + rest) / (strength + customers), below)
 
 
 def _log_ratio(strength: np.ndarray, step: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -219,7 +241,7 @@ def _likelihoods(context: np.ndarray, opened: np.ndarray, discount: float) -> np
     return out
 
 
-_STATE = f"{BLOCK}, pairs binary, owned binary, words binary, stats array<double>"
+_STATE = f"{BLOCK}, pairs binary, owned binary, words binary, drawn binary, stats array<double>"
 
 
 def pitman_yor_scores(
@@ -229,13 +251,33 @@ def pitman_yor_scores(
     rounds: int = 2,
     samples: int = 3,
     burn_in: int = 2,
-    block_words: int = 2_000_000,
+    block_words: int = 1_000_000,
     shard_words: int = 500_000,
     seed: int = 11,
 ) -> DataFrame:
     """Scores of all documents by a model of those whose id's crc32 does not leave ``remainder``."""
+    schema = (
+        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+        "base_score double, score double"
+    )
+    with Kept(docs.sparkSession) as kept:
+        state, model = trained(docs, kept, modulus, remainder, rounds, samples, burn_in, block_words, shard_words, seed)
+
+        def score(batches):  # noqa: ANN001, ANN202
+            for batch in batches:
+                for row in batch.itertuples():
+                    yield _scored(row, model)
+
+        return written(state.drop("stats", "owned").mapInArrow(_frames(score), schema), "pitman-yor-scores")
+
+
+def trained(
+    docs: DataFrame, kept: Kept, modulus: int, remainder: int, rounds: int, samples: int, burn_in: int,
+    block_words: int, shard_words: int, seed: int,
+) -> tuple[DataFrame, dict]:
+    """The blocks with the counts and tables of their words, and the model over them."""
     flag = F.when(held_out(modulus, remainder), 1).otherwise(0)
-    blocks = write_blocks(docs, word_list, flag, block_words)
+    blocks = write_blocks(docs, word_list, flag, block_words, kept)
 
     def words_in(batches):  # noqa: ANN001, ANN202
         for batch in batches:
@@ -250,7 +292,7 @@ def pitman_yor_scores(
         keys, order = p.word_keys()
         return [(keys, [p.words[order]]), (p.keys, [p.by_key(p.training)])]
 
-    def add_up(kind: int, group: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
+    def add_up(kind: int, keys: np.ndarray, group: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
         total = sums(group, columns[0])
         first = np.concatenate([[True], group[1:] != group[:-1]]).astype(np.int64)
         return [total, first]
@@ -271,27 +313,26 @@ def pitman_yor_scores(
     state = exchange(
         blocks, ask_counts, [max(1, shards // 4), shards], [2, 2], add_up, take_counts, _STATE, narrow=(1,)
     )
-    state = keep(state, "pitman_yor_counts")
-    drop(blocks)
+    state = kept.keep(state, "pitman_yor_counts")
+    kept.drop_oldest()
     numbers = [F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(5)]
     words, types, once, twice, distinct = (x or 0.0 for x in state.agg(*numbers).first())
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
     model = {
-        "words": words, "vocabulary": types, "tables": distinct, "discount": discount,
-        "top_discount": 0.5, "top_strength": 1.0, "strength": np.full(CLASSES, 10.0),
+        "words": words, "vocabulary": types, "discount": discount, "strength": np.full(CLASSES, 10.0),
+        "tables": [distinct], "top_seated": [types], "top_discount": [0.5], "top_strength": 1.0,
     }
 
     # Later rounds: tables per context and per word, first one for each pair, then as sampled.
     for turn in range(rounds):
         sampled = samples if turn else 1
-        def ask_tables(block: Block, turn: int = turn, sampled: int = sampled, model: dict = model) -> list:
+        # What a block needs to draw this round's tables, and to draw the same ones again.
+        draw = {"model": model, "seed": seed + 100 * turn, "samples": sampled, "burn_in": burn_in, "turn": turn}
+
+        def ask_tables(block: Block, draw: dict = draw) -> list:
             p = Pairs(block)
             counts, owned = unpack_uint(block.carried["pairs"]), unpack_uint(block.carried["owned"])
-            if turn:
-                context, opened, got = _words_in(block, p)
-                tables = _samples(p, counts, context, opened[0], _parent(got[0], model), model, seed + 100 * turn, sampled, burn_in)
-            else:
-                tables = np.minimum(counts, 1)[None, :]
+            tables = drawn_tables(p, counts, block.carried["words"], draw)
             n = len(p.hashes)
             keys, order = p.word_keys()
             columns = []
@@ -302,11 +343,19 @@ def pitman_yor_scores(
             columns.append(np.bincount(p.first, weights=counts * owned, minlength=n).astype(np.int64)[order])
             return [(keys, columns)]
 
-        def add_tables(kind: int, group: np.ndarray, columns: list[np.ndarray]) -> list[np.ndarray]:
-            first = np.concatenate([[True], group[1:] != group[:-1]]).astype(np.int64)
-            return [sums(group, c) for c in columns] + [first]
-
-        def take_tables(block: Block, answers: list, model: dict = model) -> pd.DataFrame:
+        def add_tables(
+            kind: int, keys: np.ndarray, group: np.ndarray, columns: list[np.ndarray], draw: dict = draw
+        ) -> list[np.ndarray]:
+            first = np.concatenate([[True], group[1:] != group[:-1]])
+            out = [sums(group, c) for c in columns]
+            for k in range(draw["samples"]):
+                # All customers of a word meet here, so its tables in the parent are drawn here.
+                got = out[2 * k + 1][first]
+                seated = seat_parent(keys[first], got, draw["model"], draw["seed"] + 1000 * (k + 1), draw["burn_in"] + 1)
+                out.append(seated[group])
+            return [*out, first.astype(np.int64)]
+
+        def take_tables(block: Block, answers: list, draw: dict = draw) -> pd.DataFrame:
             p = Pairs(block)
             _, order = p.word_keys()
             columns = []
@@ -315,51 +364,56 @@ def pitman_yor_scores(
                 values[order] = column
                 columns.append(values)
             owner = columns.pop() > 0
-            context = columns[-1]
+            context, opened, got, seated = _by_sample(columns)
             mine = owner & (context > 0)
-            likely = _likelihoods(context[mine], columns[0][mine], model["discount"])
-            got_once = float((owner & (columns[1] == 1)).sum()), float((owner & (columns[1] == 2)).sum())
-            tables = float((columns[1] * owner).sum())
-            stats = [*got_once, tables, *likely.ravel().tolist()]
+            stats = []
+            for g, s in zip(got, seated, strict=True):
+                stats += [float((owner & (g == 1)).sum()), float((owner & (g == 2)).sum())]
+                stats += [float(g[owner].sum()), float(s[owner].sum())]
+            stats += _likelihoods(context[mine], opened[0][mine], draw["model"]["discount"]).ravel().tolist()
             return _state(
                 block, unpack_uint(block.carried["pairs"]), unpack_uint(block.carried["owned"]),
-                _counts_in(block), stats, columns,
+                _word_parts(block.carried["words"])[0], stats, columns, block.carried["words"] if draw["turn"] else b"",
             )
 
-        n_columns = 2 * sampled + 2
-        given = state
         state = exchange(
-            given, ask_tables, [max(1, shards // 4)], [n_columns], add_tables, take_tables, _STATE,
+            state, ask_tables, [max(1, shards // 4)], [3 * sampled + 2], add_tables, take_tables, _STATE,
             carried=("pairs", "owned", "words"), narrow=(0,),
         )
-        before, state = given, keep(state, f"pitman_yor_{turn}")
-        drop(before)
-        size = 3 + CLASSES * len(STRENGTHS)
+        state = kept.keep(state, f"pitman_yor_{turn}")
+        kept.drop_oldest()
+        size = 4 * sampled + CLASSES * len(STRENGTHS)
         added = state.agg(*[F.sum(F.col("stats")[k]).alias(f"s{k}") for k in range(size)]).first()
         added = np.array([x or 0.0 for x in added])
-        once, twice = added[0], added[1]
+        once, twice, tables, seated = added[: 4 * sampled].reshape(sampled, 4).T
+        rng = np.random.default_rng(seed + turn)
         model = dict(model)
-        model["tables"] = added[2]
-        model["top_discount"] = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
-        likely = added[3:].reshape(CLASSES, len(STRENGTHS))
-        chance = np.exp(likely - likely.max(axis=1, keepdims=True))
-        chance /= chance.sum(axis=1, keepdims=True)
-        drawn = np.random.default_rng(seed + turn).random(CLASSES)
-        picked = (np.cumsum(chance, axis=1) < drawn[:, None]).sum(axis=1).clip(max=len(STRENGTHS) - 1)
-        model["strength"] = STRENGTHS[picked]
-
-    final = model
-
-    def score(batches):  # noqa: ANN001, ANN202
-        for batch in batches:
-            for row in batch.itertuples():
-                yield _scored(row, final, seed + 100 * (rounds - 1), samples if rounds > 1 else 1, burn_in)
-
-    schema = (
-        "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-        "base_score double, score double"
-    )
-    return state.drop("stats").mapInArrow(_frames(score), schema)
+        model["tables"], model["top_seated"] = tables.tolist(), seated.tolist()
+        model["top_discount"] = [min(0.95, max(0.05, a / (a + 2 * b))) if a else 0.5 for a, b in zip(once, twice, strict=True)]
+        model["strength"] = _drawn(added[4 * sampled :].reshape(CLASSES, len(STRENGTHS)), rng)
+        if seated[0]:
+            top = [_log_ratio(STRENGTHS, np.full(len(STRENGTHS), step), n) for step, n in ((model["top_discount"][0], seated[0]), (1.0, tables[0]))]
+            model["top_strength"] = float(_drawn((top[0] - top[1])[None, :], rng)[0])
+        model["draw"] = draw
+    return state, model
+
+
+def _drawn(likely: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """A strength for each row of log likelihoods."""
+    chance = np.exp(likely - likely.max(axis=1, keepdims=True))
+    chance /= chance.sum(axis=1, keepdims=True)
+    picked = (np.cumsum(chance, axis=1) < rng.random(len(likely))[:, None]).sum(axis=1)
+    return STRENGTHS[picked.clip(max=len(STRENGTHS) - 1)]
+
+
+def drawn_tables(p: Pairs, counts: np.ndarray, words: bytes, draw: dict) -> np.ndarray:
+    """Tables of every pair in each sample of a round; the same wherever they are drawn. ``words``
+    are the state of the words before that round."""
+    if not draw["turn"]:
+        return np.minimum(counts, 1)[None, :]
+    context, opened, got, seated = _by_sample(_word_parts(words)[1:])
+    below = parent(got[0], seated[0], draw["model"], 0)
+    return _samples(p, counts, context, opened[0], below, draw["model"], draw["seed"], draw["samples"], draw["burn_in"])
 
 
 def _frames(run):  # noqa: ANN001, ANN202
@@ -371,19 +425,19 @@ def _frames(run):  # noqa: ANN001, ANN202
     return over
 
 
-def _state(block: Block, pairs, owned, count, stats, tables=()) -> pd.DataFrame:  # noqa: ANN001
+def _state(block: Block, pairs, owned, count, stats, tables=(), drawn: bytes = b"") -> pd.DataFrame:  # noqa: ANN001
     parts = [pack_uint(count), *[pack_uint(t) for t in tables]]
     words = b"".join(len(x).to_bytes(4, "little") + x for x in parts)
     return pd.DataFrame([{
         "block": block.number, "doc_ids": block.doc_ids, "flags": pack(block.flags),
         "lengths": pack_uint(block.lengths), "places": pack_uint(block.places), "hashes": pack(block.hashes),
-        "pairs": pack_uint(pairs), "owned": pack_uint(owned), "words": words,
+        "pairs": pack_uint(pairs), "owned": pack_uint(owned), "words": words, "drawn": drawn,
         "stats": [float(x) for x in stats],
     }])
 
 
-def _word_parts(block: Block) -> list[np.ndarray]:
-    data, out, at = block.carried["words"], [], 0
+def _word_parts(data: bytes) -> list[np.ndarray]:
+    out, at = [], 0
     while at < len(data):
         n = int.from_bytes(data[at : at + 4], "little")
         out.append(unpack_uint(data[at + 4 : at + 4 + n]))
@@ -391,37 +445,28 @@ def _word_parts(block: Block) -> list[np.ndarray]:
     return out
 
 
-def _counts_in(block: Block) -> np.ndarray:
-    return _word_parts(block)[0]
-
+def _by_sample(columns: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+    """Customers of each word as a context; for each sample the tables it opened as a context, those
+    it got as a word, and its own in the parent."""
+    n = len(columns) // 3
+    return columns[2 * n], columns[0 : 2 * n : 2], columns[1 : 2 * n : 2], columns[2 * n + 1 :]
 
-def _words_in(block: Block, p: Pairs) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray]]:
-    """Customers of each word as a context; tables opened and got, for each sample."""
-    _, *columns = _word_parts(block)
-    return columns[-1], columns[0:-1:2], columns[1:-1:2]
 
-
-def _scored(row, model: dict, seed: int, samples: int, burn_in: int):  # noqa: ANN001, ANN202
-    block = block_of(row, "pairs", "owned", "words")
+def _scored(row, model: dict):  # noqa: ANN001, ANN202
+    """Scores with the very seatings whose tables were added up."""
+    block = block_of(row, "pairs", "words", "drawn")
     p = Pairs(block)
     counts = unpack_uint(block.carried["pairs"])
-    context, opened, got = _words_in(block, p)
-    word_counts = _counts_in(block)
-    if len(opened) > 1 or samples > 1:
-        tables = _samples(p, counts, context, opened[0], _parent(got[0], model), model, seed, samples, burn_in)
-    else:
-        tables = np.minimum(counts, 1)[None, :]
-    d = model["discount"]
+    word_counts, *columns = _word_parts(block.carried["words"])
     chance = np.zeros(len(counts))
-    for k, t in enumerate(tables):
-        k = min(k, len(opened) - 1)
-        parent = _parent(got[k], model)[p.second]
-        customers = context[p.first]
-        strength = model["strength"][_class(customers)]
-        seen = np.maximum(counts - d * t, 0)
-        backed = (strength + d * np.minimum(opened[k][p.first], customers)) * parent
-        chance += np.where(customers > 0, (seen + backed) / (strength + customers), parent)
-    chance /= len(tables)
+    if model["words"]:
+        context, opened, got, seated = _by_sample(columns)
+        tables = drawn_tables(p, counts, block.carried["drawn"], model["draw"])
+        for k, t in enumerate(tables):
+            below = parent(got[k], seated[k], model, k)[p.second]
+            chance += predictive(counts, t, opened[k][p.first], context[p.first], below, model) / len(tables)
+    else:
+        chance += 1.0 / (model["vocabulary"] + 1)
     documents = len(block.lengths)
     score = np.bincount(p.document, weights=np.log10(chance)[p.pair_at], minlength=documents)
     n, v = model["words"], model["vocabulary"]

@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollbook.llm.common import pack, pack_uint, unpack, unpack_uint, utf8
@@ -90,7 +90,7 @@ def ids_in(data: bytes) -> pa.Array:
 
 
 def write_blocks(
-    docs: DataFrame, words_of: Callable[[bytes], list[bytes]], flag: F.Column, block_words: int
+    docs: DataFrame, words_of: Callable[[bytes], list[bytes]], flag: F.Column, block_words: int, kept: Kept
 ) -> DataFrame:
     """Documents as written blocks; ``flag`` is a small number kept for each document."""
 
@@ -121,22 +121,33 @@ def write_blocks(
         )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"), flag.cast("int").alias("flag"))
-    return keep(source.mapInArrow(run, BLOCK), "ngram_blocks")
+    return kept.keep(source.mapInArrow(run, BLOCK), "ngram_blocks")
 
 
-def keep(blocks: DataFrame, label: str) -> DataFrame:
-    """A table bucketed by block, so that answers come to the blocks and the blocks stay in place."""
-    spark = blocks.sparkSession
-    name = f"{label}_{uuid.uuid4().hex}"
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    blocks.write.bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
-    return spark.table(name)
+class Kept:
+    """The tables of one computation, bucketed by block, so that answers come to the blocks and the
+    blocks stay in place. Leaving the ``with`` drops those that are left, also after a failure."""
 
+    def __init__(self, spark: SparkSession):
+        self.spark, self.names = spark, []
 
-def drop(blocks: DataFrame) -> None:
-    """Give up a kept table that a newer one replaces."""
-    for name in {f.rstrip("/").split("/")[-2] for f in blocks.inputFiles()}:
-        blocks.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    def __enter__(self) -> Kept:
+        return self
+
+    def __exit__(self, *failure: object) -> None:
+        while self.names:
+            self.drop_oldest()
+
+    def keep(self, blocks: DataFrame, label: str) -> DataFrame:
+        name = f"{label}_{uuid.uuid4().hex}"
+        buckets = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        self.names.append(name)
+        blocks.write.bucketBy(buckets, "block").sortBy("block").saveAsTable(name)
+        return self.spark.table(name)
+
+    def drop_oldest(self) -> None:
+        """Give up the table that newer ones replace."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.names.pop(0)}")
 
 
 def block_of(row: object, *carried: str) -> Block:
@@ -167,7 +178,7 @@ def exchange(
     ask: Callable[[Block], list[Request]],
     shards: list[int],
     answers: list[int],
-    combine: Callable[[int, np.ndarray, list[np.ndarray]], list[np.ndarray]],
+    combine: Callable[[int, np.ndarray, np.ndarray, list[np.ndarray]], list[np.ndarray]],
     finish: Callable[[Block, list[list[np.ndarray]]], pd.DataFrame],
     schema: str,
     carried: tuple[str, ...] = (),
@@ -176,8 +187,8 @@ def exchange(
     """One round between blocks and shards.
 
     ``ask`` gives a block's requests, one for each kind of key; ``shards`` are their numbers of
-    shards. For every kind, ``combine(kind, owner, columns)`` gets the rows of a shard sorted by
-    key, as the group of each row and its number columns, and gives ``answers[kind]`` columns, one
+    shards. For every kind, ``combine(kind, keys, group, columns)`` gets the rows of a shard sorted by
+    key, with the group of each row and its number columns, and gives ``answers[kind]`` columns, one
     value for each row. ``finish`` gets the block and for each kind its answered columns, in the order of
     the keys asked. Kinds in ``narrow`` send keys as 48 bits. Keys must be well mixed hashes.
     """
@@ -209,7 +220,7 @@ def exchange(
         columns = []
         for c in range(len(part["numbers"].iloc[0])):
             columns.append(np.concatenate([unpack_uint(n[c]) for n in part["numbers"]])[order])
-        solved = combine(kind, group, columns)
+        solved = combine(kind, ordered, group, columns)
         ends = np.cumsum(sizes)
         back = []
         for values in solved:

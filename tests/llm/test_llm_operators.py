@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from checks.compare import difference, duckdb_over
-from rollbook.llm import ann, packing, pieces, pitman_yor, simhash, tokens, toxicity
+from rollbook.llm import ann, packing, pieces, pitman_yor, shards, simhash, tokens, toxicity
 from rollbook.llm.kneser_ney import quality_classifier
 from rollbook.llm.line_dedup import line_dedup
 from rollbook.llm.quality_rules import quality_rules
@@ -325,6 +325,72 @@ def test_pitman_yor_base_counts_and_gain(spark, texts):
     assert gain > 0
 
 
+def test_pitman_yor_is_a_probability_and_equals_plain_formulas(spark, texts):
+    """From the tables the blocks drew: masses of 1 in every context and sample, and the scores."""
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(150).repartition(3)
+    with shards.Kept(spark) as kept:
+        state, model = pitman_yor.trained(docs, kept, 7, 2, 2, 3, 2, 4000, 3000, 11)
+        rows = state.collect()
+    assert len(rows) > 3 and len(model["tables"]) == 3
+    pairs, words = {}, {}
+    for row in rows:
+        block = shards.block_of(row, "pairs", "words", "drawn")
+        p = pitman_yor.Pairs(block)
+        counts, hashes = pitman_yor.unpack_uint(block.carried["pairs"]), p.hashes.tolist()
+        context, opened, got, seated = pitman_yor._by_sample(pitman_yor._word_parts(block.carried["words"])[1:])
+        for i, h in enumerate(hashes):
+            own = (context[i], *[c[i] for c in (*opened, *got, *seated)])
+            assert words.setdefault(h, own) == own  # the same in every block
+        tables = pitman_yor.drawn_tables(p, counts, block.carried["drawn"], model["draw"])
+        for u, w, c, *t in zip(p.first, p.second, counts, *tables, strict=True):
+            own = (c, *t)
+            assert pairs.setdefault((hashes[u], hashes[w]), own) == own
+            assert all(min(c, 1) <= x <= c for x in t)
+    vocabulary = [h for h, own in words.items() if own[4] > 0]
+    assert len(vocabulary) == model["vocabulary"]
+    by_context = defaultdict(list)
+    for (u, w), own in pairs.items():
+        if own[0]:
+            by_context[u].append((w, own))
+    chance = []
+    for k in range(3):
+        got, seated = ({h: own[4 + 3 * m + k] for h, own in words.items()} for m in (0, 1))
+        assert sum(got.values()) == model["tables"][k] and sum(seated.values()) == model["top_seated"][k]
+        assert all(min(got[h], 1) <= seated[h] <= got[h] for h in got)
+        d, strength, total = model["top_discount"][k], model["top_strength"], model["tables"][k]
+        fresh = (strength + d * sum(seated.values())) / (strength + total)
+
+        def below(h, got=got, seated=seated, d=d, strength=strength, total=total, fresh=fresh):
+            own = (got[h] - d * seated[h]) / (strength + total) if h in got else 0.0
+            return own + fresh / (len(vocabulary) + 1)
+
+        assert math.isclose(sum(below(h) for h in vocabulary) + below(None), 1, abs_tol=1e-9)
+
+        def over(u, w, k=k, below=below):
+            customers = words[u][0]
+            if not customers:
+                return below(w)
+            c, *t = pairs.get((u, w), (0, 0, 0, 0))
+            strength = model["strength"][min(int(math.log2(customers)), pitman_yor.CLASSES - 1)]
+            rest = (strength + model["discount"] * words[u][1 + k]) * below(w)
+            return (c - model["discount"] * t[k] + rest) / (strength + customers)
+
+        backed = sum(below(h) for h in vocabulary) + below(None)
+        for u, seen in by_context.items():
+            others = backed - sum(below(w) for w, _ in seen)
+            # Words not seen after u have its share of the parent, whatever they are.
+            share = over(u, None) / below(None)
+            assert math.isclose(sum(over(u, w) for w, _ in seen) + share * others, 1, abs_tol=1e-9)
+        chance.append(over)
+    found = {r.doc_id: r.score for r in pitman_yor.pitman_yor_scores(docs, block_words=4000, shard_words=3000).collect()}
+    assert len(found) == 150
+    for i, score in found.items():
+        hashes = [0, *[xxhash.xxh64_intdigest(w) for w in words_of(texts[i])], 1]
+        plain = sum(math.log10(sum(c(u, w) for c in chance) / 3) for u, w in zip(hashes, hashes[1:], strict=False))
+        assert math.isclose(score, plain, rel_tol=1e-9)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith(("pitman_yor", "ngram_blocks", "quality_blocks"))]
+
+
 def test_pitman_yor_seating_follows_the_restaurant():
     """The sampled tables of one pair have the distribution of exhaustive seating."""
     discount, weight, customers = 0.6, 0.7, 6
