@@ -11,9 +11,8 @@ from __future__ import annotations
 
 import array
 import functools
+import json
 import os
-from collections.abc import Iterable, Iterator
-from itertools import filterfalse
 
 from tokenizers import Tokenizer
 
@@ -26,6 +25,10 @@ SPACE_DROPPED = "dropped"
 STOPS = ".,;:!?"
 #: Letters below this one are letters to every version of the tables of characters.
 SETTLED = "\u0530"
+#: Longer parts, such as whole texts without spaces, are encoded anew.
+KEPT = 64
+#: Letters below this one are composed.
+COMPOSED = "\u0250"
 
 
 def byte_letters() -> str:
@@ -48,6 +51,22 @@ def units_are_plain(tokenizer: Tokenizer) -> bool:
     )
 
 
+def words_are_plain(tokenizer: Tokenizer) -> bool:
+    """Lower-case letters reach the model as one unit where white space is dropped."""
+    rules = json.loads(tokenizer.to_str())
+    folds, cuts = rules["normalizer"] or {}, rules["pre_tokenizer"] or {}
+    if [n["type"] for n in folds.get("normalizers", [])] != ["NFC", "Replace", "Lowercase"] or rules["post_processor"]:
+        return False
+    kinds = cuts.get("pretokenizers", [])
+    if folds["normalizers"][1]["pattern"] != {"Regex": r"\s+"} or [k["type"] for k in kinds] != ["Split", "ByteLevel"]:
+        return False
+    # Letters are matched by the first alternative that does not begin with an apostrophe.
+    units = [u for u in kinds[0]["pattern"].get("Regex", "").split("|") if not u.startswith("'")]
+    by_letters = units[:1] == [r"[\p{L}]+"] and kinds[0]["invert"] and not kinds[1]["use_regex"]
+    names = [t.content.strip() for t in tokenizer.get_added_tokens_decoder().values()]
+    return by_letters and not kinds[1]["add_prefix_space"] and not any(n.isalpha() for n in names)
+
+
 class _Parts(dict):
     """The ids of parts as bytes of little-endian unsigned 32-bit numbers."""
 
@@ -65,24 +84,12 @@ class _Parts(dict):
             word = part
         return word.lower() if self.folds and word.isascii() else word
 
-    def _unknown(self, parts: Iterable[str]) -> Iterator[str]:
-        return filterfalse(self.old.__contains__, filterfalse(self.__contains__, parts))
-
     def turn(self) -> None:
         """Begin a new generation when the younger one is full."""
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
 
-    def learn(self, parts: set[str]) -> None:
-        """Encode in one call what a batch of texts brings anew."""
-        self.turn()
-        words = {self._word(p) for p in self._unknown(parts)}
-        words = list(self._unknown(words))
-        if words:
-            for word, ids in zip(words, self._by_tokenizer(words), strict=True):
-                self[word] = ids
-
     def _by_tokenizer(self, words: list[str]) -> list[bytes]:
         coded = self.tokenizer.encode_batch_fast([self.prefix + w for w in words], add_special_tokens=False)
         return [array.array("I", code.ids).tobytes() for code in coded]
@@ -95,6 +102,12 @@ class _Parts(dict):
             unit = (self.prefix + word).encode().decode("latin-1").translate(self.letters)
         return array.array("I", [t.id for t in self.model.tokenize(unit)]).tobytes()
 
+    def _is_unit(self, word: str) -> bool:
+        if self.folds:
+            # Letters that composing and lower-casing leave as they are.
+            return word.isalpha() and max(word) < COMPOSED and word == word.lower()
+        return word.isalpha() and max(word) < SETTLED
+
     def __missing__(self, part: str) -> bytes:
         ids = self.old.get(part)
         if ids is None:
@@ -102,11 +115,12 @@ class _Parts(dict):
             if word != part:
                 rest = part[len(word) :]
                 ids = self[word] + self.stops[rest] if rest else self[word]
-            elif self.plain and word.isalpha() and max(word) < SETTLED:
+            elif self.plain and self._is_unit(word):
                 ids = self._by_model(word)
             else:
                 ids = self._by_tokenizer([word])[0]
-        self[part] = ids
+        if len(part) <= KEPT:
+            self[part] = ids
         return ids
 
 
@@ -117,26 +131,21 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel ones
         tokenizer = Tokenizer.from_file(path)
         self.dropped = kind == SPACE_DROPPED
-        plain = kind == BYTE_LEVEL and units_are_plain(tokenizer)
+        plain = words_are_plain(tokenizer) if self.dropped else units_are_plain(tokenizer)
         self.bare = _Parts(tokenizer, "", limit, self.dropped, None, plain)
         self.spaced = _Parts(tokenizer, " ", limit, False, self.bare, plain)
 
     def encode(self, texts: list[str], at_once: int = 200) -> list[bytes]:
         out = []
         for at in range(0, len(texts), at_once):
-            out += (self._dropped if self.dropped else self._byte_level)(texts[at : at + at_once])
+            self.bare.turn()
+            self.spaced.turn()
+            out += map(self._dropped if self.dropped else self._regular, texts[at : at + at_once])
         return out
 
-    def _dropped(self, texts: list[str]) -> list[bytes]:
-        cut = [[p for p in t.replace("\n", " ").split(" ") if p] for t in texts]
+    def _dropped(self, text: str) -> bytes:
         known = self.bare
-        known.learn(set().union(*cut))
-        return [b"".join([known[p] for p in parts]) for parts in cut]
-
-    def _byte_level(self, texts: list[str]) -> list[bytes]:
-        self.bare.turn()
-        self.spaced.turn()
-        return [self._regular(t) for t in texts]
+        return b"".join([known[p] for p in text.replace("\n", " ").split(" ") if p])
 
     def _regular(self, text: str) -> bytes:
         """For single spaces and breaks only; other white space is left to the tokenizer."""
