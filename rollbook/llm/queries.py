@@ -63,7 +63,7 @@ def op7_pitman_yor(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
     path = tokenizer_path("byte_bpe_50k.json")
-    width = narrowest(50_257)
+    width = narrowest(path)
     files = write_token_files(table(spark, folder, "documents"), path, end_id=2, width=width)
     return read_token_files(files, width)
 

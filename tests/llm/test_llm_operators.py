@@ -21,7 +21,7 @@ from rollbook.llm.kneser_ney import quality_classifier
 from rollbook.llm.line_dedup import line_dedup
 from rollbook.llm.quality_rules import quality_rules
 from rollbook.llm.queries import ORACLE, QUERIES
-from rollbook.llm.token_files import export, map_file, read_token_files, write_token_files
+from rollbook.llm.token_files import map_shard, narrowest, read_token_files, write_token_files
 
 SPACES = " \t\n\x0b\f\r"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, kept string, _hashes string, n_lines int"
@@ -190,7 +190,7 @@ def test_encoders_equal_the_whole_text(texts):
 def test_token_files_round_trip(spark, texts, tmp_path):
     path = public_tokenizers.path("byte_bpe_50k.json")
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
-    files = write_token_files(docs, path, end_id=2, shard_ids=20_000, width=2)
+    files = write_token_files(docs, path, end_id=2, shard_ids=20_000, width=2, folder=f"file://{tmp_path}")
     whole, start = Tokenizer.from_file(path), 0
     expected = {}
     for i in sorted(texts):
@@ -198,15 +198,18 @@ def test_token_files_round_trip(spark, texts, tmp_path):
         expected[i] = (start, len(ids), zlib.crc32(np.array(ids, dtype="<u4").tobytes()))
         start += len(ids)
     assert {r.doc_id: tuple(r)[1:] for r in read_token_files(files, 2).collect()} == expected
-    export(files, str(tmp_path))
     total = 0
-    for name in sorted(p.name[4:-4] for p in tmp_path.glob("ids-*")):
-        offsets, ids, numbers = map_file(str(tmp_path), name, 2)
+    for row in sorted(files.collect(), key=lambda r: r.base):
+        offsets, ids, nulls, numbers = map_shard(row.folder, row.name, 2)
+        assert row.folder == str(tmp_path) and (offsets[0], offsets[-1]) == (total, total + row.n_ids) and not nulls.any()
         total += len(numbers)
         for k, i in enumerate(ids.tolist()):
             part = numbers[offsets[k] - offsets[0] : offsets[k + 1] - offsets[0]]
             assert (offsets[k], zlib.crc32(part.astype("<u4").tobytes())) == (expected[i][0], expected[i][2])
     assert total == start
+    assert narrowest(path) == 2
+    with pytest.raises(ValueError, match="mounted"):
+        write_token_files(docs, path, end_id=2, folder="s3a://bucket/files")
 
 
 def test_packing_is_whole_gapless_and_near_the_bound(spark, texts):
