@@ -168,44 +168,53 @@ def nearest(
                 yield batch.assign(leaf=shared.value.assign(_matrix(batch["embedding"])))
 
     placed = vectors.mapInPandas(place, "vec_id long, embedding array<double>, asks boolean, leaf long")
-    placed = written(placed, "ann-leaves")
-    # A leaf's chunks hold leaf_rows rows each; which one a row is in depends on its id.
+    # Ids may repeat, so rows are told apart by a written number.
+    placed = written(placed.withColumn("row", F.monotonically_increasing_id()), "ann-leaves")
+    # A leaf's chunks hold leaf_rows rows each.
     chunks = placed.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / leaf_rows).cast("int").alias("chunks"))
     chunks = written(chunks, "ann-chunks")
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = [
-                (q, v, leaf)
-                for q, v in zip(batch["vec_id"], batch["embedding"], strict=True)
+                (r, q, v, leaf)
+                for r, q, v in zip(batch["row"], batch["vec_id"], batch["embedding"], strict=True)
                 for leaf in shared.value.visits(np.asarray(v), visits)
             ]
-            yield pd.DataFrame(out, columns=["query_id", "embedding", "leaf"])
+            yield pd.DataFrame(out, columns=["query_row", "query_id", "embedding", "leaf"])
 
-    asked = placed.where("asks").select("vec_id", "embedding").mapInPandas(
-        ask, "query_id long, embedding array<double>, leaf long"
+    asked = placed.where("asks").select("row", "vec_id", "embedding").mapInPandas(
+        ask, "query_row long, query_id long, embedding array<double>, leaf long"
     )
-    asked = asked.join(chunks, "leaf").select(
-        "query_id", "embedding", "leaf", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk")
+    asked = written(asked, "ann-asked")
+    # The queries of a leaf are dealt into slices of leaf_rows, each of which meets all its chunks.
+    slices = asked.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / leaf_rows).cast("int").alias("slices"))
+    groups = written(chunks.join(slices, "leaf"), "ann-groups")
+    asked = asked.join(groups, "leaf").select(
+        "query_row", "query_id", "embedding", "leaf",
+        F.pmod(F.xxhash64("query_row"), "slices").cast("int").alias("slice"),
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"),
     )
-    there = placed.join(chunks, "leaf").select(
-        "vec_id", "embedding", "leaf", F.pmod(F.xxhash64("vec_id"), "chunks").cast("int").alias("chunk")
+    there = placed.join(groups, "leaf").select(
+        "row", "vec_id", "embedding", "leaf", F.pmod(F.xxhash64("row"), "chunks").cast("int").alias("chunk"),
+        F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
     )
 
     def search(key: tuple, own: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(own) and len(asking):
-            own = own.sort_values("vec_id", kind="stable")
-            ids, matrix = own["vec_id"].to_numpy(), _matrix(own["embedding"])
-            for q, v in zip(asking["query_id"], asking["embedding"], strict=True):
+            own = own.sort_values(["vec_id", "row"])
+            numbers, ids, matrix = own["row"].to_numpy(), own["vec_id"].to_numpy(), _matrix(own["embedding"])
+            for r, q, v in zip(asking["query_row"], asking["query_id"], asking["embedding"], strict=True):
                 score = np.sqrt(((matrix - np.asarray(v)) ** 2).sum(axis=1))
-                score[ids == q] = np.inf
+                score[numbers == r] = np.inf
                 best = np.argsort(score, kind="stable")[:k]
-                out += [(q, int(ids[b]), float(score[b])) for b in best if np.isfinite(score[b])]
-        return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+                out += [(r, q, int(numbers[b]), int(ids[b]), float(score[b])) for b in best if np.isfinite(score[b])]
+        return pd.DataFrame(out, columns=["query_row", "query_id", "row", "vec_id", "score"])
 
-    found = there.groupBy("leaf", "chunk").cogroup(asked.groupBy("leaf", "chunk")).applyInPandas(
-        search, "query_id long, vec_id long, score double"
+    keys = ("leaf", "chunk", "slice")
+    found = there.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInPandas(
+        search, "query_row long, query_id long, row long, vec_id long, score double"
     )
-    rank = F.expr("row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id)")
+    rank = F.expr("row_number() OVER (PARTITION BY query_row ORDER BY score, vec_id, row)")
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -29,6 +31,29 @@ def utf8(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("binary"), F.lit(b"").cast("binary"))
 
 
+def sheltered(docs: DataFrame, *used: str) -> tuple[DataFrame, Callable[..., DataFrame]]:
+    """The ``used`` columns, and the others in one struct, so that no name of theirs meets one that
+    an operator gives; and a function that brings the columns back, with ``results`` after them."""
+    others = [c for c in docs.columns if c not in used]
+    inside = [F.struct(*[F.col(_quoted(c)) for c in others]).alias(CARRIED)] if others else []
+    slim = docs.select(*[c for c in used if c in docs.columns], *inside)
+
+    def restore(out: DataFrame, *results: str) -> DataFrame:
+        """Columns named like a result, in any case of letters, are replaced by it."""
+        taken = {r.lower() for r in results}
+        columns = [c for c in docs.columns if c.lower() not in taken]
+        back = [F.col(CARRIED).getField(c).alias(c) if c in others else F.col(c) for c in columns]
+        return out.select(*back, *results)
+
+    return slim, restore
+
+
+def _quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+#: The column that holds what an operator only passes on.
+CARRIED = "_carried"
 #: The column that tells rows apart, also where their ids are null or repeat.
 ROW = "_row"
 

@@ -13,7 +13,8 @@ Runs are written tables, so a lost executor costs a task, and a store can be kep
 
 Defined cases: a null or empty text is one empty line; keys shorter than ``min_length`` code points
 never go; rows with equal ``doc_id`` (null too) count as one document but are each filtered; other
-columns pass through; an empty table gives an empty result.
+columns pass through whatever their names, except that ones named like a result are replaced; a very long
+text is one row like any other; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from rollbook.llm.common import SPACE_CLASS, lower_ascii
+from rollbook.llm.common import SPACE_CLASS, lower_ascii, sheltered
 from rollbook.session import written
 
 SLOTS = 256
@@ -122,11 +123,9 @@ def line_dedup(
         .groupBy("doc_id")
         .agg(F.collect_list(F.struct(*_KEY)).alias("_shared"))
     )
-    own = ("n_lines", "n_dropped")
-    kept = [c for c in docs.columns if c not in own]
-    left = docs.select(*kept).alias("d").join(
-        found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left"
-    )
+    slim, restore = sheltered(docs, "doc_id", "text")
+    kept = slim.columns
+    left = slim.alias("d").join(found.alias("f"), F.col("d.doc_id").eqNullSafe(F.col("f.doc_id")), "left")
     lines = F.col("_lines")
     # Line breaks inside documents without shared lines stay untouched, and cost nothing more.
     rest = (
@@ -143,4 +142,4 @@ def line_dedup(
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size("_rest")).cast("long").alias("n_dropped"),
     )
-    return out.select(*kept, *own)
+    return restore(out, "n_lines", "n_dropped")

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import NOT_SPACE_CLASS, SPACE_CLASS, SPACES
+from rollbook.llm.common import NOT_SPACE_CLASS, SPACE_CLASS, SPACES, sheltered
 from rollbook.session import written
 
 SYMBOLS = "#*$%&|<>"
@@ -126,7 +126,8 @@ def measure(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-_OWN = (*MEASURES, "n_lines", "n_upper", "n_stutters", "n_no_letter", "base_failed", "kept", "_whole", "_words", "_lines", "_hashes", "_sorted", "_places")
+RESULTS = (*MEASURES, "n_lines", "n_upper", "n_stutters", "n_no_letter", "base_failed", "kept")
+_OWN = (*RESULTS, "_whole", "_words", "_lines", "_hashes", "_sorted", "_places")
 
 
 def base_failed(least_words: int = 20, repeat_percent: int = 30) -> Column:
@@ -175,9 +176,11 @@ def quality_rules(
     for name in ("lang", "source"):
         if name not in docs.columns:
             docs = docs.withColumn(name, F.lit(None).cast("string"))
+    slim, restore = sheltered(docs, "lang", "source", "text")
     # Written once: the sketches and the filter both read the numbers, not the texts.
-    measured = measure(docs).withColumn("base_failed", base_failed())
-    measured = written(measured if keep_text else measured.drop("text"), "quality-measures")
+    measured = measure(slim).withColumn("base_failed", base_failed())
+    dropped = () if keep_text else ("text",)
+    measured = written(measured.drop(*dropped), "quality-measures")
     by_group = written(_sketches(measured, rules), "quality-sketches")
     merged = [F.kll_merge_agg_double(r.name).alias(r.name) for r in rules]
     by_lang = by_group.groupBy("lang").agg(F.sum("n").alias("n"), *merged)
@@ -196,4 +199,5 @@ def quality_rules(
         last = everywhere[rule.name]
         fence = F.coalesce(f"_own.{rule.name}", f"_lang.{rule.name}", F.lit(float("inf") if last is None else last))
         passed &= rule.value.cast("double") <= fence
-    return joined.select(*measured.columns, (~F.col("base_failed") & passed).alias("kept"))
+    out = joined.select(*measured.columns, (~F.col("base_failed") & passed).alias("kept"))
+    return restore(out if keep_text else out.withColumn("text", F.lit(None)), *RESULTS).drop(*dropped)

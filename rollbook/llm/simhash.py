@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import ROW, numbered, utf8
+from rollbook.llm.common import ROW, numbered, sheltered, utf8
 from rollbook.llm.components import components
 from rollbook.session import written
 
@@ -233,9 +233,10 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
 
     Rows are told apart by a written number, so null and repeated ids lose nothing.
     """
-    rows = numbered(docs, "simhash-rows")
+    slim, restore = sheltered(docs, "doc_id", "text")
+    rows = numbered(slim, "simhash-rows")
     found = _judged(rows, shingle, distance, ROW)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")
     kept = found.groupBy("root").agg(first).select(F.col(f"first.{ROW}").alias("_kept"))
     kept = written(kept, "simhash-kept")
-    return rows.join(kept, F.col(ROW) == F.col("_kept"), "left_semi").select(*docs.columns)
+    return restore(rows.join(kept, F.col(ROW) == F.col("_kept"), "left_semi"))

@@ -7,6 +7,8 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from rollbook.llm.line_dedup import line_dedup
+from rollbook.llm.quality_rules import RESULTS, quality_rules
 from rollbook.llm.simhash import simhash_near_dedup
 from rollbook.session import written
 
@@ -63,3 +65,31 @@ def test_rows_with_null_or_repeated_ids_are_judged_one_by_one(spark):
     one = corpus_pipeline.near_duplicates(spark, odd, SMALL).collect()
     assert sorted(r.text for r in one) == sorted([*good, junk])
     assert [r.doc_id for r in one if r.text == junk] == [-7]
+
+
+HOSTILE = [
+    "_lines", "_shared", "_rest", "_slots", "_own", "_lang", "_l", "_s", "_k", "_words", "_whole", "_kept", "_gone", "_row", "_id",
+    "_carried", "n_words", "kept", "n_dropped", "n_lines", "base_failed", "root", "fp", "flag", "a.b", "row", "batch", "keys",
+]
+
+
+@pytest.mark.parametrize("empty", [False, True])
+def test_stages_pass_on_columns_of_any_name(spark, empty):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").limit(0 if empty else 60)
+    docs = docs.select("*", *[F.concat(F.lit(f"{c}:"), F.col("doc_id").cast("string")).alias(c) for c in HOSTILE])
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert bool(rows) != empty
+        for r in rows:
+            assert all(r[c] == f"{c}:{r.doc_id}" for c in HOSTILE), name
+    packed = corpus_pipeline.packing(spark, docs, SMALL).select("doc_id").distinct().count()
+    assert packed == (0 if empty else 60)
+    for out, results in (
+        (line_dedup(docs), ("n_lines", "n_dropped")),
+        (quality_rules(docs), RESULTS),
+    ):
+        others = [c for c in HOSTILE if c not in results]
+        assert set(others) < set(out.columns)
+        assert all(r[c] == f"{c}:{r.doc_id}" for r in out.collect() for c in others)

@@ -287,6 +287,10 @@ def test_nearest_neighbours_edges(spark):
     out = ann.nearest(docs, F.col("vec_id") % 100 == 0, k=10).orderBy("rank").collect()
     assert [tuple(r) for r in out] == [(0, 1, 1, 0.0), (0, 2, 2, 0.0)]
     assert ann.nearest(docs.where("false"), F.lit(True)).collect() == []
+    again = spark.createDataFrame([(0, [1.0, 0.0]), (0, [1.0, 3.0]), (1, [1.0, 1.0]), (2, [1.0, 2.0])], "vec_id long, embedding array<float>")
+    found = sorted(tuple(r)[1:] for r in ann.nearest(again, F.col("vec_id") == 0, k=10, leaf_rows=1).collect())
+    # Both rows of id 0 ask, and each has the other among its candidates.
+    assert found == [(1, 1, 1.0), (1, 2, 1.0), (2, 1, 2.0), (2, 2, 2.0), (3, 0, 3.0), (3, 0, 3.0)]
 
 
 def test_pieces_equal_brute_force_and_come_back(spark, texts):
