@@ -2,6 +2,10 @@
 
 Each stage takes all that the one before kept, and all but the last give the columns of
 ``documents``. A text that loses lines gets its new ``n_chars``.
+
+Defined cases: each row is judged by itself, also where ids are null or repeat; null and empty texts
+have no words, so the rules reject them; other columns pass through unchanged, whatever their names;
+texts are read whole; an empty table goes through as one.
 """
 
 from __future__ import annotations
@@ -11,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import ROW, numbered, table
+from rollbook.llm.common import ROW, numbered, sheltered, table
 from rollbook.llm.kneser_ney import quality_classifier
 from rollbook.llm.line_dedup import line_dedup
 from rollbook.llm.packing import best_fit_packing
@@ -25,24 +29,27 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return quality_rules(docs, keep_text=True).where("kept").select(*docs.columns)
+    slim, restore = sheltered(docs, "lang", "source", "text")
+    return restore(quality_rules(slim, keep_text=True).where("kept"))
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go, each row by its own judgement."""
-    rows = numbered(docs, "classifier-rows")
+    slim, restore = sheltered(docs, "doc_id", "lang", "text")
+    rows = numbered(slim, "classifier-rows")
     judged = quality_classifier(rows, table(spark, sf_dir, "labels"), row=ROW)
     gone = judged.where(~F.col("kept")).select(F.col(ROW).alias("_gone"))
-    return rows.join(gone, F.col(ROW) == F.col("_gone"), "left_anti").select(*docs.columns)
+    return restore(rows.join(gone, F.col(ROW) == F.col("_gone"), "left_anti"))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that many documents share go."""
-    out = line_dedup(docs)
+    slim, restore = sheltered(docs, "doc_id", "text", "n_chars")
+    out = line_dedup(slim)
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.length("text").cast(kind))
-    return out.select(*docs.columns)
+    return restore(out)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
