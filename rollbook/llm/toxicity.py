@@ -24,14 +24,17 @@ document. While it is fitted a document's own words are weighted as if it were l
 
 Defined cases: a null or empty text is scored like one without a weighted word; a null ``doc_id``
 is not held out and has no label; rows with equal ids are scored each; other columns are not read;
-without labels every score is the smoothed base rate; an empty table gives an empty result.
+without labels every score is the smoothed base rate; an empty table gives an empty result. Texts are
+read whole, in time that grows with their length, also where all of it is one lattice.
 """
 
 from __future__ import annotations
 
+import functools
 import math
+import os
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import product
 
 import numpy as np
@@ -68,6 +71,11 @@ _RUNS = re.compile(r"(.)\1*")
 SHORT = 4
 _SHORTS = re.compile(rf"(?<!\S)\S{{1,{SHORT}}}(?:\s+\S{{1,{SHORT}}})+(?!\S)")
 
+#: The letters of a path, each with the path before it.
+Path = tuple["Path", str] | None
+#: After so many characters a lattice lets go of what all its paths agree on.
+SETTLE = 512
+
 COST_LOOK, COST_DROP, COST_REPEAT, COST_KEEP, COST_GAP = 0.5, 0.4, 0.3, 1.5, 0.6
 
 
@@ -93,9 +101,9 @@ def character_model(counts: np.ndarray) -> np.ndarray:
 
 def spellings(word: str) -> tuple[str, ...]:
     """A word of letters, each run of equal ones as one letter and as two; beyond four runs alike."""
-    runs = list(_RUN.finditer(word))
-    if not runs:
+    if not _RUN.search(word):
         return (word,)
+    runs = list(_RUN.finditer(word))
     if len(runs) > 4:
         return (_RUN.sub(r"\1\1", word), _RUN.sub(r"\1", word))
     parts, end = [], 0
@@ -105,36 +113,81 @@ def spellings(word: str) -> tuple[str, ...]:
     return tuple("".join(x) for x in product(*parts, (word[end:],)))
 
 
+def _path(letters: str) -> Path:
+    path = None
+    for letter in letters:
+        path = (path, letter)
+    return path
+
+
+def _letters(path: Path) -> str:
+    out = []
+    while path:
+        path, letter = path
+        out.append(letter)
+    return "".join(reversed(out))
+
+
+def _settle(
+    states: dict[int, tuple[float, Path]], settled: list[str]
+) -> dict[int, tuple[float, Path]]:
+    """Moves the letters that all paths begin with to ``settled``; each path keeps its last ones."""
+    texts = {state: _letters(path) for state, (_, path) in states.items()}
+    shared = os.path.commonprefix(list(texts.values()))
+    cut = min(len(shared), max(0, min(map(len, texts.values())) - 1))
+    settled.append(shared[:cut])
+    return {state: (score, _path(texts[state][cut:])) for state, (score, _) in states.items()}
+
+
 def decode(word: str, model: np.ndarray) -> str:
     """The most probable letters behind ``word`` without the marks around it."""
     word = word.lower()
-    return viterbi(word.rstrip(_EDGE).lstrip("\"'([{«“„¿¡") or word, model)
+    return viterbi(word.rstrip(_EDGE).lstrip("\"'([{«“„¿¡") or word, model.ravel().tolist())
+
+
+@functools.lru_cache(maxsize=1 << 12)
+def _written(c: str) -> tuple[tuple[tuple[str, int, float], ...], float | None]:
+    """What a character may stand for, with its place and cost, and the cost of nothing."""
+    letters = [(c, 0.0)] if c in _PLACE else [] if c in LOOK_ALIKES or c in SEPARATORS else [(c, COST_KEEP)]
+    letters += [(x, COST_LOOK) for x in LOOK_ALIKES.get(c, "")]
+    nothing = COST_GAP if c == " " else COST_DROP if c in SEPARATORS or not letters else None
+    return tuple((x, _PLACE.get(x, 0), cost) for x, cost in letters), nothing
+
 
+def viterbi(core: str, model: list[float], start: str = "", repeats: bool = True) -> str:
+    """The most probable letters behind all of ``core`` after the letters ``start``, and those.
 
-def viterbi(core: str, model: np.ndarray, start: str = "", repeats: bool = True) -> str:
-    """The most probable letters behind all of ``core`` after the letters ``start``, and those."""
+    A state is the places of the last two letters, as one number; ``model`` is flat.
+    """
+    settled: list[str] = []
+    # A path is its score and its letters, the last one first.
     first = (0, *[_PLACE.get(c, 0) for c in start])[-2:] if start else (0, 0)
-    states: dict[tuple[int, int], tuple[float, str]] = {first: (0.0, start)}
-    for c in core:
-        after: dict[tuple[int, int], tuple[float, str]] = {}
-        letters = [(c, 0.0)] if c in _PLACE else [] if c in LOOK_ALIKES or c in SEPARATORS else [(c, COST_KEEP)]
-        letters += [(x, COST_LOOK) for x in LOOK_ALIKES.get(c, "")]
-        nothing = COST_GAP if c == " " else COST_DROP if c in SEPARATORS or not letters else None
-        for (a, b), (score, text) in states.items():
-            options = []
-            for letter, cost in letters:
-                place = _PLACE.get(letter, 0)
-                options.append(((b, place), score - cost + float(model[a, b, place]), text + letter))
-                if repeats and text and letter == text[-1] != " ":
-                    options.append(((a, b), score - COST_REPEAT, text))
+    states: dict[int, tuple[float, Path]] = {first[0] * N + first[1]: (0.0, _path(start))}
+    for number, c in enumerate(core, 1):
+        after: dict[int, tuple[float, Path]] = {}
+        letters, nothing = _written(c)
+        for state, (score, path) in states.items():
+            row, then = state * N, state % N * N
+            for letter, place, cost in letters:
+                value = score - cost + model[row + place]
+                old = after.get(then + place)
+                if old is None or value > old[0]:
+                    after[then + place] = (value, (path, letter))
+                if repeats and path and letter == path[1] != " ":
+                    value = score - COST_REPEAT
+                    old = after.get(state)
+                    if old is None or value > old[0]:
+                        after[state] = (value, path)
             if nothing is not None:
-                options.append(((a, b), score - nothing, text))
-            for state, value, now in options:
-                if state not in after or value > after[state][0]:
-                    after[state] = (value, now)
+                value = score - nothing
+                old = after.get(state)
+                if old is None or value > old[0]:
+                    after[state] = (value, path)
         states = after
-    end = {s: v + float(model[s[0], s[1], 0]) for s, (v, _) in states.items()}
-    return states[max(end, key=end.get)][1]
+        if number % SETTLE == 0:
+            states = _settle(states, settled)
+    end = {state: score + model[state * N] for state, (score, _) in states.items()}
+    return "".join(settled) + _letters(states[max(end, key=end.get)][1])
 
 
 def _nearest(symbols: str, most: int = 4) -> list[str]:
@@ -149,11 +202,27 @@ def _nearest(symbols: str, most: int = 4) -> list[str]:
 
 
 class Reader:
-    """Restored words of texts; readings are kept up to ``limit`` words."""
+    """Restored words of texts, of those ``wanted`` holds for.
+
+    Readings of up to ``limit`` words and windows are kept, of at most ``LONGEST`` characters each, so
+    what is kept is bounded in bytes too; longer ones are read whenever they come.
+    """
+
+    LONGEST = 48
+
+    def __init__(self, model: np.ndarray, limit: int = 300_000, wanted: Callable[[str], bool] | None = None):
+        self.model, self.limit, self.wanted = model.ravel().tolist(), limit, wanted
+        self.known, self.tails, self.gaps, self.windows, self.stretches = {}, {}, {}, {}, {}
 
-    def __init__(self, model: np.ndarray, limit: int = 300_000):
-        self.model, self.limit, self.known, self.tails = model, limit, {}, {}
-        self.gaps, self.stretches = {}, {}
+    def _keep(self, cache: dict, key: str, found: tuple[str, ...]) -> tuple[str, ...]:
+        if len(key) <= self.LONGEST:
+            if len(cache) >= self.limit:
+                cache.clear()
+            cache[key] = found
+        return found
+
+    def _wanted(self, words: Iterable[str]) -> tuple[str, ...]:
+        return tuple(filter(self.wanted, words)) if self.wanted else tuple(words)
 
     def _spelled(self, core: str, start: str = "") -> tuple[str, ...]:
         """The best reading, and the best with every letter written out, its runs short and long."""
@@ -162,15 +231,15 @@ class Reader:
 
     def _tail(self, word: str, symbols: str) -> list[str]:
         """``word`` with the look-alikes after it read; they depend on its last two letters only."""
-        key = (word[-2:], symbols)
+        key = word[-2:] + symbols
         found = self.tails.get(key)
         if found is None:
-            if len(self.tails) >= self.limit:
-                self.tails.clear()
-            found = self.tails[key] = self._spelled(symbols, word[-2:])
+            found = self._keep(self.tails, key, self._spelled(symbols, word[-2:]))
         return [word[:-2] + x for x in found]
 
     def _read(self, word: str) -> tuple[str, ...]:
+        if word.isalpha():
+            return spellings(word)
         core = word.strip(_CLEAR)
         if core.isalpha():
             return spellings(core)
@@ -193,8 +262,14 @@ class Reader:
         if found is None:
             a, b, c, d = (_PLACE.get(x, 0) for x in (*key[0], *key[1]))
             m = self.model
-            apart = m[a, b, 0] + m[b, 0, c] + m[0, c, d]
-            found = self.gaps[key] = bool(m[a, b, c] + m[b, c, d] - COST_GAP > apart)
+
+            def chance(x: int, y: int, z: int) -> float:
+                return m[(x * N + y) * N + z]
+
+            apart = chance(a, b, 0) + chance(b, 0, c) + chance(0, c, d)
+            if len(self.gaps) >= self.limit:
+                self.gaps.clear()
+            found = self.gaps[key] = chance(a, b, c) + chance(b, c, d) - COST_GAP > apart
         return found
 
     def _spaced(self, words: list[str]) -> list[str]:
@@ -205,51 +280,71 @@ class Reader:
         characters in a row are read by themselves too.
         """
         out, held, before, single = [], [], "", []
+        gaps = self.gaps
         for word in words:
             word = word.strip(_CLEAR) or word
-            plain = len(word) > 1 and word.isalpha()
+            plain = False
             if len(word) == 1:
                 single.append(word)
-            elif single:
-                out += self._stretch(single) if len(single) > 2 else []
-                single = []
-            if held and plain and before and not self._joined(before, word):
-                out += self._stretch(held)
-                held = []
+            else:
+                if single:
+                    out += self._stretch(single) if len(single) > 2 else ()
+                    single = []
+                plain = word.isalpha()
+                if plain and before:
+                    joined = gaps.get((before[-2:], word[:2]))
+                    if joined is None:
+                        joined = self._joined(before, word)
+                    if not joined:
+                        out += self._stretch(held) if len(held) > 1 else ()
+                        held, before = [word], word
+                        continue
             held.append(word)
             before = word if plain else ""
         if len(held) > len(single) > 2:
             out += self._stretch(single)
-        return out + self._stretch(held)
+        return [*out, *self._stretch(held)]
 
-    def _stretch(self, held: list[str]) -> list[str]:
+    def _stretch(self, held: list[str]) -> tuple[str, ...]:
         if len(held) < 2:
-            return []
+            return ()
         key = " ".join(held)
         found = self.stretches.get(key)
         if found is None:
-            if len(self.stretches) >= self.limit:
-                self.stretches.clear()
-            read = viterbi(key, self.model).split(" ")
-            found = self.stretches[key] = [w for w in read if w not in held and w.isalpha()]
+            written_out = set(held)
+            read = dict.fromkeys(viterbi(key, self.model).split(" "))
+            found = self._keep(self.stretches, key, tuple(w for w in read if w not in written_out and w.isalpha()))
         return found
 
     def readings(self, word: str) -> tuple[str, ...]:
         found = self.known.get(word)
         if found is None:
-            found = self._read(word)
-            if len(self.known) >= self.limit:
-                self.known = {}
-            self.known[word] = found
+            if word.isalpha() and not _RUN.search(word):
+                found = (word,) if self.wanted is None or self.wanted(word) else ()
+            else:
+                found = self._wanted(self._read(word))
+            self._keep(self.known, word, found)
         return found
 
+    def _window(self, window: str) -> tuple[str, ...]:
+        return self._keep(self.windows, window, self._wanted(self._spaced(window.split())))
+
     def words(self, text: bytes) -> set[str]:
         whole = text.decode("utf-8", "replace").lower()
-        out = set()
+        out: set[str] = set()
+        known, windows = self.known, self.windows
         for word in set(whole.split()):
-            out.update(self.readings(word))
-        for window in _SHORTS.finditer(whole):
-            out.update(self._spaced(window.group().split()))
+            found = known.get(word)
+            if found is None:
+                found = self.readings(word)
+            if found:
+                out.update(found)
+        for window in set(_SHORTS.findall(whole)):
+            found = windows.get(window)
+            if found is None:
+                found = self._window(window)
+            if found:
+                out.update(found)
         out.discard("")
         return out
 
@@ -259,6 +354,20 @@ def features(word: str) -> list[str]:
     return [word, *[word[:k] + "~" for k in (4, 5, 6) if len(word) > k]]
 
 
+def _matcher(lexicon: Iterable[str]) -> Callable[[str], bool]:
+    """Whether a word has a feature in ``lexicon``."""
+    whole = frozenset(lexicon)
+    heads = frozenset(f[:-1] for f in whole if f.endswith("~"))
+
+    def matches(word: str) -> bool:
+        if word in whole:
+            return True
+        size = len(word)
+        return size > 4 and (word[:4] in heads or (size > 5 and word[:5] in heads) or (size > 6 and word[:6] in heads))
+
+    return matches
+
+
 def _weights(toxic: np.ndarray, clean: np.ndarray, n_toxic: int, n_clean: int) -> np.ndarray:
     return np.log((toxic + 0.5) / (n_toxic + 1)) - np.log((clean + 0.5) / (n_clean + 1))
 
@@ -347,17 +456,11 @@ def toxicity(
         w = np.array([math.log((n_toxic + 0.5) / (n_clean + 0.5)), 0.0, 0.0])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(model)
-        weight_of: dict[str, float] = {}
-
         def heaviest(word: str) -> float:
-            found = weight_of.get(word)
-            if found is None:
-                found = max([lexicon[f] for f in features(word) if f in lexicon], default=0.0)
-                if len(weight_of) >= reader.limit:
-                    weight_of.clear()
-                weight_of[word] = found
-            return found
+            return max([lexicon[f] for f in features(word) if f in lexicon], default=0.0)
+
+        # A word without a weight changes no score.
+        reader = Reader(model, wanted=_matcher(lexicon))
 
         for batch in batches:
             rows = [_top([heaviest(x) for x in reader.words(t.as_py())]) for t in batch.column("text")]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -457,6 +458,68 @@ def test_reader_finds_the_ends_of_spaced_words():
     assert reader.words(b"to be or not to be") == {"to", "be", "or", "not"}
 
 
+def readings_by_brute_force(core, model):
+    """The best score of every reading of ``core``, over all paths."""
+    paths = [("", 0.0)]
+    for c in core:
+        letters, nothing = toxicity._written(c)
+        after = []
+        for text, score in paths:
+            a, b = [0, 0, *[toxicity._PLACE[x] for x in text]][-2:]
+            for letter, place, cost in letters:
+                after.append((text + letter, score - cost + model[a, b, place]))
+                if text and letter == text[-1] != " ":
+                    after.append((text, score - toxicity.COST_REPEAT))
+            if nothing is not None:
+                after.append((text, score - nothing))
+        paths = after
+    best = {}
+    for text, score in paths:
+        a, b = [0, 0, *[toxicity._PLACE[x] for x in text]][-2:]
+        best[text] = max(best.get(text, -np.inf), score + model[a, b, 0])
+    return best
+
+
+def test_the_lattice_has_no_better_path():
+    plain = [b"you are an idiot and a loser", b"such a stupid moron", b"the idiot is a loser"] * 30
+    model = toxicity.character_model(toxicity.trigram_counts(plain))
+    for core in ("1d10t", "l00s3r", "i.d.i.0t", "$tuup1d", "m o r 0 n", "!!d1*t", "a $ s", "1|1+", "55"):
+        best = readings_by_brute_force(core, model)
+        found = toxicity.viterbi(core, model.ravel().tolist())
+        assert best[found] >= max(best.values()) - 1e-9, core
+
+
+def test_long_lattices_settle_and_take_time_by_length(monkeypatch):
+    plain = [b"you are an idiot and a loser", b"such a stupid moron", b"the idiot is a loser"] * 30
+    model = toxicity.character_model(toxicity.trigram_counts(plain))
+    text = "i d 1 0 t 7 3 " * 60
+    whole = toxicity.viterbi(text, model.ravel().tolist())
+    for size in (1, 2, 7, 100):
+        monkeypatch.setattr(toxicity, "SETTLE", size)
+        assert toxicity.viterbi(text, model.ravel().tolist()) == whole
+    monkeypatch.undo()
+    times = []
+    for n in (10_000, 80_000):
+        digits = " ".join("1234567890"[i * 7 % 10] for i in range(n)).encode()
+        reader, began = toxicity.Reader(model), time.process_time()
+        reader.words(digits)
+        times.append(time.process_time() - began)
+        assert all(len(k) <= reader.LONGEST for kept in (reader.known, reader.windows, reader.stretches, reader.tails) for k in kept)
+    assert times[1] < 24 * times[0]  # eight times the text; quadratic would be 64
+
+
+def test_a_filtered_reader_gives_the_wanted_words_alone():
+    plain = [b"you are an idiot and a loser", b"such a stupid moron", b"the idiot is a loser"] * 30
+    model = toxicity.character_model(toxicity.trigram_counts(plain))
+    lexicon = {"idiot", "stup~", "loser~", "moron"}
+    texts = ["you 1d10t and $tup1d", "a m o r o n here", "loserly l0sers", "nothing", "", "stup stupi"]
+    matches = toxicity._matcher(lexicon)
+    for text in texts:
+        everything = toxicity.Reader(model).words(text.encode())
+        wanted = {w for w in everything if any(f in lexicon for f in toxicity.features(w))}
+        assert toxicity.Reader(model, wanted=matches).words(text.encode()) == wanted
+
+
 def test_toxicity_on_held_out(spark):
     folder = SMALL.replace("0.001", "0.01")
     found = QUERIES["op1_toxicity"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
