@@ -9,7 +9,8 @@ marker stands before the text, as the format has it.
 Where no piece has a marker inside (checked when a model is read), a best path always breaks before
 a marker that follows another character, so the parts between are segmented alone, each distinct
 part once per batch, all parts of one length together: the trie and the path's scores are walked
-for whole arrays of parts.
+for whole arrays of parts. Lengths that few parts have, such as texts without spaces, are walked part by
+part, with the same sums and ties, in time that grows with the length.
 
 Ties go to the longer last piece. Defined cases: a null or empty text has no pieces; a marker
 character in a text is decoded as a space, which ``round_trip`` reports; rows with equal or null
@@ -19,7 +20,9 @@ ids are encoded each; other columns are not read; an empty table gives an empty
 from __future__ import annotations
 
 import functools
+import math
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -97,6 +100,9 @@ class Trie:
 
 
 class Model:
+    #: Fewer parts of one length than that are walked one by one.
+    FEW = 32
+
     def __init__(self, pieces: list[tuple[bytes, float]], bytes_from: int, unknown: float = 10.0):
         """``pieces`` by id; byte b has the id ``bytes_from + b``."""
         self.pieces, self.bytes_from = pieces, bytes_from
@@ -116,6 +122,10 @@ class Model:
         for i, part in enumerate(parts):
             by_length.setdefault(len(part), []).append(i)
         for length, places in by_length.items():
+            if len(places) < self.FEW:
+                for i in places:
+                    out[i] = self.path(parts[i])
+                continue
             step = max(1, (1 << 22) // max(1, length))
             for at in range(0, len(places), step):
                 some = places[at : at + step]
@@ -123,6 +133,47 @@ class Model:
                     out[i] = ids
         return out
 
+    def path(self, part: bytes) -> bytes:
+        """The best path of one part; what ``_paths`` does for many."""
+        base, check, value, scores = map(memoryview, (self.trie.base, self.trie.check, self.trie.value, self.scores))
+        length, longest, penalty = len(part), self.longest, self.penalty
+        best = array("d", [-math.inf]) * (length + 1)
+        best[0] = 0.0
+        last = array("q", [-1]) * (length + 1)
+        came = array("q", [0]) * (length + 1)
+        for start, byte in enumerate(part):
+            here = best[start]
+            if here == -math.inf or 0x80 <= byte < 0xC0:
+                continue
+            own = 1 if byte < 0x80 else 2 if byte < 0xE0 else 3 if byte < 0xF0 else 4
+            alone, state = False, 0
+            for end, symbol in enumerate(part[start : start + longest], start + 1):
+                to = base[state] + symbol
+                if check[to] != state:
+                    break
+                state = to
+                piece = value[state]
+                if piece >= 0:
+                    if end - start == own:
+                        alone = True
+                    score = here + scores[piece]
+                    if score > best[end]:
+                        best[end], last[end], came[end] = score, piece, start
+            if not alone:
+                end = min(start + own, length)
+                if here + penalty > best[end]:
+                    best[end], last[end], came[end] = here + penalty, -2, start
+        ids = array("I")
+        end = length
+        while end:
+            start = came[end]
+            if last[end] >= 0:
+                ids.append(last[end])
+            else:
+                ids.extend(self.bytes_from + x for x in reversed(part[start:end]))
+            end = start
+        return np.array(ids, dtype="<u4")[::-1].tobytes()
+
     def _paths(self, parts: list[bytes], length: int) -> list[bytes]:
         n = len(parts)
         text = np.frombuffer(b"".join(parts), dtype=np.uint8).reshape(n, length).astype(np.int64)
@@ -189,7 +240,10 @@ class Model:
 
 
 class Codec:
-    """``encode`` and ``decode``; the segmentations of up to ``limit`` parts are kept."""
+    """``encode`` and ``decode``; the segmentations of up to ``limit`` parts of at most ``LONGEST`` bytes
+    are kept from one call to the next."""
+
+    LONGEST = 64
 
     def __init__(self, model: Model, limit: int = 500_000):
         self.model, self.limit = model, limit
@@ -229,7 +283,11 @@ class Codec:
         known, mark = self.known, MARK.encode()
         new = [p for p in set().union(*cut) if p not in known]
         known.update(zip(new, self.model.segment([p if mark in p else mark + p for p in new]), strict=True))
-        return [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        out = [b"".join(map(known.__getitem__, parts)) for parts in cut]
+        for part in new:
+            if len(part) > self.LONGEST:
+                del known[part]
+        return out
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.spelled.__getitem__, np.frombuffer(ids, dtype="<u4").tolist()))[1:]

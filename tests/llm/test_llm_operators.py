@@ -423,6 +423,24 @@ def test_pitman_yor_seating_follows_the_restaurant():
         assert abs((now[0] == t).mean() - p / total) < 0.015
 
 
+def test_pieces_of_single_parts_and_of_long_ones():
+    model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    rng = np.random.default_rng(5)
+    letters = list("abcdeénst▁.7") + ["中", "文", "字", "\U0001f600", "ß", "\x01"]
+    parts = [("▁" + "".join(rng.choice(letters, rng.integers(0, 14)))).encode() for _ in range(600)]
+    for length in {len(p) for p in parts}:
+        same = [p for p in parts if len(p) == length]
+        assert model._paths(same, length) == [model.path(p) for p in same]
+    codec = pieces.Codec(model)
+    text = "".join(rng.choice(list("中文字的一是不了人我在有他这"), 340_000)).encode()  # 1 MB without a space
+    began = time.process_time()
+    ids = codec.encode([text, b"a b"])
+    assert time.process_time() - began < 20
+    assert codec.decode(ids[0]) == text
+    assert all(len(p) <= codec.LONGEST for p in codec.known) and b"a" in codec.known
+    assert model.segment([text[:3000]]) == model._paths([text[:3000]], 3000)
+
+
 def test_decoding_restores_obfuscated_words():
     plain = [b"you are an idiot and a loser", b"such a stupid moron", b"the idiot is a loser"] * 30
     model = toxicity.character_model(toxicity.trigram_counts(plain))
