@@ -1,14 +1,14 @@
 """Quality classifier: perplexity under a character n-gram model of trusted text.
 
-An interpolated modified Kneser-Ney model of character 4-grams is counted on trusted documents: a
-bounded sample (``trusted``, by the order of a hash of the id) of the rows labelled with quality 1.
-Four of five of them train, the fifth calibrates. The whole model is tables: counts per 4-gram,
+An interpolated modified Kneser-Ney model of character 4-grams is counted on trusted documents: all
+rows labelled with quality 1. By a hash of the id, four of five of them train, the fifth calibrates. The whole model is tables: counts per 4-gram,
 continuation counts for the lower orders, discounts from the counts of counts, and per context the
 mass left to the next lower order.
 
-Documents are grouped into blocks; a block's distinct 4-grams are joined with the model (sharded by
-the 4-gram's code, nothing is broadcast but the sampled ids, 8 bytes each), and the
-probabilities come back to the block, which adds them up per document. A document's log perplexity
+Documents are grouped into blocks. Their ids are joined with the trusted ones, and a block is told
+which of its documents train; no text moves for that. A block's distinct 4-grams are joined with the
+model (sharded by the 4-gram's code), and the probabilities come back to the block, which adds them
+up per document. A document's log perplexity
 is drawn towards its language's mean as if it had ``prior`` more characters, so that a few
 characters decide nothing, and must not exceed its language's threshold: the ``upper`` quantile of the
 calibrating documents of the language. So about that share of trusted text is kept. A language with fewer
@@ -38,8 +38,7 @@ from rollbook.session import written
 ORDER = 4
 START, END = 2, 3
 BITS = 16
-TRAINS, CALIBRATES, OTHER = 0, 1, 2
-_BLOCK = "block long, doc_ids binary, rows binary, langs array<string>, flags binary, lengths binary, chars binary"
+_BLOCK = "block long, doc_ids binary, rows binary, langs array<string>, lengths binary, chars binary"
 
 
 def codes(chars: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -74,13 +73,12 @@ def _blocks(docs: DataFrame, block_chars: int, kept: Kept, row_column: str | Non
         held, n = [], 0
 
         def row() -> pa.RecordBatch:
-            chars = [h[3] for h in held]
+            chars = [h[2] for h in held]
             values = {
                 "block": first + number,
                 "doc_ids": ids_out(pa.array([h[0] for h in held], pa.int64())),
-                "rows": ids_out(pa.array([h[4] for h in held], pa.int64())) if row_column else None,
+                "rows": ids_out(pa.array([h[3] for h in held], pa.int64())) if row_column else None,
                 "langs": [h[1] for h in held],
-                "flags": pack(np.array([h[2] for h in held], dtype=np.uint8)),
                 "lengths": pack_uint(np.array([len(c) for c in chars], dtype=np.int64)),
                 "chars": pack(np.concatenate(chars)),
             }
@@ -90,9 +88,9 @@ def _blocks(docs: DataFrame, block_chars: int, kept: Kept, row_column: str | Non
             )
 
         for batch in batches:
-            for doc_id, lang, flag, text, *row_id in zip(*batch.columns, strict=True):
-                held.append((doc_id.as_py(), lang.as_py(), flag.as_py(), _chars(text.as_py()), *[r.as_py() for r in row_id]))
-                n += len(held[-1][3])
+            for doc_id, lang, text, *row_id in zip(*batch.columns, strict=True):
+                held.append((doc_id.as_py(), lang.as_py(), _chars(text.as_py()), *[r.as_py() for r in row_id]))
+                n += len(held[-1][2])
                 if n >= block_chars:
                     yield row()
                     number, held, n = number + 1, [], 0
@@ -100,10 +98,25 @@ def _blocks(docs: DataFrame, block_chars: int, kept: Kept, row_column: str | Non
             yield row()
 
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang")]
-    return kept.keep(docs.select(*columns, "flag", utf8().alias("text"), *([row_column] if row_column else [])).mapInArrow(run, _BLOCK), "quality_blocks")
+    return kept.keep(docs.select(*columns, utf8().alias("text"), *([row_column] if row_column else [])).mapInArrow(run, _BLOCK), "quality_blocks")
 
 
-def _grams(blocks: DataFrame, at_once: int = 1 << 16) -> DataFrame:
+def _training(blocks: DataFrame, trusted: DataFrame) -> DataFrame:
+    """``block, trains``: the places in a block of its documents that train."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                ids = ids_in(row["doc_ids"])
+                block, place = np.full(len(ids), row["block"]), np.arange(len(ids), dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(block), pa.array(place), ids], ["block", "place", "doc_id"])
+
+    ids = blocks.select("block", "doc_ids").mapInArrow(run, "block long, place int, doc_id long")
+    training = ids.join(trusted.where("NOT calibrates"), F.col("doc_id") == F.col("_id"))
+    return training.groupBy("block").agg(F.collect_list("place").alias("trains"))
+
+
+def _grams(blocks: DataFrame, training: DataFrame, at_once: int = 1 << 16) -> DataFrame:
     """Per block its distinct 4-grams and how often its training documents have them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,8 +124,9 @@ def _grams(blocks: DataFrame, at_once: int = 1 << 16) -> DataFrame:
             for row in batch.to_pylist():
                 lengths = unpack_uint(row["lengths"])
                 code = codes(unpack(row["chars"], "<u2"), lengths)
-                trains = np.repeat(unpack(row["flags"], "u1") == TRAINS, lengths + 1)
-                known, count = np.unique(code[trains], return_counts=True)
+                trains = np.zeros(len(lengths), dtype=bool)
+                trains[np.array(row["trains"] or [], dtype=np.int64)] = True
+                known, count = np.unique(code[np.repeat(trains, lengths + 1)], return_counts=True)
                 code.sort()
                 distinct = code[np.concatenate([[True], code[1:] != code[:-1]])]
                 n = np.zeros(len(distinct), dtype=np.int64)
@@ -124,7 +138,8 @@ def _grams(blocks: DataFrame, at_once: int = 1 << 16) -> DataFrame:
                         ["block", "code", "n"],
                     )
 
-    return blocks.select("block", "flags", "lengths", "chars").mapInArrow(run, "block long, code long, n long")
+    told = blocks.select("block", "lengths", "chars").join(training, "block", "left")
+    return told.mapInArrow(run, "block long, code long, n long")
 
 
 def _packed(answers: DataFrame, at_once: int = 1 << 20) -> DataFrame:
@@ -210,9 +225,9 @@ def probabilities(distinct: DataFrame, tables: list[tuple[DataFrame, DataFrame]]
     return out.select("code", p.cast("float").alias("p"))
 
 
-def _scored(blocks: DataFrame, rows: list[str]) -> DataFrame:
-    """``doc_id, lang, flag, n_grams, total`` (and the number in ``rows``) for every document of the blocks."""
-    grams = written(_grams(blocks), "quality-grams")
+def _scored(blocks: DataFrame, trusted: DataFrame, rows: list[str]) -> DataFrame:
+    """``doc_id, lang, n_grams, total, calibrates`` (and the number in ``rows``) for every document of the blocks."""
+    grams = written(_grams(blocks, _training(blocks, trusted)), "quality-grams")
     counts = grams.where("n > 0").groupBy("code").agg(F.sum("n").alias("c"))
     tables = model_tables(counts)
     alphabet = tables[0][0].count() + 1
@@ -234,21 +249,20 @@ def _scored(blocks: DataFrame, rows: list[str]) -> DataFrame:
             **numbers,
             "doc_id": ids_in(block.doc_ids).to_pandas(types_mapper={pa.int64(): pd.Int64Dtype()}.get),
             "lang": list(block.langs),
-            "flag": unpack(block.flags, "u1").astype(np.int32),
             "n_grams": lengths + 1,
             "total": -np.add.reduceat(logs, starts),
         })
 
     scored = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInPandas(
-        score, "".join(f"{c} long, " for c in rows) + "doc_id long, lang string, flag int, n_grams long, total double"
+        score, "".join(f"{c} long, " for c in rows) + "doc_id long, lang string, n_grams long, total double"
     )
-    return written(scored, "quality-scored")
+    marked = scored.join(trusted, F.col("doc_id") == F.col("_id"), "left").drop("_id")
+    return written(marked.withColumn("calibrates", F.coalesce("calibrates", F.lit(False))), "quality-scored")
 
 
 def quality_classifier(
     docs: DataFrame,
     labels: DataFrame,
-    trusted: int = 20_000,
     block_chars: int = 1 << 22,
     prior: int = 50,
     upper: float = 0.995,
@@ -259,17 +273,11 @@ def quality_classifier(
     rows = [row] if row else []
     if "lang" not in docs.columns:
         docs = docs.withColumn("lang", F.lit(None).cast("string"))
-    order = F.xxhash64("doc_id")
     known = labels.where("quality = 1").select(F.col("doc_id").cast("long").alias("_id")).where("_id IS NOT NULL").distinct()
-    known = known.orderBy(F.xxhash64("_id"), "_id").limit(trusted)
-    known = written(known, "quality-trusted")
-    flag = F.when(F.col("_id").isNull(), OTHER).when(F.pmod(order, F.lit(5)) == 4, CALIBRATES).otherwise(TRAINS)
-    # At most ``trusted`` ids of 8 bytes.
-    marked = docs.select("doc_id", "lang", "text", *rows).join(F.broadcast(known), F.col("doc_id") == F.col("_id"), "left")
-    marked = marked.withColumn("flag", flag.cast("int"))
+    known = written(known.withColumn("calibrates", F.pmod(F.xxhash64("_id"), F.lit(5)) == 4), "quality-trusted")
     with Kept(docs.sparkSession) as kept:
-        scored = _scored(_blocks(marked, block_chars, kept, row), rows)
-    held = scored.where(F.col("flag") == CALIBRATES)
+        scored = _scored(_blocks(docs, block_chars, kept, row), known, rows)
+    held = scored.where("calibrates")
     mean = (F.sum("total") / F.sum("n_grams")).alias("mean")
     everywhere = held.agg(mean).first()["mean"] or 0.0
     means = held.groupBy("lang").agg(mean, F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
@@ -277,7 +285,7 @@ def quality_classifier(
     drawn = scored.join(means, F.col("lang").eqNullSafe(F.col("_l")), "left").drop("_l")
     middle = F.coalesce("mean", F.lit(everywhere))
     drawn = drawn.withColumn("log_perplexity", (F.col("total") + prior * middle) / (F.col("n_grams") + prior))
-    held = drawn.where(F.col("flag") == CALIBRATES)
+    held = drawn.where("calibrates")
 
     limit = F.percentile_approx("log_perplexity", upper, 10_000).alias("threshold")
     all_over = held.agg(limit).first()["threshold"]

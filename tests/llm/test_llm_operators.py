@@ -625,6 +625,20 @@ def test_quality_scores_and_thresholds_by_brute_force(spark):
         assert r.kept == (values[r.doc_id] <= threshold) or abs(values[r.doc_id] - threshold) < 1e-5
 
 
+def test_quality_classifier_learns_from_every_trusted_row(spark):
+    # More trusted rows than the 20,000 that were once taken.
+    texts = [chr(97 + i % 26) + chr(97 + i // 26 % (1 + i % 7)) for i in range(22_000)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = docs.select("doc_id", F.lit(1).alias("quality"))
+    found = {r.doc_id: r for r in quality_classifier(docs, labels, prior=0, upper=1.0, least=1).collect()}
+    fifth = {r.doc_id: r.f for r in docs.select("doc_id", F.expr("pmod(xxhash64(doc_id), 5)").alias("f")).collect()}
+    chance = kneser_ney_by_brute_force([t for i, t in enumerate(texts) if fifth[i] != 4])
+    assert len(found) == len(texts) and all(r.kept for i, r in found.items() if fifth[i] == 4)
+    for i in range(0, len(texts), 37):
+        grams = grams_of(texts[i])
+        assert abs(found[i].log_perplexity + sum(math.log10(chance(g)) for g in grams) / len(grams)) < 1e-5
+
+
 @pytest.mark.parametrize("empty", [False, True])
 def test_edge_cases(spark, edges, labels, empty):
     docs = edges.where("false") if empty else edges
