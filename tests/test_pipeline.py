@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import csv
+import glob
+import io
+import zipfile
 from datetime import datetime
 
 import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
+from checks import queries as checked
 from checks.archives import archived
 from checks.register import Register
 from rollbook.operators.quality import DataQualityError
@@ -15,6 +20,7 @@ from rollbook.plans.ingest import Run, Source, current_raw, ingest, register_sou
 from rollbook.plans.pipeline import run_pipeline
 from rollbook.plans.schemas import RAW_COLUMNS, ROOT, raw_table
 from rollbook.plans.warehouse import OutOfOrderError, Warehouse
+from rollbook.sources import landing
 from rollbook.sources.formats import read_source
 
 FIRST = Run("r1", datetime(2026, 5, 10), "2026-05-10")
@@ -399,3 +405,26 @@ def test_a_filter_on_any_column_of_the_curve_skips_files(spark, rows, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/curve")) == rows(table)
     empty = clustered(table.limit(0), ("a", "b"), 4, interleaved=True)
     assert empty.count() == 0 and empty.columns == table.columns
+
+
+def test_archives_hold_what_a_csv_writer_writes(spark):
+    values = [("a", 'q"uo;te', None), ("", "line\r\nend", "\x1e\x1f\x1b0"), ("é", "ã, b", '"')]
+    for header in (False, True):
+        df = spark.createDataFrame(values, "x string, y string, z string").coalesce(1)
+        [name] = glob.glob(f"{archived(df, header=header)}/*.zip")
+        expected = io.StringIO(newline="")
+        csv.writer(expected, delimiter=";", quoting=csv.QUOTE_ALL).writerows([("x", "y", "z")] * header + values)
+        with zipfile.ZipFile(name) as archive:
+            assert archive.read("table.csv") == expected.getvalue().encode("latin1")
+
+
+def test_joined_records_are_those_joined_one_by_one():
+    plain, inside = ["a", "b", ""], ["a\x1f", "\x1e", "\x1b"]
+    for batch in ([plain], [plain, ["x"]], [plain, inside], [plain, []], [[]], [[], ["\x1f"]], [[""]]):
+        assert landing._lines(batch, sum(map(len, batch))) == landing.RECORD.join(map(landing._line, batch))
+
+
+def test_a_second_release_writes_only_the_archives_that_differ(spark):
+    register = Register(spark, SMALL)
+    first, second = (checked._sources(register, release) for release in range(2))
+    assert [a.name for a, b in zip(first, second, strict=True) if a.uri != b.uri] == ["companies"]
