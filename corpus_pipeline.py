@@ -38,7 +38,8 @@ def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     slim, restore = sheltered(docs, "doc_id", "lang", "text")
     rows = numbered(slim, "classifier-rows")
     judged = quality_classifier(rows, table(spark, sf_dir, "labels"), row=ROW)
-    gone = judged.where(~F.col("kept")).select(F.col(ROW).alias("_gone"))
+    # Written, so that Spark knows how few they are before it decides whether texts need a shuffle.
+    gone = written(judged.where(~F.col("kept")).select(F.col(ROW).alias("_gone")), "classifier-gone")
     return restore(rows.join(gone, F.col(ROW) == F.col("_gone"), "left_anti"))
 
 

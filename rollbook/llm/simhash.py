@@ -235,8 +235,11 @@ def keep_one(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """
     slim, restore = sheltered(docs, "doc_id", "text")
     rows = numbered(slim, "simhash-rows")
-    found = _judged(rows, shingle, distance, ROW)
+    found = written(_judged(rows, shingle, distance, ROW).select("root", "doc_id", ROW), "simhash-found")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", ROW)).alias("first")
     kept = found.groupBy("root").agg(first).select(F.col(f"first.{ROW}").alias("_kept"))
     kept = written(kept, "simhash-kept")
-    return restore(rows.join(kept, F.col(ROW) == F.col("_kept"), "left_semi"))
+    # Written, so that Spark knows how few they are before it decides whether texts need a shuffle.
+    gone = found.join(kept, F.col(ROW) == F.col("_kept"), "left_anti").select(F.col(ROW).alias("_gone"))
+    gone = written(gone, "simhash-gone")
+    return restore(rows.join(gone, F.col(ROW) == F.col("_gone"), "left_anti"))
