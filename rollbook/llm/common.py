@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import zstandard
@@ -22,6 +23,18 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """What runs inside goes to Python in batches of at most ``rows`` rows."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, min(rows, int(before)) if int(before) > 0 else rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def utf8(column: str = "text") -> Column:
     """The column as UTF-8 bytes; null is empty.
 

@@ -8,6 +8,8 @@ to spare are taken, whole, dealt over new partitions with those of other partiti
 again; a partition's new packing is taken if it has fewer bins than came in. That goes on for
 ``rounds`` rounds or until no partition has a gap.
 
+Texts are encoded some hundred at a time, from batches of ``BATCH_ROWS`` rows, with a bounded table
+of parts, so what a worker process holds depends neither on the input nor on a batch's texts.
 Partitions hold about ``partition_rows`` pieces, so what one task packs does not grow with the
 input, and a hot length or a group of copies is dealt like anything else. Within a partition pieces
 of one length are handled together.
@@ -29,10 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rollbook.llm.common import small_batches
 from rollbook.llm.tokens import SPACE_DROPPED, encoder
 from rollbook.session import written
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
+#: Texts that are in a task's memory as strings and as ids at one time.
+AT_ONCE = 200
+#: Rows of a batch on its way to Python; Spark's 10,000 are some 30 MB of text on both sides.
+BATCH_ROWS = 1000
+#: Parts whose ids a worker process keeps in each generation: some 50 MB.
+KEPT_PARTS = 300_000
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> DataFrame:
@@ -40,10 +49,10 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> D
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, SPACE_DROPPED).encode
+        encode = encoder(tokenizer, SPACE_DROPPED, KEPT_PARTS).encode
         end = np.array([end_id], dtype="<u4").tobytes()
         step = 4 * capacity
-        for batch in batches:
+        for batch in _slices(batches):
             rows = []
             for number, ids in enumerate(encode(batch.column("text").to_pylist())):
                 ids += end
@@ -59,6 +68,12 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int, end_id: int = 0) -> D
     return docs.select("doc_id", text).mapInArrow(run, PIECES.format(id=kind))
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, AT_ONCE):
+            yield batch.slice(at, AT_ONCE)
+
+
 def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
     """The bin of each length. Longest first, each into the fullest bin that still takes it.
 
@@ -152,7 +167,8 @@ def best_fit_packing(
     """One row per piece with ``sequence_id`` and ``offset``."""
     # The id of a row names a piece also where documents share an id; it is stored, not recomputed.
     cut = pieces(docs, tokenizer, capacity).withColumn("row", F.monotonically_increasing_id())
-    cut = written(cut, "packing-pieces")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        cut = written(cut, "packing-pieces")
     short = cut.where(F.col("length") < capacity).select("row", "length")
     n = short.count()
     parts = max(1, math.ceil(n / partition_rows))

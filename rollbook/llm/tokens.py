@@ -29,6 +29,8 @@ SETTLED = "\u0530"
 KEPT = 64
 #: Letters below this one are composed.
 COMPOSED = "\u0250"
+#: The one letter below that which ends in a mark in lower case.
+DOTTED = "\u0130"
 
 
 def byte_letters() -> str:
@@ -80,13 +82,17 @@ class _Parts(dict):
     def _word(self, part: str) -> str:
         """The part whose ids this one's begin with: itself, or without stops, or in lower case."""
         word = part.rstrip(STOPS)
-        if not word or not word[-1].isalpha():
+        if not word or not word[-1].isalpha() or word[-1] == DOTTED:
             word = part
-        return word.lower() if self.folds and word.isascii() else word
+        if self.folds and (word.isascii() or max(word) < COMPOSED):
+            return word.lower()
+        return word
 
     def turn(self) -> None:
         """Begin a new generation when the younger one is full."""
         if len(self) >= self.limit:
+            # The older goes first, so that there are never three.
+            self.old = {}
             self.old = dict(self)
             self.clear()
 
@@ -186,6 +192,6 @@ def _odd(text: str) -> bool:
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(path: str, kind: str) -> Encoder:
+def encoder(path: str, kind: str, limit: int = 700_000) -> Encoder:
     """One encoder per worker process and file."""
-    return Encoder(path, kind)
+    return Encoder(path, kind, limit)

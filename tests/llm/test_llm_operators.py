@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from conftest import SMALL
@@ -18,6 +19,7 @@ from tokenizers import Tokenizer
 
 from checks.compare import difference, duckdb_over
 from rollbook.llm import ann, kneser_ney, packing, pieces, pitman_yor, shards, simhash, tokens, toxicity
+from rollbook.llm.common import small_batches
 from rollbook.llm.kneser_ney import quality_classifier
 from rollbook.llm.line_dedup import line_dedup
 from rollbook.llm.quality_rules import quality_rules
@@ -243,6 +245,42 @@ def test_packing_exchange_and_bounds(spark):
     assert split.groupby("sequence_id").length.sum().max() <= 64
 
 
+def test_packing_holds_few_texts_and_parts(spark, monkeypatch):
+    """A task encodes few texts at a time, from small batches, and keeps a bounded table of parts."""
+
+    class Watched:
+        def __init__(self, limit):
+            self.limit = limit
+
+        def encode(self, texts):
+            if len(texts) > 500 or self.limit > 400_000:
+                raise ValueError(f"{len(texts)} texts at once, {self.limit} parts")
+            return [np.array([len(t)], dtype="<u4").tobytes() for t in texts]
+
+    monkeypatch.setattr(packing, "encoder", lambda path, kind, limit=700_000: Watched(limit))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("some words").alias("text")).coalesce(1)
+    assert packing.pieces(docs, "none", 2048).where("length = 2").count() == 3000
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch({"id": [batch.num_rows]})
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    with small_batches(spark, packing.BATCH_ROWS):
+        seen = [r.id for r in spark.range(0, 3000, 1, 1).mapInArrow(sizes, "id long").collect()]
+    assert sum(seen) == 3000 and max(seen) <= packing.BATCH_ROWS
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
+
+
+def test_capital_letters_beyond_ascii_share_the_ids_of_small_ones():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    whole, quick = Tokenizer.from_file(path), tokens.Encoder(path, tokens.SPACE_DROPPED)
+    letters = [chr(c) for c in range(0x80, 0x250)]
+    words = [w for x in letters for w in (x, f"a{x}b", f"{x}X5{x}", f"{x}{x}.")]
+    for word, ids in zip(words, quick.encode(words), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == whole.encode(word, add_special_tokens=False).ids, word
+
+
 def min_bins(lengths, capacity):
     best = len(lengths)
 
