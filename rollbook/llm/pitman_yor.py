@@ -29,6 +29,9 @@ uniform base; an empty table gives an empty result.
 from __future__ import annotations
 
 import math
+import uuid
+from collections.abc import Callable
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -59,9 +62,9 @@ class Pairs:
         starts = ends - block.lengths
         # Words are numbered from 2; 0 stands before each document, 1 ends it.
         size = len(block.places) + len(block.lengths)
-        second = np.empty(size, dtype=np.int64)
-        first = np.empty(size, dtype=np.int64)
-        shift = np.arange(len(block.lengths))
+        second = np.empty(size, dtype=np.int32)
+        first = np.empty(size, dtype=np.int32)
+        shift = np.arange(len(block.lengths), dtype=np.int32)
         at_end = ends + shift
         inside = np.ones(size, dtype=bool)
         inside[at_end] = False
@@ -72,15 +75,36 @@ class Pairs:
         self.document = np.repeat(shift, block.lengths + 1)
         self.hashes = np.concatenate([[START, END], block.hashes])
         self.trains = (block.flags == 0)[self.document]
-        code = first * (n + 2) + second
-        distinct, self.pair_at, count = np.unique(code, return_inverse=True, return_counts=True)
+        distinct, self._places = _distinct(first.astype(np.int64) * (n + 2) + second, (n + 2) ** 2)
         self.first, self.second = distinct // (n + 2), distinct % (n + 2)
-        self.training = np.bincount(self.pair_at, weights=self.trains, minlength=len(distinct)).astype(np.int64)
-        self.words = np.bincount(second, weights=self.trains, minlength=n + 2).astype(np.int64)
         self.word_at = second
-        keys = mixed(self.hashes[self.first], self.hashes[self.second])
-        self.order = np.argsort(keys)
-        self.keys = keys[self.order]
+
+    @cached_property
+    def pair_at(self) -> np.ndarray:
+        """The pair of each token."""
+        return self._places()
+
+    @cached_property
+    def training(self) -> np.ndarray:
+        """How often each pair is in training text."""
+        return np.bincount(self.pair_at, weights=self.trains, minlength=len(self.first)).astype(np.int64)
+
+    @cached_property
+    def words(self) -> np.ndarray:
+        """How often each word is in training text."""
+        return np.bincount(self.word_at, weights=self.trains, minlength=len(self.hashes)).astype(np.int64)
+
+    @cached_property
+    def _mixed(self) -> np.ndarray:
+        return mixed(self.hashes[self.first], self.hashes[self.second])
+
+    @cached_property
+    def order(self) -> np.ndarray:
+        return np.argsort(self._mixed)
+
+    @property
+    def keys(self) -> np.ndarray:
+        return self._mixed[self.order]
 
     def by_key(self, values: np.ndarray) -> np.ndarray:
         return values[self.order]
@@ -91,25 +115,74 @@ class Pairs:
         return out
 
     def word_keys(self) -> tuple[np.ndarray, np.ndarray]:
-        """Well mixed word hashes in order, and the order."""
-        keys = mixed(self.hashes, self.hashes)
-        order = np.argsort(keys)
-        return keys[order], order
+        return word_keys(self.hashes)
+
+
+def word_keys(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Well mixed word hashes in order, and the order."""
+    keys = mixed(hashes, hashes)
+    order = np.argsort(keys)
+    return keys[order], order
+
+
+def word_order(block: Block) -> np.ndarray:
+    """The order of ``word_keys`` for all words of a block."""
+    return word_keys(np.concatenate([[START, END], block.hashes]))[1]
+
+
+def _distinct(codes: np.ndarray, above: int) -> tuple[np.ndarray, Callable[[], np.ndarray]]:
+    """The distinct codes in order, and a function that gives the place of each code among them.
+
+    Code and position share one number where they fit: numbers are sorted several times faster than
+    positions by number."""
+    bits = max(1, len(codes).bit_length())
+    if not len(codes) or above >> (64 - bits):
+        distinct, places = np.unique(codes, return_inverse=True)
+        return distinct, lambda: places
+    both = codes.astype(np.uint64)
+    both <<= np.uint64(bits)
+    both |= np.arange(len(codes), dtype=np.uint64)
+    both.sort()
+    at = (both & np.uint64((1 << bits) - 1)).astype(np.int32)
+    both >>= np.uint64(bits)
+    ordered = both.view(np.int64)
+    fresh = np.concatenate([[True], ordered[1:] != ordered[:-1]])
+
+    def places() -> np.ndarray:
+        out = np.empty(len(at), dtype=np.int32)
+        out[at] = np.cumsum(fresh, dtype=np.int32) - 1
+        return out
+
+    return ordered[fresh], places
 
 
-def _uniform(keys: np.ndarray, step: int) -> np.ndarray:
-    value = mixed(keys, np.full(len(keys), step, dtype=np.uint64))
-    return (value >> np.uint64(11)).astype(float) / (1 << 53) + 1e-17
+def _uniform(keys: np.ndarray, step: int | np.ndarray) -> np.ndarray:
+    value = mixed(keys, np.asarray(step, dtype=np.uint64))
+    value >>= np.uint64(11)
+    out = value.astype(float)
+    out /= 1 << 53
+    out += 1e-17
+    return out
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling's series; used from 16 on."""
-    return (x - 0.5) * np.log(x) - x + 1 / (12 * x) - 1 / (360 * x**3)
+    part = 1 / x
+    return (x - 0.5) * np.log(x) - x + part * (1 / 12 - part * part / 360)
+
+
+#: Pairs whose customers are seated singly side by side: their arrays stay in the processor's cache.
+CHUNK = 8192
+#: Pairs whose tables are drawn side by side. Few pairs have many tables, so here more are better.
+WIDE = 1 << 17
+#: Draws made at once, for all pairs together, where that many pairs are not left.
+DRAWS = 16384
 
 
 def seat(keys: np.ndarray, customers: np.ndarray, weight: np.ndarray, discount: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Tables of each pair after seating its customers in turn, and the log of the proposal's
-    normalizers, by which it is accepted.
+    normalizers, by which it is accepted. Pairs come with falling ``customers``, so that those still
+    being seated are the first ones.
 
     The first 32 customers are seated one by one. Beyond, the number of customers until the next
     new table is drawn at once: none of the next k opens one with probability
@@ -120,28 +193,88 @@ def seat(keys: np.ndarray, customers: np.ndarray, weight: np.ndarray, discount:
     tables = np.ones(len(customers))
     log_norm = np.zeros(len(customers))
     step = seed << 32
-    for seated in range(1, min(32, int(customers.max(initial=0)))):
-        live = np.flatnonzero(customers > seated)
-        norm = weight[live] + seated - discount * tables[live]
-        log_norm[live] += np.log(norm)
-        tables[live] += _uniform(keys[live], step + seated) * norm < weight[live]
-    live = np.flatnonzero(customers > 32)
-    seated = np.full(len(live), 32.0)
+    columns = keys, customers, weight, tables, log_norm
+    for at in range(0, len(customers), CHUNK):
+        _seat_singly(*(c[at : at + CHUNK] for c in columns), discount, step)
+    many = int(np.searchsorted(-customers, -32))
+    for at in range(0, many, WIDE):
+        _seat_by_gaps(*(c[at : min(at + WIDE, many)] for c in columns), discount, step)
+    return tables, log_norm
+
+
+def _seat_singly(keys, customers, weight, tables, log_norm, discount: float, step: int) -> None:  # noqa: ANN001
+    """The customers up to the 32nd; ``tables`` and ``log_norm`` are written."""
+    seats = np.arange(1, min(32, int(customers[0])))
+    norms = np.ones(len(customers))
+    for seated, live in zip(seats.tolist(), np.searchsorted(-customers, -seats).tolist(), strict=True):
+        now = tables[:live]
+        norm = weight[:live] + seated
+        norm -= discount * now
+        norms[:live] *= norm
+        norm *= _uniform(keys[:live], step + seated)
+        now += norm < weight[:live]
+        if seated % 8 == 0:
+            # Before the products grow too large.
+            log_norm[:live] += np.log(norms[:live])
+            norms[:live] = 1
+    log_norm += np.log(norms)
+
+
+def _seat_by_gaps(keys, customers, weight, tables, log_norm, discount: float, step: int) -> None:  # noqa: ANN001
+    """The customers from the 33rd on. The fewer pairs are left, the more draws are made at once: a
+    pair that has all its customers seated lets the rest of its draws pass.
+
+    The normalizers of a gap are a ratio of gamma functions. Where one gap ends above w and the next
+    begins at w less the discount, both make d * log(s), s = w - (1 + d) / 2, and a term of 1 / s**2
+    and one of 1 / s**4; so the sum is over the tables, between the first and the last gamma function.
+    """
+    e = discount / 2
+    second, fourth = (e / 4 - e**3) / 3, -(e**5 - 5 * e**3 / 6 + 7 * e / 48) / 10
+    log_norm -= _log_gamma(weight + (32.0 - discount * tables))
+    live, seated = np.arange(len(customers)), np.full(len(customers), 32.0)
     while len(live):
-        step += 64
-        a, x = weight[live], seated - discount * tables[live]
-        h = (a - 1) / 2
-        with np.errstate(over="ignore"):
-            gap = np.floor(np.maximum(x + h, 0.5) * np.expm1(-np.log(_uniform(keys[live], step)) / np.maximum(a, 1e-12)))
-        left = customers[live] - seated
-        opens = gap < left
-        moved = np.where(opens, gap + 1, left)
-        log_norm[live] += _log_gamma(a + x + moved) - _log_gamma(a + x)
-        tables[live] += opens
-        seated = seated + moved
-        keep = seated < customers[live]
+        key, a, all_seats, now = keys[live], weight[live], customers[live], tables[live]
+        h, base, power = (a - 1) / 2, a - (1 + discount) / 2, -np.maximum(a, 1e-12)
+        left, gap, ended = np.empty_like(a), np.empty_like(a), np.zeros(len(a), dtype=bool)
+        logs = np.zeros_like(a)
+        draws = max(1, min(64, DRAWS // len(live)))
+        # Those that have ended are let go once there are some of them.
+        while np.count_nonzero(ended) * 8 <= len(live):
+            steps = np.arange(1, draws + 1, dtype=np.uint64) * np.uint64(64) + np.uint64(step)
+            step += 64 * draws
+            s, opened = np.empty((draws, len(a))), np.empty((draws, len(a)), dtype=bool)
+            with np.errstate(over="ignore"):
+                jump = np.log(_uniform(key, steps[:, None]))
+                jump /= power
+                np.expm1(jump, out=jump)
+                for x, opens, far in zip(s, opened, jump, strict=True):
+                    np.multiply(now, discount, out=x)
+                    np.subtract(seated, x, out=x)
+                    np.add(x, h, out=gap)
+                    np.maximum(gap, 0.5, out=gap)
+                    np.multiply(gap, far, out=gap)
+                    np.floor(gap, out=gap)
+                    np.add(gap, 1, out=gap)
+                    np.subtract(all_seats, seated, out=left)
+                    np.less_equal(gap, left, out=opens)
+                    np.minimum(gap, left, out=gap)
+                    np.add(now, opens, out=now)
+                    np.add(seated, gap, out=seated)
+                    np.add(x, gap, out=x)
+            s += base
+            part = np.log(s)
+            part *= discount
+            s *= s
+            np.divide(1, s, out=s)
+            part += s * (second + fourth * s)
+            part *= opened
+            logs += part.sum(axis=0)
+            np.greater_equal(seated, all_seats, out=ended)
+        log_norm[live] += logs
+        tables[live] = now
+        keep = ~ended
         live, seated = live[keep], seated[keep]
-    return tables, log_norm
+    log_norm += _log_gamma(weight + (customers - discount * tables))
 
 
 def sweep(
@@ -158,15 +291,21 @@ def sweep(
 
 def _samples(
     pairs: Pairs, counts: np.ndarray, context: np.ndarray, opened: np.ndarray, parent: np.ndarray,
-    model: dict, seed: int, samples: int, burn_in: int,
+    model: dict, seed: int, samples: int, burn_in: int, mine: np.ndarray | None = None, known: Remembered | None = None,
 ) -> np.ndarray:
-    """Tables of every pair in each kept sample."""
-    many = counts > 1
-    where = np.flatnonzero(many)
+    """Tables of every pair in each kept sample; of pairs outside ``mine``, where given, one each."""
+    where = _seated(counts, counts > 1 if mine is None else (counts > 1) & (mine > 0))
+    out = np.repeat(np.minimum(counts, 1)[None, :], samples, axis=0).astype(np.int64)
+    hot = 0
+    if known is not None:
+        hot = int(np.searchsorted(-counts[where], -32))
+        keys = mixed(pairs.hashes[pairs.first[where[:hot]]], pairs.hashes[pairs.second[where[:hot]]])
+        there, tables = known.find(keys)
+        out[:, where[:hot][there]] = tables
+        where, hot = np.concatenate([where[:hot][~there], where[hot:]]), int(hot - there.sum())
     keys = mixed(pairs.hashes[pairs.first[where]], pairs.hashes[pairs.second[where]])
     first, second = pairs.first[where], pairs.second[where]
     strength = model["strength"][_class(context[first])]
-    out = np.repeat(np.minimum(counts, 1)[None, :], samples, axis=0).astype(np.int64)
     now = None
     for k in range(burn_in + samples):
         tables = now[0] if now else np.ones(len(where))
@@ -175,9 +314,49 @@ def _samples(
         now = sweep(keys, counts[where], weight, model["discount"], seed + k, now)
         if k >= burn_in:
             out[k - burn_in, where] = now[0]
+    if hot:
+        known.add(keys[:hot], out[:, where[:hot]])
     return out
 
 
+class Remembered:
+    """Tables drawn for pairs of many customers, which most blocks hold, by the hash of the pair: a
+    worker process need not draw them again for the next block. ``limit`` pairs are kept at most."""
+
+    def __init__(self, limit: int = 400_000):
+        self.limit, self.keys, self.tables = limit, np.zeros(0, dtype=np.uint64), None
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which keys are known, and the tables of those."""
+        if self.tables is None:
+            return np.zeros(len(keys), dtype=bool), np.zeros((1, 0), dtype=np.int64)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        there = self.keys[at] == keys
+        return there, self.tables[:, at[there]]
+
+    def add(self, keys: np.ndarray, tables: np.ndarray) -> None:
+        """Keys that are not known yet; those that come first are kept where room is short."""
+        room = self.limit - len(self.keys)
+        if room <= 0 or not len(keys):
+            return
+        keys, tables = np.concatenate([self.keys, keys[:room]]), tables[:, :room].astype(np.int32)
+        tables = tables if self.tables is None else np.concatenate([self.tables, tables], axis=1)
+        order = np.argsort(keys)
+        self.keys, self.tables = keys[order], tables[:, order]
+
+
+@lru_cache(maxsize=1)
+def remembered(run: str) -> Remembered:
+    """What this worker process has drawn for the last round of the run of that name."""
+    return Remembered()
+
+
+def _seated(customers: np.ndarray, which: np.ndarray) -> np.ndarray:
+    """Where ``which`` holds, most customers first."""
+    where = np.flatnonzero(which)
+    return where[np.argsort(-customers[where], kind="stable")]
+
+
 def _class(customers: np.ndarray) -> np.ndarray:
     return np.minimum(np.log2(np.maximum(customers, 1)).astype(np.int64), CLASSES - 1)
 
@@ -185,7 +364,7 @@ def _class(customers: np.ndarray) -> np.ndarray:
 def seat_parent(keys: np.ndarray, got: np.ndarray, model: dict, seed: int, sweeps: int) -> np.ndarray:
     """Tables of each word in the parent, whose customers are the tables ``got`` in the contexts."""
     tables = np.minimum(got, 1)
-    where = np.flatnonzero(got > 1)
+    where = _seated(got, got > 1)
     others = max(model["top_seated"][0] - 1, 0)
     fresh = (model["top_strength"] + model["top_discount"][0] * others) / (model["vocabulary"] + 1)
     now = None
@@ -221,10 +400,11 @@ def _log_ratio(strength: np.ndarray, step: np.ndarray, n: np.ndarray) -> np.ndar
     def log_gamma(x: np.ndarray) -> np.ndarray:
         shift = np.zeros_like(x)
         y = x.copy()
-        for _ in range(16):
-            small = y < big
-            shift = np.where(small, shift - np.log(np.maximum(y, 1e-300)), shift)
-            y = np.where(small, y + 1, y)
+        small = np.flatnonzero(y < big)
+        while len(small):
+            shift[small] -= np.log(np.maximum(y[small], 1e-300))
+            y[small] += 1
+            small = small[y[small] < big]
         return shift + _log_gamma(y)
 
     return n * np.log(step) + log_gamma(scaled + n) - log_gamma(scaled)
@@ -233,11 +413,15 @@ def _log_ratio(strength: np.ndarray, step: np.ndarray, n: np.ndarray) -> np.ndar
 def _likelihoods(context: np.ndarray, opened: np.ndarray, discount: float) -> np.ndarray:
     """For each class of contexts the log likelihood of their tables under each strength."""
     out = np.zeros((CLASSES, len(STRENGTHS)))
+    # Few contexts differ in both numbers.
+    wide = int(opened.max(initial=0)) + 1
+    both, many = np.unique(context.astype(np.int64) * wide + opened, return_counts=True)
+    context, opened = both // wide, both % wide
     sizes = _class(context)
     for k, s in enumerate(STRENGTHS):
         top = _log_ratio(np.full(len(context), s), np.full(len(context), discount), opened.astype(float))
         low = _log_ratio(np.full(len(context), s), np.ones(len(context)), context.astype(float))
-        out[:, k] = np.bincount(sizes, weights=top - low, minlength=CLASSES)[:CLASSES]
+        out[:, k] = np.bincount(sizes, weights=many * (top - low), minlength=CLASSES)[:CLASSES]
     return out
 
 
@@ -251,7 +435,7 @@ def pitman_yor_scores(
     rounds: int = 2,
     samples: int = 3,
     burn_in: int = 2,
-    block_words: int = 1_000_000,
+    block_words: int = 800_000,
     shard_words: int = 500_000,
     seed: int = 11,
 ) -> DataFrame:
@@ -320,7 +504,7 @@ def trained(
     discount = min(0.95, max(0.05, once / (once + 2 * twice))) if once else 0.5
     model = {
         "words": words, "vocabulary": types, "discount": discount, "strength": np.full(CLASSES, 10.0),
-        "tables": [distinct], "top_seated": [types], "top_discount": [0.5], "top_strength": 1.0,
+        "run": uuid.uuid4().hex, "tables": [distinct], "top_seated": [types], "top_discount": [0.5], "top_strength": 1.0,
     }
 
     # Later rounds: tables per context and per word, first one for each pair, then as sampled.
@@ -332,7 +516,8 @@ def trained(
         def ask_tables(block: Block, draw: dict = draw) -> list:
             p = Pairs(block)
             counts, owned = unpack_uint(block.carried["pairs"]), unpack_uint(block.carried["owned"])
-            tables = drawn_tables(p, counts, block.carried["words"], draw)
+            # Others report the tables of the pairs they own.
+            tables = drawn_tables(p, counts, block.carried["words"], draw, owned)
             n = len(p.hashes)
             keys, order = p.word_keys()
             columns = []
@@ -356,8 +541,7 @@ def trained(
             return [*out, first.astype(np.int64)]
 
         def take_tables(block: Block, answers: list, draw: dict = draw) -> pd.DataFrame:
-            p = Pairs(block)
-            _, order = p.word_keys()
+            order = word_order(block)
             columns = []
             for column in answers[0]:
                 values = np.empty(len(order), dtype=np.int64)
@@ -406,14 +590,17 @@ def _drawn(likely: np.ndarray, rng: np.random.Generator) -> np.ndarray:
     return STRENGTHS[picked.clip(max=len(STRENGTHS) - 1)]
 
 
-def drawn_tables(p: Pairs, counts: np.ndarray, words: bytes, draw: dict) -> np.ndarray:
+def drawn_tables(
+    p: Pairs, counts: np.ndarray, words: bytes, draw: dict, mine: np.ndarray | None = None,
+    known: Remembered | None = None,
+) -> np.ndarray:
     """Tables of every pair in each sample of a round; the same wherever they are drawn. ``words``
-    are the state of the words before that round."""
+    are the state of the words before that round. Where ``mine`` is given only its pairs are drawn."""
     if not draw["turn"]:
         return np.minimum(counts, 1)[None, :]
     context, opened, got, seated = _by_sample(_word_parts(words)[1:])
     below = parent(got[0], seated[0], draw["model"], 0)
-    return _samples(p, counts, context, opened[0], below, draw["model"], draw["seed"], draw["samples"], draw["burn_in"])
+    return _samples(p, counts, context, opened[0], below, draw["model"], draw["seed"], draw["samples"], draw["burn_in"], mine, known)
 
 
 def _frames(run):  # noqa: ANN001, ANN202
@@ -461,7 +648,7 @@ def _scored(row, model: dict):  # noqa: ANN001, ANN202
     chance = np.zeros(len(counts))
     if model["words"]:
         context, opened, got, seated = _by_sample(columns)
-        tables = drawn_tables(p, counts, block.carried["drawn"], model["draw"])
+        tables = drawn_tables(p, counts, block.carried["drawn"], model["draw"], known=remembered(model["run"]))
         for k, t in enumerate(tables):
             below = parent(got[k], seated[k], model, k)[p.second]
             chance += predictive(counts, t, opened[k][p.first], context[p.first], below, model) / len(tables)

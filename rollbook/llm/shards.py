@@ -27,11 +27,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollbook.llm.common import pack, pack_uint, unpack, unpack_uint, utf8
+from rollbook.llm.common import pack, pack_uint, small_batches, unpack, unpack_uint, utf8
 
 BLOCK = "block long, doc_ids binary, flags binary, lengths binary, places binary, hashes binary"
 #: The hash of what stands before a document's first word, and of its end: no word is empty.
 START, END = np.uint64(0), np.uint64(1)
+#: Documents that go to Python at one time.
+BATCH_ROWS = 1000
 
 
 @dataclass
@@ -47,15 +49,21 @@ class Block:
     carried: dict[str, bytes] = field(default_factory=dict)
 
 
+class _Numbers(dict):
+    """Words as they come, numbered from 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = number = len(self)
+        return number
+
+
 class _Builder:
     def __init__(self, number: int):
-        self.number, self.known, self.places = number, {}, []
+        self.number, self.known, self.places = number, _Numbers(), []
         self.doc_ids, self.flags, self.lengths, self.n = [], [], [], 0
 
     def add(self, words: list[bytes]) -> None:
-        known = self.known
-        places = np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words))
-        self.places.append(places)
+        self.places.append(np.fromiter(map(self.known.__getitem__, words), np.int32, len(words)))
         self.lengths.append(len(words))
         self.n += len(words)
 
@@ -121,7 +129,8 @@ def write_blocks(
         )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"), flag.cast("int").alias("flag"))
-    return kept.keep(source.mapInArrow(run, BLOCK), "ngram_blocks")
+    with small_batches(docs.sparkSession, BATCH_ROWS):
+        return kept.keep(source.mapInArrow(run, BLOCK), "ngram_blocks")
 
 
 class Kept:
@@ -211,7 +220,7 @@ def exchange(
     def serve(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         kind = int(key[0])
         part = part.sort_values("block", kind="stable").reset_index(drop=True)
-        keys = [_keys_in(k, w) for k, w in zip(part["keys"], part["width"], strict=True)]
+        keys = [_keys_in(k) for k in part["keys"]]
         sizes = np.array([len(k) for k in keys])
         everything = np.concatenate(keys)
         order = np.argsort(everything, kind="stable")
@@ -250,22 +259,16 @@ def exchange(
 
 
 def _keys_out(keys: np.ndarray, shards: int, shard: int, narrow: bool) -> tuple[bytes, int]:
-    if not narrow:
-        return pack(keys), 8
-    first = np.uint64(-(-(int(shard) << 64) // shards))
-    span = -(-(1 << 64) // shards)
-    shift = max(0, span.bit_length() - 48)
-    low = ((keys - first) >> np.uint64(shift)).astype("<u8")
-    return pack(low.view(np.uint8).reshape(-1, 8)[:, :6]), 6
-
-
-def _keys_in(data: bytes, width: int) -> np.ndarray:
-    if width == 8:
-        return unpack(data, "<u8")
-    low = unpack(data, "u1").reshape(-1, 6)
-    out = np.zeros((len(low), 8), dtype=np.uint8)
-    out[:, :6] = low
-    return out.view("<u8").ravel()
+    """Sorted keys as their differences, which take less room."""
+    if narrow:
+        first = np.uint64(-(-(int(shard) << 64) // shards))
+        span = -(-(1 << 64) // shards)
+        keys = (keys - first) >> np.uint64(max(0, span.bit_length() - 48))
+    return pack_uint(np.diff(keys, prepend=np.uint64(0))), 6 if narrow else 8
+
+
+def _keys_in(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack_uint(data).view(np.uint64), dtype=np.uint64)
 
 
 def sums(group: np.ndarray, column: np.ndarray) -> np.ndarray:

@@ -461,6 +461,75 @@ def test_pitman_yor_seating_follows_the_restaurant():
         assert abs((now[0] == t).mean() - p / total) < 0.015
 
 
+def test_pitman_yor_draws_pairs_where_they_are_needed(monkeypatch):
+    """Pairs of others are not drawn, frequent ones not again for the next block, and nothing changes."""
+    rng = np.random.default_rng(8)
+    places = np.minimum(rng.zipf(1.4, 30_000) - 1, 400)
+    block = shards.Block(0, b"", np.zeros(3, dtype=np.uint8), np.full(3, 10_000), places, rng.integers(2, 1 << 62, 401).astype(np.uint64))
+    p = pitman_yor.Pairs(block)
+    codes = p.first * 1000 + p.second
+    assert (np.diff(codes) > 0).all() and (codes[p.pair_at] % 1000 == p.word_at).all() and len(p.keys) == len(codes)
+    counts = p.training
+    assert counts.sum() == 30_003 and (counts > 32).sum() > 50
+    n = len(p.hashes)
+    opened = np.bincount(p.first, minlength=n)
+    model = {"discount": 0.6, "strength": np.full(pitman_yor.CLASSES, 3.0)}
+    args = p, counts, np.bincount(p.first, weights=counts, minlength=n).astype(int), opened, np.full(n, 1 / n), model, 7, 3, 2
+    drawn = []
+    sweep = pitman_yor.sweep
+    monkeypatch.setattr(pitman_yor, "sweep", lambda keys, *rest: drawn.append(len(keys)) or sweep(keys, *rest))
+    whole = pitman_yor._samples(*args)
+    assert set(drawn) == {(counts > 1).sum()}
+    drawn.clear()
+    mine = np.arange(len(counts)) % 5 == 0
+    assert (pitman_yor._samples(*args, mine)[:, mine] == whole[:, mine]).all()
+    assert set(drawn) == {(counts[mine] > 1).sum()}
+    known = pitman_yor.Remembered(limit=40)
+    for again in (0, 40, 40):
+        drawn.clear()
+        assert (pitman_yor._samples(*args, known=known) == whole).all()
+        assert set(drawn) == {(counts > 1).sum() - again} and len(known.keys) == 40
+
+
+def test_pitman_yor_gaps_keep_the_normalizers():
+    """Seating by gaps gives tables and normalizers of its plain form, pair by pair."""
+    keys = np.arange(1, 41, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    customers, weight, discount = np.geomspace(40_000, 33, 40).astype(int), np.linspace(0.01, 30, 40), 0.7
+    tables, norms = pitman_yor.seat(keys, customers, weight, discount, 5)
+    for i in range(40):
+        step, t, norm, a = 5 << 32, 1.0, 0.0, weight[i]
+        for seated in range(1, 32):
+            total = a + seated - discount * t
+            norm += math.log(total)
+            t += pitman_yor._uniform(keys[i : i + 1], step + seated)[0] * total < a
+        seated = 32.0
+        while seated < customers[i]:
+            step += 64
+            x = seated - discount * t
+            far = math.expm1(min(700.0, -math.log(pitman_yor._uniform(keys[i : i + 1], step)[0]) / a))
+            gap = math.floor(max(x + (a - 1) / 2, 0.5) * far)
+            moved = min(gap + 1, customers[i] - seated)
+            norm += math.lgamma(a + x + moved) - math.lgamma(a + x)
+            t += gap < customers[i] - seated
+            seated += moved
+        assert t == tables[i] and math.isclose(norm, norms[i], rel_tol=1e-8)
+
+
+def test_exchanged_keys_come_back_and_take_less_room():
+    keys = np.sort(np.random.default_rng(2).integers(0, 1 << 64, 200_000, dtype=np.uint64))
+    cuts, sizes = shards._cut(keys, 50), []
+    for shard in range(50):
+        mine = keys[cuts[shard] : cuts[shard + 1]]
+        data, width = shards._keys_out(mine, 50, shard, False)
+        assert width == 8 and (shards._keys_in(data) == mine).all()
+        data, width = shards._keys_out(mine, 50, shard, True)
+        first = -(-(shard << 64) // 50)
+        shift = (-(-(1 << 64) // 50)).bit_length() - 48
+        assert width == 6 and shards._keys_in(data).tolist() == [(k - first) >> shift for k in mine.tolist()]
+        sizes.append(len(data))
+    assert sum(sizes) < 5.2 * len(keys)
+
+
 def test_pieces_of_single_parts_and_of_long_ones():
     model = pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
     rng = np.random.default_rng(5)
